@@ -151,13 +151,12 @@ def occupancy_cell(cells: DataFrame, column: str, keep: list[str]) -> tuple[Data
     found = F.regexp_extract_all("_text", F.lit(f"({_ENTRY})"), F.lit(1))
     entries = segments.select(*keep, "segment", F.posexplode(found).alias("entry", "_e"))
 
-    def part(i: int) -> Column:
-        return F.regexp_extract("_e", _ENTRY, i)
-
-    parsed = entries.select(
-        *keep, "segment", "entry", part(1).cast("bigint").alias("position"), part(2).alias("modification"),
-        part(3).try_cast("double").alias("fraction"), part(4).try_cast("double").alias("numerator"),
-        part(5).try_cast("double").alias("denominator"),
+    # One match per entry: its groups become fields of a separator no cell holds.
+    fields = F.split(F.regexp_replace("_e", _ENTRY, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
+    parsed = entries.withColumn("_f", fields).select(
+        *keep, "segment", "entry", F.get("_f", F.lit(0)).cast("bigint").alias("position"), F.get("_f", F.lit(1)).alias("modification"),
+        F.get("_f", F.lit(2)).try_cast("double").alias("fraction"), F.get("_f", F.lit(3)).try_cast("double").alias("numerator"),
+        F.get("_f", F.lit(4)).try_cast("double").alias("denominator"),
     )
     left = F.regexp_replace(F.regexp_replace("_text", _ENTRY, ""), r"[\s,;]+", "")
     unparsed = segments.filter(left != "").groupBy(*keep).agg(F.count("*").alias("n_unparsed"))
@@ -169,10 +168,10 @@ def motif(modification: Column) -> Column:
     return F.nullif(F.regexp_extract(modification, r"(?s)^.* on \s*(\S)\s*$", 1), F.lit(""))
 
 
-def entry_fits(position: Column, modification: Column, sequence: Column) -> Column:
-    """Can this entry belong to a protein with this sequence? A terminus fits every sequence."""
+def entry_fits(position: Column, letter: Column, sequence: Column) -> Column:
+    """Can an entry with this motif letter belong to a protein with this sequence? A terminus fits
+    every sequence."""
     n = F.length(sequence)
-    letter = motif(modification)
     inside = position.between(1, n) & (
         letter.isNull() | (letter == "X") | (F.substr(sequence, position.cast("int"), F.lit(1)) == letter)
     )
@@ -232,13 +231,13 @@ def assign_segments(entries: DataFrame, cell: list[str], group: str, members: Da
     sides = known.groupBy(group).agg(
         F.array_sort(F.collect_list(F.struct("member", "accession", F.coalesce("sequence", F.lit("")).alias("sequence")))).alias("_sides")
     )
-    per_segment = entries.groupBy(*cell, group, "segment").agg(F.collect_list(F.struct("position", "modification")).alias("_entries"))
+    per_segment = entries.groupBy(*cell, group, "segment").agg(F.collect_list(F.struct("position", motif(F.col("modification")).alias("letter"))).alias("_entries"))
     per_cell = per_segment.groupBy(*cell, group).agg(F.array_sort(F.collect_list(F.struct("segment", "_entries"))).alias("_segments"))
     joined = per_cell.join(sides, group, "left")
     n = F.size("_sides")
     fits = F.transform("_segments", lambda s: F.filter(
         F.transform("_sides", lambda m, i: F.when(
-            F.forall(s["_entries"], lambda e: entry_fits(e["position"], e["modification"], m["sequence"])), i)),
+            F.forall(s["_entries"], lambda e: entry_fits(e["position"], e["letter"], m["sequence"])), i)),
         lambda i: i.isNotNull()))
     decided = joined.withColumn("_fits", fits).withColumn("_choice", unique_assignment(F.col("_fits"), n, cap))
     return decided.select(
