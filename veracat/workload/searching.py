@@ -46,12 +46,12 @@ def search_declared(t):
     return search.ranked_hits(told, [F.col("name"), F.col("dataset_id"), F.col("usage"), F.col("modification")])
 
 
-@query("SELECT c_mktsegment AS dataset_id, count(*) AS n_samples, array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ',') AS nations FROM customer WHERE contains(lower(c_mktsegment), 'm') OR contains(lower(c_name), '77') GROUP BY 1 ORDER BY 1 LIMIT 26")
+@query("SELECT c_mktsegment AS dataset_id, count(*) AS n_samples, array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ',') AS nations FROM customer WHERE contains(c_nationkey::VARCHAR, '7') OR contains(lower(c_name), '7') GROUP BY 1 ORDER BY 1 LIMIT 26")
 def search_sample(t):
-    rows = t.customer.select(F.col("c_mktsegment").alias("dataset_id"), "c_name", F.col("c_nationkey").cast("string").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    rows = t.customer.select(F.col("c_mktsegment").alias("dataset_id"), "c_name", F.col("c_nationkey").cast("string").alias("nation"))
     chars = t.part.select(F.col("p_name").alias("name"), F.col("p_type").alias("value"))
-    hits, _ = search.search_sample(rows.filter(search.any_contains(["segment"], "m") | search.any_contains(["c_name"], "77")), chars, "", ["nation"])
-    return hits.select("dataset_id", "n_samples", joined("nations").alias("nations"))
+    hits, _ = search.search_sample(rows, chars, "7", ["nation"], ["c_name"])
+    return hits.withColumn("nations", joined("nations"))
 
 
 @query("SELECT p_name AS name, p_type AS value, count(*) AS n_samples FROM part WHERE contains(lower(p_type), 'promo') OR contains(lower(p_name), 'promo') GROUP BY ALL ORDER BY n_samples DESC, name, value LIMIT 26")
