@@ -25,18 +25,17 @@ def occurrence_rank(df: DataFrame, keys: Sequence[str], order: str, block: Colum
     order divided by a block size. Rows are ranked inside (key, block) and lifted by the rows of the
     blocks before, so a key that holds a third of the table is ranked by many tasks.
     """
-    marked = df.withColumn("_block", block)
-    local = Window.partitionBy(*keys, "_block").orderBy(order)
-    ranked = marked.withColumn("_local", F.row_number().over(local))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # One struct key, equal to itself where a part is NULL: the window and the join behind it share
+    # one shuffle and one sort.
+    marked = df.withColumn("_key", F.struct(*keys)).withColumn("_part", F.struct(F.col("_key").alias("k"), block.alias("b")))
+    ranked = marked.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
+    before = Window.partitionBy("_part.k").orderBy("_part.b").rowsBetween(Window.unboundedPreceding, -1)
     lift = (
-        marked.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(before)).filter("_before > 0").drop("_n")
+        marked.groupBy("_part").agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.sum("_n").over(before)).filter("_before > 0").select("_part", "_before")
     )
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in [*keys, "_block"]]
-    joined = ranked.alias("r").join(lift.alias("l"), same, "left")
-    rank = (F.col("r._local") + F.coalesce("l._before", F.lit(0))).cast("bigint")
-    return joined.select(*[F.col(f"r.{c}").alias(c) for c in df.columns], rank.alias(name))
+    rank = (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint")
+    return ranked.join(lift, "_part", "left").select(*df.columns, rank.alias(name))
 
 
 def file_block(order: str = "row_order") -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veracat.functions.cells import align_list, all_starts
 from veracat.functions.rules import (
-    count_is_ceiling, intensity_is_ceiling, intensity_is_floor, level_rank, occurrences, site_type, stoichiometry_state,
+    count_is_ceiling, intensity_is_ceiling, intensity_is_floor, level_rank, placements, site_type, stoichiometry_state,
 )
 from veracat.operators.identification import _as_col
 
@@ -24,22 +24,18 @@ def place_peptides(pairs: DataFrame, piece: str, accession: str, sequences: Data
     distinct = pairs.select(F.col(piece).alias("piece"), F.col(accession).alias("accession")).distinct()
     known = sequences.select("accession", "sequence").distinct()
     joined = distinct.join(known, "accession", "left")
-    places = joined.select(
-        "piece", "accession", F.explode(occurrences("piece", "sequence")).alias("start"), "sequence"
-    ).select(
-        "piece", "accession", F.col("start").cast("bigint").alias("start"),
-        F.when(F.col("start") >= 2, F.substr("sequence", F.col("start") - 1, F.lit(1))).otherwise(F.lit("")).alias("previous"),
-        F.length("sequence").cast("bigint").alias("length"),
-    ).distinct()
-    misses = joined.groupBy("piece", "accession").agg(
-        F.max(F.col("sequence").isNotNull()).alias("_known"),
-        F.max(F.coalesce(F.position(F.col("piece"), F.col("sequence")) > 0, F.lit(False))).alias("_found"),
-    ).filter("NOT _found").select(
-        "piece", "accession", F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("string").alias("previous"),
-        F.lit(None).cast("bigint").alias("length"),
-        F.when(F.col("_known"), F.lit("peptide_not_in_sequence")).otherwise(F.lit("no_sequence")).alias("reason"),
+    # The places are built inside the row, so the sequence is not copied once per place.
+    tried = joined.select(
+        "piece", "accession", F.col("sequence").isNotNull().alias("known"),
+        placements("piece", "sequence").alias("found"), F.length("sequence").cast("bigint").alias("length"),
+    ).select("piece", "accession", "known", "length", F.explode_outer("found").alias("at"))
+    place = F.struct(F.col("at.start").cast("bigint").alias("start"), F.col("at.previous").alias("previous"), "length")
+    # The places of one piece in one protein: no more of them than the protein has letters.
+    placed = tried.groupBy("piece", "accession").agg(F.collect_set(F.when(F.col("at").isNotNull(), place)).alias("places"), F.max("known").alias("known"))
+    reason = F.when(F.col("place").isNull(), F.when(F.col("known"), F.lit("peptide_not_in_sequence")).otherwise(F.lit("no_sequence")))
+    return placed.select("piece", "accession", "known", F.explode_outer("places").alias("place")).select(
+        "piece", "accession", "place.start", "place.previous", "place.length", reason.alias("reason")
     )
-    return places.withColumn("reason", F.lit(None).cast("string")).unionByName(misses)
 
 
 def verify_positions(sites: DataFrame, accession: str, position: str, residue: str, sequences: DataFrame) -> DataFrame:

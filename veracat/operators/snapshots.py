@@ -15,7 +15,7 @@ from veracat.schema import SCHEMA_VERSION
 # reason does not make a new snapshot.
 CONTENT_FIELDS = [
     "accession", "run", "stages", "search_results", "title", "files", "organism", "acquisition", "quant_method",
-    "labelling", "labelling_plex", "enrichment", "run_enrichment", "mixed_enrichment", "metamorpheus", "permitted_responses",
+    "labelling", "labelling_plex", "enrichment", "run_enrichment", "mixed_enrichment", "engine_version", "permitted_responses",
 ]
 
 

@@ -21,7 +21,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """A table whose files give fewer splits than there are cores leaves cores idle in every scan
+        stage, so it is dealt out once. A table of many files is left as it is."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
     @cached_property
     def lines(self) -> DataFrame:

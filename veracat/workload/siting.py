@@ -44,9 +44,8 @@ def _pieces(t):
 @query(f"""SELECT doc_id, piece, count(*) AS n, min(place) AS first_place, max(place) AS last_place FROM (SELECT doc_id, piece, unnest(starts) AS place FROM (
 SELECT doc_id, piece, list_filter(range(1, length(body) - length(piece) + 2), lambda i: array_slice(body, i, i + length(piece) - 1) = piece) AS starts FROM ({_PIECES}) WHERE piece <> '' AND contains(body, piece))) GROUP BY ALL""")
 def occurrences(t):
-    starts = all_occurrences("piece", "body")
-    hits = _pieces(t).withColumn("starts", starts).filter(F.size("starts") > 0)
-    return hits.select("doc_id", "piece", F.size("starts").cast("bigint").alias("n"), F.element_at("starts", 1).cast("bigint").alias("first_place"), F.element_at("starts", -1).cast("bigint").alias("last_place"))
+    hits = _pieces(t).select("doc_id", "piece", F.explode(F.transform(all_occurrences("piece", "body"), lambda i: i.cast("bigint"))).alias("place"))
+    return hits.groupBy("doc_id", "piece").agg(F.count("*").alias("n"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
 
 
 @query(f"""WITH p AS ({_PIECES}), pairs AS (SELECT DISTINCT doc_id, piece FROM p WHERE piece <> ''), docs AS (SELECT doc_id, lower(text) AS body FROM documents WHERE lang <> 'fr')
