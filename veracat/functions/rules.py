@@ -228,7 +228,8 @@ def placements(piece: str | Column, sequence: str | Column) -> Column:
     # A zero-width split cuts before every occurrence, so running lengths are the starts and a cut's
     # last letter stands in front of the next: one pass over the text, where testing each position
     # would walk it again from the front. The last running length is the text's end and no start.
-    cuts = F.split(s, F.concat(F.lit("(?=\\Q"), p, F.lit("\\E)")))
+    quoted = F.replace(p, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    cuts = F.split(s, F.concat(F.lit("(?=\\Q"), quoted, F.lit("\\E)")))
     kind = "array<struct<start:int,previous:string>>"
     later = F.aggregate(
         cuts,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from veracat.operators.quality import union_all
 from veracat.session import materialise
-from veracat.sources.files import file_digests
+from veracat.sources.files import file_digests, plain_path
 
 MAX_SHARD_BYTES = 150_000
 
@@ -89,5 +89,4 @@ def column_catalog(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             rows.append((path, f.name, name, repeated))
     columns = spark.createDataFrame(rows, "path string, column string, type string, repeated boolean")
     digests = file_digests(spark, [f"{p}/*.parquet" if not p.endswith(".parquet") else p for p in paths])
-    plain = F.regexp_replace(digests["path"], "^file:/*", "/")
-    return columns.join(digests.withColumn("path", plain), "path", "left")
+    return columns.join(digests.withColumn("path", plain_path("path")), "path", "left")

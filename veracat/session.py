@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,14 +27,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch(application: str) -> str:
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a local master may fall back to /tmp."""
+    """A fresh folder under ``spark.checkpoint.dir``; a local master without one may use /tmp."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_scratch(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -27,6 +27,11 @@ def file_row_order() -> Column:
     )
 
 
+def plain_path(c: str) -> Column:
+    """A local file's path without its scheme, which readers spell differently."""
+    return F.regexp_replace(c, "^file:/*", "/")
+
+
 def read_wide_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A TSV without quoting, every column text. Short rows are padded with NULL."""
     reader = spark.read.option("sep", "\t").option("quote", "").option("header", True)
