@@ -125,15 +125,17 @@ def nested(rows: DataFrame, key: str, fields: Sequence[str | Column], alias: str
 def dataset_documents(overview: DataFrame, facts: DataFrame, snapshots: DataFrame, findings: DataFrame, modifications: DataFrame,
                       metrics: DataFrame, dataset: str = "dataset_id") -> DataFrame:
     """One document per dataset: its counts, facts, snapshot, and nested open findings, modifications
-    and metrics. Nested lists are per dataset and hold summary rows, never evidence."""
-    ordered = nested(findings.filter("status = 'open'").withColumn("_s", severity_rank("severity")), dataset,
-                     ["_s", "code", "severity", "message"], "findings")
+    and metrics. A list holds distinct summary rows with how often each occurs, never evidence, so it
+    is as long as a dataset has different things to say."""
+    open_findings = findings.filter("status = 'open'")
+    distinct = open_findings.groupBy(dataset, "code", "severity", "message").agg(F.count("*").alias("n"))
+    ordered = nested(distinct.withColumn("_s", severity_rank("severity")), dataset, ["_s", "code", "severity", "message", "n"], "findings")
     ordered = ordered.withColumn("findings", F.transform("findings", lambda f: f.dropFields("_s")))
     mods = nested(modifications.withColumn("_n", -F.col("n_sites")), dataset, ["_n", "modification_name", "modification", "n_sites"], "modifications")
     mods = mods.withColumn("modifications", F.transform("modifications", lambda m: m.dropFields("_n")))
     values = metrics.groupBy(dataset).agg(F.array_sort(F.collect_set(F.struct("name", "value", "definition_id"))).alias("metrics"))
     out = overview
-    for frame in (facts, snapshots, ordered, mods, values, findings_by_severity(findings.filter("status = 'open'"), dataset)):
+    for frame in (facts, snapshots, ordered, mods, values, findings_by_severity(open_findings, dataset)):
         out = out.join(frame, dataset, "left")
     return out
 

@@ -218,15 +218,15 @@ def sheet_cell(name: str) -> Column:
     return F.get(F.reverse("cells"), at - 1)
 
 
-def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
-    """One row per document, with its path."""
-    docs = spark.read.option("multiLine", True).schema(schema).json(path)
+def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.StructType | str, per_line: bool = False) -> DataFrame:
+    """One row per document, with its path. A file is one document, or holds one per line."""
+    docs = spark.read.option("multiLine", not per_line).schema(schema).json(path)
     return docs.select("*", F.col("_metadata.file_path").alias("document_path"))
 
 
-def read_json_map(spark: SparkSession, path: str | list[str], value_type: str) -> DataFrame:
+def read_json_map(spark: SparkSession, path: str | list[str], value_type: str, per_line: bool = False) -> DataFrame:
     """(key, value) of documents whose top level is a map, such as a report keyed by file name."""
-    docs = spark.read.option("wholetext", True).text(path)
+    docs = spark.read.option("wholetext", not per_line).text(path)
     body = F.from_json(F.regexp_replace("value", "^﻿", ""), f"map<string,{value_type}>")
     return docs.select(F.explode(body).alias("key", "value"))
 

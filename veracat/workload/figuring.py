@@ -92,7 +92,7 @@ def presence_join(t):
     return out.select("protein_accession", "gene", F.array_join(entry, ";").alias("datasets"))
 
 
-@query(f"""WITH {_FINDINGS}, f AS (SELECT dataset_id, count(*) FILTER (WHERE severity = 'error') AS error, array_to_string(list_sort(list(DISTINCT code)), ',') AS finding_codes, count(*) AS n_findings FROM findings WHERE status = 'open' GROUP BY 1),
+@query(f"""WITH {_FINDINGS}, f AS (SELECT dataset_id, count(*) FILTER (WHERE severity = 'error') AS error, array_to_string(list_sort(list(DISTINCT code)), ',') AS finding_codes, count(DISTINCT (code, severity, message)) AS n_findings FROM findings WHERE status = 'open' GROUP BY 1),
 m AS (SELECT o_custkey AS dataset_id, o_orderstatus AS modification_name, count(*) AS n_sites FROM orders GROUP BY ALL), mm AS (SELECT dataset_id, string_agg(modification_name || n_sites, ',' ORDER BY n_sites DESC, modification_name) AS modifications FROM m GROUP BY 1)
 SELECT c_custkey AS dataset_id, c_name AS title, c_mktsegment AS instrument, s_name AS bundle_id, f.error, f.finding_codes, f.n_findings, mm.modifications
 FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey LEFT JOIN f ON f.dataset_id = c_custkey LEFT JOIN mm ON mm.dataset_id = c_custkey""")

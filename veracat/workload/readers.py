@@ -96,42 +96,45 @@ def read_sample_sheet(t):
     return sheet.select(files.sheet_cell("source name").alias("source"), files.sheet_cell("comment[x]").alias("second"), files.sheet_cell("assay name").alias("only_one"), files.sheet_cell("nope").alias("absent"))
 
 
-@query("SELECT 'doc ' || p_brand AS stage, count(*) AS n_inputs FROM part GROUP BY p_brand")
+@query("SELECT 'doc ' || p_partkey AS stage, 2 AS n_inputs, p_type AS last FROM part")
 def read_json_documents(t):
-    docs = t.part.groupBy("p_brand").agg(F.to_json(F.struct(F.concat(F.lit("doc "), F.first("p_brand")).alias("stage"), F.collect_list(F.struct("p_name", "p_type")).alias("inputs"))).alias("value"))
+    docs = t.part.select(F.concat(F.lit("doc "), F.col("p_partkey").cast("string")).alias("stage"), F.array(*[F.struct(F.col(c).alias("path")) for c in ("p_name", "p_type")]).alias("inputs"))
     path = scratch_dir(t.spark, "docs")
-    docs.write.partitionBy("p_brand").text(path)
-    read = files.read_json_documents(t.spark, f"{path}/*", "stage string, inputs array<struct<p_name:string,p_type:string>>")
-    return read.select("stage", F.size("inputs").cast("bigint").alias("n_inputs"))
+    docs.write.json(path)
+    read = files.read_json_documents(t.spark, path, "stage string, inputs array<struct<path:string>>", per_line=True)
+    return read.select("stage", F.size("inputs").alias("n_inputs"), F.element_at("inputs", -1)["path"].alias("last"))
 
 
-@query("SELECT 'f' || p_partkey || '.raw' AS file, p_size AS ms2, 'HCD' AS modes FROM part")
+@query("SELECT 'f' || p_partkey || '.raw' AS file, p_size AS ms2, 'HCD' AS modes FROM part UNION ALL SELECT 'g' || p_partkey || '.raw', NULL, '' FROM part")
 def read_json_map(t):
-    entry = F.struct(F.concat(text("f", "p_partkey"), F.lit(".raw")).alias("key"), F.struct(F.col("p_size").alias("ms2"), F.create_map(F.lit("Trap/HCD"), F.lit(1)).alias("analyzer")).alias("value"))
-    docs = t.part.groupBy("p_brand").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    entry = F.struct(F.col("p_size").alias("ms2"), F.create_map(F.lit("Trap/HCD"), F.lit(1)).alias("analyzer"))
+    none = F.struct(F.lit(None).cast("int").alias("ms2"), F.lit(None).cast("map<string,int>").alias("analyzer"))
+    name = lambda p: F.concat(text(p, "p_partkey"), F.lit(".raw"))
     path = scratch_dir(t.spark, "qc")
-    docs.write.partitionBy("p_brand").text(path)
-    read = files.read_json_map(t.spark, f"{path}/*", "struct<ms2:int,analyzer:map<string,bigint>>")
+    _lines(t.part.select(F.to_json(F.create_map(name("f"), entry, name("g"), none))), path)
+    read = files.read_json_map(t.spark, path, "struct<ms2:int,analyzer:map<string,bigint>>", per_line=True)
     return read.select(F.col("key").alias("file"), F.col("value.ms2").alias("ms2"), joined(map_key_suffixes("value.analyzer")).alias("modes"))
 
 
 def _annotation(t):
-    line = F.concat_ws("\t", "p_name", "p_type", F.col("p_size").cast("string"))
-    bad = F.when(F.col("p_size") == 50, F.concat(line, F.lit("\textra"))).otherwise(line)
-    docs = t.part.groupBy("p_brand").agg(F.concat(F.lit("#!fmt 1\n#!release "), F.first("p_brand"), F.lit("\nname\tkind\tsize\n"), F.array_join(F.collect_list(bad), "\n")).alias("value"))
+    """One annotation file per supplier: two header lines, the column line and the supplier."""
+    n = F.col("s_nationkey").cast("string")
+    line = F.concat_ws("\t", "s_name", n, F.col("s_acctbal").cast("string"))
+    bad = F.when(F.col("s_nationkey") == 7, F.concat(line, F.lit("\textra"))).otherwise(line)
+    docs = t.supplier.select("s_suppkey", F.concat(F.lit("#!fmt 1\n#!release r"), n, F.lit("\nname\tnation\tbalance\n"), bad).alias("value"))
     path = scratch_dir(t.spark, "annotation")
-    docs.write.partitionBy("p_brand").text(path)
-    return files.read_headered_annotation(t.spark, f"{path}/*", ["name", "kind", "size"], "fmt", "1")
+    docs.write.partitionBy("s_suppkey").text(path)
+    return files.read_headered_annotation(t.spark, f"{path}/*", ["name", "nation", "balance"], "fmt", "1")
 
 
-@query("SELECT p_brand AS release, p_name AS name, p_type AS kind, p_size::VARCHAR AS size FROM part")
+@query("SELECT 'r' || s_nationkey AS release, s_name AS name, s_nationkey::VARCHAR AS nation, s_acctbal::VARCHAR AS balance FROM supplier")
 def read_headered_annotation(t):
     header, rows, _ = _annotation(t)
     release = header.filter("key = 'release'").select("file", F.col("value").alias("release"))
-    return rows.join(release, "file").select("release", "name", "kind", "size")
+    return rows.join(release, "file").select("release", "name", "nation", "balance")
 
 
-@query("SELECT 'wrong cell count' AS problem, count(*) AS n FROM part WHERE p_size = 50")
+@query("SELECT 'wrong cell count' AS problem, count(*) AS n FROM supplier WHERE s_nationkey = 7 HAVING count(*) > 0")
 def annotation_file_problems(t):
     return _annotation(t)[2].groupBy("problem").agg(F.count("*").alias("n"))
 
@@ -154,10 +157,9 @@ def discover_snapshots(t):
     return newest_row(found.select("dataset_id", "bundle_id", "tables", "age_order"), ["dataset_id"], "age_order").select("dataset_id", "bundle_id", F.try_element_at("tables", F.lit("part")).alias("n_parts"))
 
 
-@query("SELECT p_brand, sha256(string_agg(x, chr(10) ORDER BY x) || chr(10)) AS sha256, CAST(strlen(string_agg(x, chr(10))) + 1 AS BIGINT) AS size_bytes FROM (SELECT p_brand, p_name || p_partkey AS x FROM part) GROUP BY 1")
+@query("SELECT s_suppkey, sha256(s_name || ' ' || s_acctbal || chr(10)) AS sha256, CAST(strlen(s_name || ' ' || s_acctbal) + 1 AS BIGINT) AS size_bytes FROM supplier")
 def file_digests(t):
-    body = F.array_join(F.array_sort(F.collect_list(F.concat(F.col("p_name"), F.col("p_partkey").cast("string")))), "\n")
     path = scratch_dir(t.spark, "digests")
-    t.part.groupBy("p_brand").agg(body.alias("value")).write.partitionBy("p_brand").text(path)
-    brand = F.url_decode(F.regexp_extract("path", "p_brand=([^/]+)", 1))
-    return files.file_digests(t.spark, f"{path}/*/*.txt").select(F.url_decode(brand).alias("p_brand"), "sha256", "size_bytes")
+    t.supplier.select("s_suppkey", F.concat_ws(" ", "s_name", F.col("s_acctbal").cast("string")).alias("value")).write.partitionBy("s_suppkey").text(path)
+    key = F.regexp_extract("path", "s_suppkey=([0-9]+)", 1).cast("bigint")
+    return files.file_digests(t.spark, f"{path}/*/*.txt").select(key.alias("s_suppkey"), "sha256", "size_bytes")

@@ -10,10 +10,11 @@ from veracat.session import scratch_dir
 from veracat.workload.registry import query
 
 
-@query("""SELECT p_brand, substr(sha256('build/1' || chr(10) || 'schema/2' || chr(10) || p_brand || chr(10) || string_agg(p_type || chr(9) || sha256(p_name) || chr(10), '' ORDER BY p_type, p_partkey)), 1, 16) AS snapshot_id FROM part GROUP BY 1""")
+@query("""SELECT o_custkey, substr(sha256('build/1' || chr(10) || 'schema/2' || chr(10) || o_custkey || chr(10) || string_agg(o_orderpriority || chr(9) || sha256(o_orderstatus) || chr(10), '' ORDER BY o_orderpriority, o_orderkey)), 1, 16) AS snapshot_id FROM orders GROUP BY 1""")
 def snapshot_id(t):
-    sources = t.part.select("p_brand", F.col("p_type").alias("role"), F.col("p_partkey").alias("path"), F.sha2("p_name", 256).alias("sha256"))
-    return snap.snapshot_id(sources, ["p_brand"], ["build/1", "schema/2", F.col("p_brand")])
+    """A customer's orders are the sources of its snapshot."""
+    sources = t.orders.select("o_custkey", F.col("o_orderpriority").alias("role"), F.col("o_orderkey").alias("path"), F.sha2("o_orderstatus", 256).alias("sha256"))
+    return snap.snapshot_id(sources, ["o_custkey"], ["build/1", "schema/2", F.col("o_custkey").cast("string")])
 
 
 @query("""SELECT o_orderkey, sha256('{"o_custkey":' || o_custkey || ',"o_orderstatus":' || CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}') AS sha256 FROM orders""")
