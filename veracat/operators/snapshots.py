@@ -148,6 +148,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    fs, jpath = _fs(spark, path)
+    return fs.getContentSummary(jpath).getLength()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)

@@ -8,8 +8,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veracat.operators.snapshots import path_bytes
 from veracat.session import configure
 
+WORTH_SPREADING = 4 << 20
+
 
 class Tables:
     """The benchmark tables of one folder."""
@@ -21,13 +24,16 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self._spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        path = f"{self.folder}/{name}.parquet"
+        return self._spread(self.spark.read.parquet(path), path)
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """A table whose files give fewer splits than there are cores leaves cores idle in every scan
-        stage, so it is dealt out once. A table of many files is left as it is."""
+    def _spread(self, df: DataFrame, path: str) -> DataFrame:
+        """A table of one large file is one split and leaves all other cores idle in every scan stage,
+        so it is dealt out once. A small table, or one of many files, is left as it is."""
         cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+        if path_bytes(self.spark, path) < WORTH_SPREADING or df.rdd.getNumPartitions() >= cores:
+            return df
+        return df.repartition(cores)
 
     @cached_property
     def lines(self) -> DataFrame:
