@@ -34,10 +34,11 @@ def shared_threshold(spread: DataFrame, target: int = SHARED_TARGET) -> DataFram
 
     A histogram line counts towards every smaller N, so exploding it replaces a running sum.
     """
-    steps = spread.filter("n_datasets >= 2").select(F.explode(F.sequence(F.lit(2), F.col("n_datasets").cast("int"))).alias("n"), "n_entities")
-    at_least = steps.groupBy("n").agg(F.sum("n_entities").alias("n_entities"))
+    reach = F.sequence(F.lit(2), F.col("n_datasets").cast("int"))
+    steps = spread.filter("n_datasets >= 2").select(F.explode(reach).alias("n"), "n_datasets", "n_entities")
+    at_least = steps.groupBy("n").agg(F.sum("n_entities").alias("n_entities"), F.max(F.col("n") == F.col("n_datasets")).alias("_offered"))
     # Only an N that some entity actually has is on offer.
-    offered = at_least.join(spread.select(F.col("n_datasets").cast("int").alias("n")), "n", "left_semi")
+    offered = at_least.filter("_offered").select("n", "n_entities")
     return offered.orderBy(F.abs(F.col("n_entities") - target), F.col("n").desc()).limit(1)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracat.functions.cells import reserved_word, strip
+from veracat.session import materialise
 
 CHECK_COLUMNS = "name string, kind string, ok boolean, observed bigint, expected bigint, detail string"
 
@@ -105,20 +106,24 @@ def collapse_exact_duplicates(df: DataFrame, key: Sequence[str]) -> tuple[DataFr
     """(kept rows, report). Rows equal in every column become one; rows that share a key and differ
     anywhere all stay, for the key check to refuse. Report: key columns, written, dropped.
 
-    Copies are counted by the whole row first, which combines before the shuffle: a row written a
-    billion times arrives as one row per task.
+    Keys are counted first, which moves one row per key and task however often a row was written.
+    Whole rows are compared only where a key repeats, and that is normally nowhere.
     """
-    variants = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    per_key = variants.groupBy(*key).agg(F.count("*").alias("_variants"), F.sum("_copies").alias("_written"))
-    same = reduce(lambda a, b: a & b, [F.col(f"v.{k}").eqNullSafe(F.col(f"k.{k}")) for k in key])
-    joined = variants.alias("v").join(per_key.alias("k"), same)
-    single = joined.filter("_variants = 1").select(*[F.col(f"v.{c}").alias(c) for c in df.columns])
-    clash = per_key.filter("_variants > 1")
-    on = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"k.{k}")) for k in key])
-    kept = single.unionByName(df.alias("d").join(clash.alias("k"), on, "left_semi").select(*df.columns))
-    report = per_key.filter("_variants = 1 AND _written > 1").select(
-        *key, F.col("_written").alias("written"), (F.col("_written") - 1).alias("dropped")
+    # As one struct the key equals itself where a part is NULL.
+    keyed = df.withColumn("_k", F.struct(*key))
+    repeated = materialise(keyed.groupBy("_k").agg(F.count("*").alias("_n")).filter("_n > 1").select("_k"), "repeated-keys")
+    again = keyed.join(repeated, "_k", "left_semi")
+    variants = again.groupBy("_k", *df.columns).agg(F.count("*").alias("_copies"))
+    per_key = materialise(
+        variants.groupBy("_k").agg(F.count("*").alias("_variants"), F.sum("_copies").alias("_written")), "repeated-variants"
     )
+    single, clash = per_key.filter("_variants = 1"), per_key.filter("_variants > 1")
+    kept = union_all([
+        keyed.join(repeated, "_k", "left_anti").select(*df.columns),
+        variants.join(single.select("_k"), "_k", "left_semi").select(*df.columns),
+        again.join(clash.select("_k"), "_k", "left_semi").select(*df.columns),
+    ])
+    report = single.select("_k.*", F.col("_written").alias("written"), (F.col("_written") - 1).alias("dropped"))
     return kept, report
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from veracat.functions.cells import extract_tags
 from veracat.functions.rules import tag_class
 from veracat.operators import derive, filters
+from veracat.session import materialise
 from veracat.workload.registry import joined, query, text
 
 
@@ -35,8 +36,12 @@ INDEX_SQL = """pindex AS (SELECT p.entity AS protein_accession, max(p.l_returnfl
   FROM members p LEFT JOIN presence d ON d.dataset_id = p.dataset_id AND d.protein_accession = p.entity GROUP BY 1)"""
 
 
-def index(t):
+def index(t, keep_presence=False):
+    """(presence, index over it). Where the caller reads the presence too, it is written once instead
+    of being computed twice."""
     _, p = presence(t)
+    if keep_presence:
+        p = materialise(p, "presence")
     entities = t.lines.select("dataset_id", F.col("entity").alias("protein_accession"), (F.col("label") == "contaminant").alias("is_contaminant"),
                               F.col("l_returnflag").alias("gene"), F.col("l_linestatus").alias("organism"))
     return p, derive.entity_index(entities, p)
@@ -57,7 +62,7 @@ def entity_index(t):
 FROM presence p JOIN pindex i USING (protein_accession) WHERE p.n_protein_groups > 0 OR p.n_peptidoforms > 0""", lines=True)
 def where_is_evidence(t):
     """In which datasets does an entity have accepted evidence, and how much?"""
-    p, i = index(t)
+    p, i = index(t, keep_presence=True)
     return p.filter("n_protein_groups > 0 OR n_peptidoforms > 0").join(i.select("protein_accession", "n_datasets_1pct"), "protein_accession").select(
         "dataset_id", "protein_accession", "n_protein_groups", "n_peptidoforms", "best_q_value", "n_datasets_1pct"
     )

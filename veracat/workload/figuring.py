@@ -86,7 +86,7 @@ def severity_order(t):
 @query(f"""+{PRESENCE_SQL}, {INDEX_SQL} SELECT protein_accession, i.gene, string_agg(dataset_id || '=' || n_protein_groups || '/' || n_peptidoforms, ';' ORDER BY dataset_id, n_protein_groups, n_peptidoforms) AS datasets
 FROM presence p JOIN pindex i USING (protein_accession) WHERE n_protein_groups > 0 OR n_peptidoforms > 0 GROUP BY ALL""", lines=True)
 def presence_join(t):
-    p, i = index(t)
+    p, i = index(t, keep_presence=True)
     out = figures.presence_join(p, i, attributes=["gene"])
     entry = F.transform("datasets", lambda d: F.concat(d["dataset_id"], F.lit("="), d["n_protein_groups"].cast("string"), F.lit("/"), d["n_peptidoforms"].cast("string")))
     return out.select("protein_accession", "gene", F.array_join(entry, ";").alias("datasets"))
