@@ -73,7 +73,8 @@ def write(folder):
         "fetch.json": {"files": [{"name": "runA.raw", "sha256": "a", "pride_checksum": "x", "category": "RAW"}, {"name": "runB.raw", "sha256": "b", "category": "RAW"}, {"name": "notes.txt", "category": "OTHER"}]},
         "qc.json": {"runA.raw": {"pass": True, "ms2": 20, "run_minutes": 90.0, "ms2_analyzer_dissociation": {"Trap/HCD": 20}}, "runB.raw": {"pass": True, "ms2": 10, "run_minutes": 60.0},
                     "blank.raw": {"pass": False, "ms2": 1}},
-        "provenance.json": {"schema": "aging-provenance/3", "stage": "search", "started_utc": "2024-01-01T00:00:00+00:00", "pipeline": {"repo": "r", "commit": "c"}, "id_rate": {"psms_1pct": 2, "ms2": 30, "rate": 0.1},
+        "provenance.json": {"schema": "aging-provenance/3", "stage": "search", "started_utc": "2024-01-01T00:00:00+00:00", "pipeline": {"repo": "r", "commit": "c"}, "id_rate": {"psms_1pct": 2, "ms2": 30, "rate": 0.1}, "tools": {"Engine": {"release": "9.9"}}, "params": {"tasks": ["a", "b"]},
+                            "mbr": {"mbr_rows": 12, "mbr_fdr_threshold": 0.01}, "resources": {"wall_s": 7.5},
                             "inputs": [{"path": "t/Search.toml", "sha256": "0"}, {"path": "db/proteins.fasta", "sha256": "1"}], "flags": ["low_id_rate: few", "odd thing: detail"],
                             "excluded_files": {"files": ["blank.raw"], "reason": "too_few_ms2"}},
     }

@@ -15,7 +15,7 @@ from veracat.plans.ingest import Search, ingest
 def snapshot(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("instance")
     paths = searchfiles.write(str(root / "files"))
-    s = Search("PX1", **paths, title="Small", organism="NCBITaxon:9606", expected_files=2, engine_version="1",
+    s = Search("PX1", **paths, title="Small", organism="NCBITaxon:9606", expected_files=2, engine="Engine", engine_version="1",
                declared_lists=[("fixed", "Common Fixed\tCarbamidomethyl on C"), ("variable", "A\tAcetylation on X\t\tB\tNever seen on S")])
     return ingest(spark, s, str(root / "store")), s, str(root)
 
@@ -95,6 +95,20 @@ def test_declared_modifications(spark, snapshot):
     assert got["Never seen on S"]["modification"] is None and got["Never seen on S"]["residues"] == "S"
 
 
+def test_provenance_and_metrics(spark, snapshot):
+    record = rows(spark, snapshot[0], "provenance_records")[0]
+    assert (record["stage"], record["pipeline_commit"], record["wall_seconds"]) == ("search", "c", 7.5)
+    assert record["params_json"] == '{"tasks": ["a", "b"]}' and len(record["original_sha256"]) == 64
+    metrics = {(r["scope"], r["name"], r["source"]): (r["value"], r["definition_id"]) for r in rows(spark, snapshot[0], "metrics")}
+    assert metrics[("dataset", "psms_1pct", "id_rate.psms_1pct")] == (2.0, "aging:DEF-PSM-1PCT")
+    assert metrics[("dataset", "mbr_rows", "mbr")] == (12.0, "QuantProject:DEF-QC-MBR")
+    assert metrics[("run", "ms2_scans", "report")] == (20.0, "aging:DEF-MS2")
+    versions = {r["definition_id"]: r["version"] for r in rows(spark, snapshot[0], "definitions")}
+    assert versions["pep:DEF-PEP"] == "Engine 9.9; regime not recorded" and "aging:DEF-PRECURSORS" not in versions
+    assert rows(spark, snapshot[0], "datasets")[0]["search_engine_version"] == "9.9"
+    assert rows(spark, snapshot[0], "datasets")[0]["search_database"] == "proteins.fasta"
+
+
 def test_second_ingest_is_a_no_op(spark, snapshot):
     folder, s, root = snapshot
     before = os.path.getmtime(f"{folder}/bundle.json")

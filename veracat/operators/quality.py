@@ -112,16 +112,19 @@ def collapse_exact_duplicates(df: DataFrame, key: Sequence[str]) -> tuple[DataFr
     # As one struct the key equals itself where a part is NULL.
     keyed = df.withColumn("_k", F.struct(*key))
     repeated = materialise(keyed.groupBy("_k").agg(F.count("*").alias("_n")).filter("_n > 1").select("_k"), "repeated-keys")
-    again = keyed.join(repeated, "_k", "left_semi")
+    # Outer and inner joins on distinct keys say what semi and anti joins would, and the optimizer
+    # does not try to push them through a union below.
+    marked = keyed.join(repeated.withColumn("_again", F.lit(True)), "_k", "left")
+    again = marked.filter("_again").drop("_again")
     variants = again.groupBy("_k", *df.columns).agg(F.count("*").alias("_copies"))
     per_key = materialise(
         variants.groupBy("_k").agg(F.count("*").alias("_variants"), F.sum("_copies").alias("_written")), "repeated-variants"
     )
     single, clash = per_key.filter("_variants = 1"), per_key.filter("_variants > 1")
     kept = union_all([
-        keyed.join(repeated, "_k", "left_anti").select(*df.columns),
-        variants.join(single.select("_k"), "_k", "left_semi").select(*df.columns),
-        again.join(clash.select("_k"), "_k", "left_semi").select(*df.columns),
+        marked.filter("_again IS NULL").select(*df.columns),
+        variants.join(single.select("_k"), "_k").select(*df.columns),
+        again.join(clash.select("_k"), "_k").select(*df.columns),
     ])
     report = single.select("_k.*", F.col("_written").alias("written"), (F.col("_written") - 1).alias("dropped"))
     return kept, report

@@ -267,19 +267,26 @@ def sample_names(samples: DataFrame, characteristics: DataFrame, columns: Mappin
 # ---------------------------------------------------------------- provenance
 
 def provenance_record(docs: DataFrame, stage_fallback: Column, dataset_id: str | Column) -> DataFrame:
-    """Flat columns of a provenance document, its heavy blocks as JSON text."""
+    """Flat columns of a provenance document, its heavy blocks as JSON text. A block may be read as
+    text, which keeps it as written, or with a type."""
+    text_blocks = {f.name for f in docs.schema if f.dataType.simpleString() == "string"}
+
     def block(name: str) -> Column:
-        text = F.to_json(name)
+        text = F.col(name) if name in text_blocks else F.to_json(name)
         return F.when(F.col(name).isNotNull() & (text != "{}"), text)
 
+    def resource(key: str) -> Column:
+        value = F.get_json_object("resources", f"$.{key}") if "resources" in text_blocks else F.col(f"resources.{key}")
+        return value.try_cast("double")
+
     return docs.select(
         _as_col(dataset_id).alias("dataset_id"), F.coalesce(F.nullif("stage", F.lit("")), stage_fallback).alias("stage"),
         F.coalesce("schema", F.lit("")).alias("provenance_schema"), F.col("started_utc").try_cast("timestamp").alias("started_utc"),
         F.col("finished_utc").try_cast("timestamp").alias("finished_utc"), F.col("pipeline.repo").alias("pipeline_repo"),
         F.col("pipeline.commit").alias("pipeline_commit"), F.col("params_file.sha256").alias("params_sha256"),
         block("tools").alias("tools_json"), block("params").alias("params_json"),
-        F.col("resources.wall_s").cast("double").alias("wall_seconds"),
-        F.col("resources.peak_rss_gib").cast("double").alias("peak_rss_gib"), block("resources").alias("resources_json"),
+        resource("wall_s").alias("wall_seconds"),
+        resource("peak_rss_gib").alias("peak_rss_gib"), block("resources").alias("resources_json"),
         F.col("document_path").alias("original_path"), F.col("sha256").alias("original_sha256"),
     )
 

@@ -52,6 +52,7 @@ class Search:
     expected_files: int | None = None
     engine: str = "search engine"
     engine_version: str | None = None
+    regime: str | None = None
     policy: str | None = "RemoveContaminant"
     search_label: str = "standard"
     threshold: float = 0.01
@@ -153,9 +154,15 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
         ident.any_column(raw, *P.MATCH_COLUMNS["previous"]).alias("previous"))
     site_table, unplaced = sites.site_rows(matches, forms, sequences, s.dataset_id, s.threshold)
     site_table, unplaced = materialise(site_table, "sites"), materialise(unplaced, "unplaced")
+    unsafe = sites.unsafe_names(site_table).select("modification_name").first()
+    if unsafe:
+        raise ValueError(f"modification name {unsafe[0]!r} holds the key separator: its token did not parse")
 
     # Quantities.
     parts = []
+    head = docs.select(F.col("mbr.mbr_fdr_threshold").alias("t"), F.get_json_object("tools", f"$.{s.engine}.release").alias("release")).first() if docs is not None else None
+    mbr_threshold = head["t"] if head and head["t"] is not None else 0.01
+    release = (head["release"] if head else None) or s.engine_version
     run_of = lambda df, c: ident.resolve_names(df, c, names, "name", "_run").withColumn("_run", F.coalesce("_run", c))
     if wide is not None:
         gid = canonical_key(F.array_sort(split_list(P.GROUP_COLUMNS["accession"])), d)
@@ -168,7 +175,7 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
         long = run_of(quant.melt_with_detection(own, ["notation", "proforma"]), "run")
         if s.peaks:
             peaks = run_of(files.read_wide_tsv(spark, s.peaks).select(F.col("File Name").alias("file"), F.col("Full Sequence").alias("notation"), F.col("PIP Q-Value").alias("q")), "file")
-            best = quant.best_quality(peaks.filter("notation <> ''"), ["_run", "notation"], "q", s.threshold)
+            best = quant.best_quality(peaks.filter("notation <> ''"), ["_run", "notation"], "q", mbr_threshold)
             long = quant.attach_quality(long, best, ["_run", "notation"])
         parts.append(quant.quant_rows(long, d, F.col("_run"), "peptidoform", F.concat(d, F.lit(":"), "proforma"), F.lit("QuantProject:DEF-PEP-INT")))
     quantities = quality.union_all(parts) if parts else S.empty_like(spark, S.struct_type("quant_values"))
@@ -179,7 +186,8 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
     reports = []
     for name, df in tables.items():
         key = S.IDENTIFIERS.get(name) or S.COMPOSITE_KEYS[name]
-        kept, report = quality.collapse_exact_duplicates(coerce(df, S.struct_type(name)), key)
+        typed = materialise(coerce(df, S.struct_type(name)), f"{name}-typed")
+        kept, report = quality.collapse_exact_duplicates(typed, key)
         tables[name] = materialise(kept, name)
         reports.append(report.agg(F.count("*").alias("n"), F.sum("dropped").alias("dropped")).filter("n > 0").select(F.lit(name).alias("table"), "n", "dropped"))
 
@@ -195,9 +203,10 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
         layout = samples.layout_of("schema", P.LAYOUTS)
         if docs.filter(layout.isNull()).count():
             raise ValueError("a provenance document has a schema this plan was not taught")
-        rate = docs.select(d.alias("dataset_id"), layout.alias("layout"), F.col("id_rate.*"))
+        rate = docs.select(d.alias("dataset_id"), layout.alias("layout"), F.col("id_rate.*"), F.col("mbr.*"))
         fields = {"psms_1pct": "psms_1pct", "ms2": "ms2", "id_rate": "rate",
-                  "psms_fdr_engine_1pct": F.when(F.col("layout") == 2, F.col("psms_1pct")).otherwise(F.col("psms_fdr_engine_1pct"))}
+                  "psms_fdr_engine_1pct": F.when(F.col("layout") == 2, F.col("psms_1pct")).otherwise(F.col("psms_fdr_engine_1pct")),
+                  **{c: c for c in ("mbr_rows", "mbr_kept", "msms_peaks", "kept_over_msms", "mbr_fdr_threshold")}}
         known = _frame(spark, P.PROVENANCE_METRICS, "name string, layout int, definition_id string, source string")
         found_metrics = samples.metric_rows(rate, ["dataset_id"], fields, known)
         metrics.append(_metric(found_metrics, F.lit("dataset"), F.col("dataset_id"), F.col("name"), F.col("value"), F.col("definition_id"), F.col("source")))
@@ -241,13 +250,13 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
     hits = lookup_with_preference(pairs.select("name", F.lit(None).cast("string").alias("residue")), registry)
     accession = hits.select("name", F.concat(F.lit("UNIMOD:"), F.col("unimod").cast("string")).alias("accession"))
     declared_mods = ident.declared_modifications(pairs, accession, F.struct("at", "pair_position")).withColumn("dataset_id", d)
-    definitions = _frame(spark, [(i, v, o, x, None) for i, v, o, x in P.DEFINITIONS], "definition_id string, version string, owner_project string, text string, url string")
+    definitions = _frame(spark, [(i, f"{s.engine} {release or 'release not recorded'}; regime {s.regime or 'not recorded'}" if i == "pep:DEF-PEP" else v, o, x, None) for i, v, o, x in P.DEFINITIONS], "definition_id string, version string, owner_project string, text string, url string")
     implied = ["aging:DEF-PSM-NOTCH-AMBIGUOUS", "pep:DEF-PEP"]
     inputs = docs.select(F.posexplode("inputs").alias("at", "i")).select(d.alias("dataset_id"), "at", "i.*") if docs is not None else _frame(spark, [], "dataset_id string, at int, path string, sha256 string")
-    declared = _frame(spark, [(s.dataset_id, s.title, s.acquisition, s.quant_method, s.labelling, None, s.engine_version, s.mixed_enrichment or len(set(s.run_enrichment.values())) > 1, sheet_status)],
+    declared = _frame(spark, [(s.dataset_id, s.title, s.acquisition, s.quant_method, s.labelling, None, release, s.mixed_enrichment or len(set(s.run_enrichment.values())) > 1, sheet_status)],
                       "dataset_id string, title string, acquisition string, quant_method string, labelling string, recorded_version string, declared_version string, enrichment_mixed boolean, sdrf_status string")
     row = samples.dataset_row(declared, facts.select(d.alias("dataset_id"), "instrument_model"), files.first_matching_input(inputs, ["dataset_id"], "path", "sha256", "at"), F.lit(s.search_label), s.engine) \
-        .withColumn("organisms", F.array(F.lit(s.organism or ""))).withColumn("enrichment", F.array(*[F.lit(v) for v in s.enrichment])).withColumn("axis_source", F.lit("provenance"))
+        .withColumn("organisms", F.array(*([F.lit(s.organism)] if s.organism else [])).cast("array<string>")).withColumn("enrichment", F.array(*[F.lit(v) for v in s.enrichment])).withColumn("axis_source", F.lit("provenance"))
     tables.update({
         "datasets": row, "sample_characteristics": characteristics, "psms": psms, "ptm_stoichiometry": stoichiometry, "search_modifications_declared": declared_mods,
         "definitions": samples.definitions_used(definitions, [tables["metrics"], tables["quant_values"], stoichiometry], implied),
@@ -376,7 +385,7 @@ def ingest(spark: SparkSession, s: Search, store: str) -> str:
     present = {role: p for role, p in paths.items() if p}
     digests = files.file_digests(spark, sorted(set(present.values()))).withColumn("path", files.plain_path("path"))
     roles = _frame(spark, present.items(), "role string, path string")
-    prose = ("title", "organism", "acquisition", "quant_method", "labelling", "enrichment", "mixed_enrichment", "run_enrichment", "expected_files", "engine_version", "policy", "search_label", "declared_lists")
+    prose = ("title", "organism", "acquisition", "quant_method", "labelling", "enrichment", "mixed_enrichment", "run_enrichment", "expected_files", "engine", "engine_version", "regime", "policy", "search_label", "declared_lists")
     content = _frame(spark, [(repr([(k, getattr(s, k)) for k in prose]),)], "c string").select(F.lit("declaration").alias("role"), F.lit("").alias("path"), F.sha2("c", 256).alias("sha256"))
     sources = roles.join(digests.select("path", "sha256"), "path").select("role", "path", "sha256").unionByName(content).withColumn("dataset_id", F.lit(s.dataset_id))
     identity = snapshot_id(sources, ["dataset_id"], ["ingest/1", f"schema/{S.SCHEMA_VERSION}", s.dataset_id], order=["role"]).first()["snapshot_id"]

@@ -66,6 +66,11 @@ PROVENANCE_METRICS = [
     ("psms_fdr_engine_1pct", 2, "aging:DEF-PSM-FDRENGINE", "id_rate.psms_1pct"),
     ("ms2", None, "aging:DEF-MS2", "id_rate.ms2"),
     ("id_rate", None, "aging:DEF-ID-RATE", "id_rate.rate"),
+    ("mbr_rows", None, "QuantProject:DEF-QC-MBR", "mbr"),
+    ("mbr_kept", None, "QuantProject:DEF-QC-MBR", "mbr"),
+    ("msms_peaks", None, "QuantProject:DEF-QC-MBR", "mbr"),
+    ("kept_over_msms", None, "QuantProject:DEF-QC-MBR", "mbr"),
+    ("mbr_fdr_threshold", None, "QuantProject:DEF-QC-MBR", "mbr"),
 ]
 LAYOUTS = {"aging-provenance/2": 2, "aging-provenance/3": 3}
 
@@ -79,9 +84,10 @@ REPORT_METRICS = {
 
 PROVENANCE_SCHEMA = (
     "schema string, stage string, started_utc string, finished_utc string, pipeline struct<repo:string,commit:string>, "
-    "params_file struct<sha256:string>, params map<string,string>, tools map<string,string>, resources map<string,string>, "
+    "params_file struct<sha256:string>, params string, tools string, resources string, "
     "inputs array<struct<path:string,sha256:string>>, flags array<string>, "
-    "id_rate struct<psms_1pct:double,psms_fdr_engine_1pct:double,ms2:double,rate:double>, mbr struct<mbr_fdr_threshold:double>, "
+    "id_rate struct<psms_1pct:double,psms_fdr_engine_1pct:double,ms2:double,rate:double>, "
+    "mbr struct<mbr_rows:double,mbr_kept:double,msms_peaks:double,kept_over_msms:double,mbr_fdr_threshold:double>, "
     "excluded_files struct<files:array<string>,reason:string>, "
     "contamination struct<psm_share:double,contaminant_psms:double,target_plus_contaminant_psms:double,"
     "intensity_share_per_file:map<string,double>,intensity_share_median:double,intensity_share_min:double,intensity_share_max:double>"
