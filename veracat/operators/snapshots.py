@@ -94,7 +94,7 @@ def read_snapshots(spark: SparkSession, table: str, snapshots: Sequence[tuple[st
     origin = spark.createDataFrame([(d, b) for d, b, _ in snapshots], "dataset_id string, bundle_id string")
     own = [c for c in rows.columns if c != "dataset_id"]
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
-    return rows.select(folder.alias("bundle_id"), *own).join(F.broadcast(origin), "bundle_id").select("dataset_id", "bundle_id", *own)
+    return rows.select(folder.alias("bundle_id"), *own).join(origin, "bundle_id").select("dataset_id", "bundle_id", *own)
 
 
 def write_snapshot(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, snapshot: str, manifest: Mapping[str, str],
