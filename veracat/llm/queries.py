@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracat.llm import mixing, quality
+from veracat.llm import decontaminate, mixing, quality
 from veracat.session import configure
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -35,3 +35,8 @@ def op4_quality_ledger(table):
     entries = quality.apply_policy(quality.ledger(table("documents")), "v1")
     base_failed = F.col("failures").bitwiseAND(F.lit(quality.mask("base")).cast("bigint")) != 0
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), (F.col("kept") & ~base_failed).alias("kept"))
+
+
+@query(decontaminate.SQL)
+def op8_decontaminate(table):
+    return decontaminate.annotate(table("documents"), table("benchmark"))
