@@ -38,6 +38,12 @@ def grams(items: Column, n: int) -> Column:
     return F.when(F.size(items) >= n, F.transform(starts, lambda i: F.xxhash64(F.slice(items, i, F.lit(n))))).otherwise(F.array().cast("array<bigint>"))
 
 
+def let(value: Column, body) -> Column:
+    """Bind an expression once, as the variable of a lambda over a list of one: an expression that stands
+    inside another lambda is computed anew for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def free(df: DataFrame, *wanted: str) -> list[str]:
     """Column names that the frame does not use yet, compared as Spark does, without case."""
     taken = {c.lower() for c in df.columns}

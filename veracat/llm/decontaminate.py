@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracat.llm.common import folded_words, grams, whole
+from veracat.llm.common import folded_words, grams, let, whole
 from veracat.session import materialise
 
 WINDOW = 10
@@ -19,10 +19,11 @@ def winnow(items: Column, window: int = WINDOW, gram: int = GRAM) -> Column:
     no shared stretch of that length goes unseen.
     """
     span = window - gram + 1
-    h = grams(items, gram)
-    starts = F.sequence(F.lit(1), F.size(h) - (span - 1))
-    least = F.when(F.size(h) >= span, F.transform(starts, lambda i: F.array_min(F.slice(h, i, F.lit(span)))))
-    return F.array_distinct(F.coalesce(least, F.array().cast("array<bigint>")))
+
+    def least(h: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(h) - (span - 1)), lambda i: F.array_min(F.slice(h, i, F.lit(span))))
+
+    return F.when(F.size(items) >= window, F.array_distinct(let(grams(items, gram), least))).otherwise(F.array().cast("array<bigint>"))
 
 
 def windows(items: Column, n: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracat.llm.common import grams, whole, without, words
+from veracat.llm.common import grams, let, whole, without, words
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -56,12 +56,7 @@ def repeated_words(items: Column, n: int = WINDOW) -> Column:
 
     # Most texts repeat no window; these need no sort.
     some = F.size(F.array_distinct(hashes)) < F.size(hashes)
-    return F.when(some, _let(F.sort_array(marked), lambda o: _let(places(o), reach))).otherwise(F.lit(0).cast("bigint"))
-
-
-def _let(value: Column, body) -> Column:
-    """Bind an expression once: a lambda over a list of one."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.when(some, let(F.sort_array(marked), lambda o: let(places(o), reach))).otherwise(F.lit(0).cast("bigint"))
 
 
 def measures(text: str) -> dict[str, Column]:
