@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veracat.session import materialise
+from veracat.session import configure, materialise
 
 # Fixed: the white space of the word definition, and the characters between lower-case ASCII words.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def settings(spark: SparkSession) -> SparkSession:
+    """The library's settings, with Arrow batches small enough for rows that hold whole texts."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return spark
+
+
 def whole(text: str | Column) -> Column:
     """A text, with NULL as the empty one."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

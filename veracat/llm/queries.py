@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracat.llm import decontaminate, mixing, quality
-from veracat.session import configure
+from veracat.llm import decontaminate, language, mixing, quality, tokens, warc
+from veracat.llm.common import settings
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -16,7 +16,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 def query(sql: str | None = None):
     def add(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            configure(spark)
+            settings(spark)
             return fn(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
         QUERIES[fn.__name__] = (run, sql)
@@ -40,3 +40,33 @@ def op4_quality_ledger(table):
 @query(decontaminate.SQL)
 def op8_decontaminate(table):
     return decontaminate.annotate(table("documents"), table("benchmark"))
+
+
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op2_token_files(table):
+    return tokens.encode_to_orc(table("documents"), word_bpe())
+
+
+@query()
+def op9_token_counts(table):
+    return tokens.count_tokens(table("documents"), word_bpe())
+
+
+@query()
+def op6_language_id(table):
+    docs = table("documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    profiles = language.fit(docs.where((remainder != 2) & F.col("lang").isNotNull()), "doc_id", "text", "lang")
+    held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
+    return language.identify(docs.select("doc_id", "text", held_out), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op7_warc_archive(table):
+    return warc.archive(table("pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
