@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracat.llm import decontaminate, language, mixing, quality, tokens, warc
+from veracat.llm import chosen_path, decontaminate, language, mixing, quality, tokens, warc
 from veracat.llm.common import settings
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -70,3 +70,8 @@ def op6_language_id(table):
 @query()
 def op7_warc_archive(table):
     return warc.archive(table("pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op5_chosen_path_join(table):
+    return chosen_path.join(table("documents")).select("doc_id", "class_id", "n_links")
