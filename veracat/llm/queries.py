@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracat.llm import chosen_path, decontaminate, language, mixing, quality, tokens, warc
+from veracat.llm import chosen_path, decontaminate, language, mixing, paragraphs, quality, tokens, warc
 from veracat.llm.common import settings
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -75,3 +75,8 @@ def op7_warc_archive(table):
 @query()
 def op5_chosen_path_join(table):
     return chosen_path.join(table("documents")).select("doc_id", "class_id", "n_links")
+
+
+@query()
+def op10_repeated_paragraphs(table):
+    return paragraphs.per_document(paragraphs.repeats(table("documents")))
