@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracat.llm import chosen_path, decontaminate, language, mixing, paragraphs, quality, tokens, warc
+from veracat.llm import chosen_path, decontaminate, language, lines, mixing, paragraphs, quality, tokens, warc
 from veracat.llm.common import settings
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -80,3 +80,8 @@ def op5_chosen_path_join(table):
 @query()
 def op10_repeated_paragraphs(table):
     return paragraphs.per_document(paragraphs.repeats(table("documents")))
+
+
+@query(lines.SQL)
+def op1_line_dedup(table):
+    return lines.dedup_lines(table("documents")).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
