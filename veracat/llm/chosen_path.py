@@ -152,7 +152,8 @@ def plausible(members: DataFrame, threshold: float, sample: int = SAMPLE) -> Dat
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs``: doc_id, digest (md5 of the text), class_id, n_links.
+    """One row per row of ``docs``: doc_id, digest (md5 of the text), class_id, n_links, root (the class, also where
+    no doc_id names it; NULL for a text without words).
 
     ``n_links`` counts the other rows whose set of word shingles has a Jaccard similarity of ``threshold`` or
     more; rows that are linked, directly or over others, share a class, named by its smallest doc_id. Rows with
@@ -195,6 +196,27 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
     per_set = held.join(links, held["set_id"] == links["id"], "left").join(rooted, held["set_id"] == rooted["node"], "left")
     per_set = materialise(per_set.select("set_id", "smallest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "set_id").alias("root")), "classes")
     named_class = per_set.groupBy("root").agg(F.min("smallest").alias("class_id"))
-    classes = per_set.join(named_class, "root").select(F.col("set_id").alias("of_set"), "class_id", "n_links")
+    classes = per_set.join(named_class, "root").select(F.col("set_id").alias("of_set"), "class_id", "n_links", "root")
     out = measured.select("doc_id", "digest", "set_id").join(classes, F.col("set_id") == F.col("of_set"), "left")
-    return out.select("doc_id", "digest", F.when(F.col("set_id") == "", F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), (F.col("set_id") == "").alias("blank"))
+    return out.select("doc_id", "digest", F.when(F.col("set_id") == "", F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "root")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with one of each class: that with the smallest doc_id (NULL last), then digest. Texts
+    without words all stay. Of rows repeated in id and text one stays, whichever Spark meets first."""
+    classes = join(docs, doc_id, text, **options)
+    rows = classes.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("times"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    first = rows.where("root is not null").groupBy("root").agg(F.min_by(F.struct("doc_id", "digest", "times"), order).alias("x")).select("x.*")
+    blank = rows.where("root is null").select("doc_id", "digest", F.lit(1).cast("bigint").alias("times"))
+    keepers = materialise(first.unionByName(blank).select(F.col("doc_id").alias("of_doc"), F.col("digest").alias("of_digest"), "times"), "keepers")
+    packed = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("its_id"), F.md5(whole(text)).alias("its_digest"))
+
+    def kept(some: DataFrame) -> DataFrame:
+        return packed.join(some, F.col("its_id").eqNullSafe(F.col("of_doc")) & (F.col("its_digest") == F.col("of_digest")), "left_semi")
+
+    out = kept(keepers.where("times = 1"))
+    several = keepers.where("times > 1")
+    if not several.isEmpty():
+        out = out.unionByName(kept(several).dropDuplicates(["its_id", "its_digest"]))
+    return out.select([F.col("row")[c].alias(c) for c in docs.columns])
