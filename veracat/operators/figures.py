@@ -64,13 +64,15 @@ def conditional_counts(rows: DataFrame, code: str, codes: Mapping[str, str]) ->
 
 def headline_sums(overview: DataFrame, sums: Mapping[str, str], reports: DataFrame, value: str, dataset: str = "dataset_id") -> DataFrame:
     """One row of totals, and how many datasets report a figure some cannot supply."""
+    # Counts are added as whole numbers: a double loses them above 2^53.
+    none = F.lit(None).cast("bigint")
     rows = union_all([
-        overview.select(F.lit("d").alias("k"), *[F.col(c).cast("double").alias(n) for n, c in sums.items()], F.lit(None).cast("double").alias("_v"), F.lit(None).cast("string").alias("_d")),
-        reports.select(F.lit("r").alias("k"), *[F.lit(None).cast("double").alias(n) for n in sums], F.col(value).cast("double").alias("_v"), F.col(dataset).cast("string").alias("_d")),
+        overview.select(F.lit("d").alias("k"), *[F.col(c).cast("bigint").alias(n) for n, c in sums.items()], none.alias("_v"), F.lit(None).cast("string").alias("_d")),
+        reports.select(F.lit("r").alias("k"), *[none.alias(n) for n in sums], F.col(value).cast("bigint").alias("_v"), F.col(dataset).cast("string").alias("_d")),
     ])
     return rows.agg(
-        F.count_if(F.col("k") == "d").alias("n_datasets"), *[F.sum(n).cast("bigint").alias(n) for n in sums],
-        F.sum("_v").cast("bigint").alias("reported"), F.count_distinct("_d").alias("n_reporting"),
+        F.count_if(F.col("k") == "d").alias("n_datasets"), *[F.sum(n).alias(n) for n in sums],
+        F.sum("_v").alias("reported"), F.count_distinct("_d").alias("n_reporting"),
     )
 
 

@@ -22,14 +22,22 @@ def accepted_matches(df: DataFrame, label: str = "target_decoy", q: str = "q_val
     return df.filter((F.col(label) == "target") & (F.col(q) <= t) & _notch_ok(q_notch, t) & ~F.coalesce(F.col(ambiguous), F.lit(False)))
 
 
+def form_rule(label: str = "target_decoy", q: str = "best_q_value", q_notch: str = "best_q_value_notch", t: float = THRESHOLD) -> Column:
+    return (F.col(label) == "target") & (F.col(q) <= t) & _notch_ok(q_notch, t)
+
+
 def accepted_forms(df: DataFrame, label: str = "target_decoy", q: str = "best_q_value", q_notch: str = "best_q_value_notch",
                    t: float = THRESHOLD) -> DataFrame:
-    return df.filter((F.col(label) == "target") & (F.col(q) <= t) & _notch_ok(q_notch, t))
+    return df.filter(form_rule(label, q, q_notch, t))
 
 
-def accepted_groups(df: DataFrame, label: str = "target_decoy", q: str = "q_value", t: float = THRESHOLD) -> DataFrame:
+def group_rule(label: str = "target_decoy", q: str = "q_value", t: float = THRESHOLD) -> Column:
     """Anything but a decoy, contaminants included. A group without a label is not accepted."""
-    return df.filter((F.col(label) != "decoy") & (F.col(q) <= t))
+    return (F.col(label) != "decoy") & (F.col(q) <= t)
+
+
+def accepted_groups(df: DataFrame, label: str = "target_decoy", q: str = "q_value", t: float = THRESHOLD) -> DataFrame:
+    return df.filter(group_rule(label, q, t))
 
 
 def without_decoys(df: DataFrame, accession: str) -> DataFrame:

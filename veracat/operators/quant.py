@@ -27,7 +27,9 @@ def melt_measures(df: DataFrame, ids: Sequence[str], families: Mapping[str, bool
             c = F.col(f"`{column}`").cast("string")
             cells.append(F.struct(F.lit(name).alias("r"), F.lit(prefix).alias("m"),
                                   (number(c) if zero_is_value else measured(c)).alias("v")))
-    long = df.select(*ids, F.explode(F.array(*cells)).alias("_c"))
+    # Without a column of any family there are no cells, and so no rows.
+    listed = F.array(*cells) if cells else F.array().cast("array<struct<r:string,m:string,v:double>>")
+    long = df.select(*ids, F.explode(listed).alias("_c"))
     return long.filter("_c.v IS NOT NULL").select(
         *ids, F.col("_c.r").alias(run), F.col("_c.m").alias(measure), F.col("_c.v").alias(value)
     )
@@ -41,7 +43,8 @@ def melt_with_detection(df: DataFrame, ids: Sequence[str], value_prefix: str = "
                  (detection_type(F.col(f"`{labels[name]}`")) if name in labels else F.lit(None).cast("string")).alias("d"))
         for name, column in wide_columns(df, value_prefix).items()
     ]
-    long = df.select(*ids, F.explode(F.array(*cells)).alias("_c")).filter("_c.v IS NOT NULL")
+    listed = F.array(*cells) if cells else F.array().cast("array<struct<r:string,v:double,d:string>>")
+    long = df.select(*ids, F.explode(listed).alias("_c")).filter("_c.v IS NOT NULL")
     return long.select(*ids, F.col("_c.r").alias("run"), F.col("_c.v").alias("value"), F.col("_c.d").alias("detection_type"))
 
 

@@ -18,7 +18,6 @@ from veracat.operators.quality import union_all
 
 ROW_CAP = 1_000
 CHAR_CAP = 50_000
-SEARCH_LIMIT = 25
 
 # Fixed format: text that is also tried as a peptide sequence.
 SEQUENCE_QUERY = "^[ACDEFGHIKLMNPQRSTVWY]{6,}$"
@@ -36,17 +35,18 @@ def any_contains(columns: Sequence[str | Column], query: str) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text_of(c), F.lit(query.lower())) for c in columns])
 
 
-def ranked_hits(hits: DataFrame, order: Sequence[Column], limit: int = SEARCH_LIMIT) -> DataFrame:
-    """The first ``limit`` + 1 hits."""
-    return hits.orderBy(*order).limit(limit + 1)
+def ranked_hits(hits: DataFrame, order: Sequence[Column], limit: int | None = None) -> DataFrame:
+    """All hits in order, or the first ``limit`` + 1, the last of which says that there are more."""
+    ordered = hits.orderBy(*order)
+    return ordered if limit is None else ordered.limit(limit + 1)
 
 
-def search_dataset(overview: DataFrame, query: str, key: str, texts: Sequence[str], lists: Sequence[str] = (), limit: int = SEARCH_LIMIT) -> DataFrame:
+def search_dataset(overview: DataFrame, query: str, key: str, texts: Sequence[str], lists: Sequence[str] = (), limit: int | None = None) -> DataFrame:
     cells = [*texts, *[F.array_join(c, " ") for c in lists]]
     return ranked_hits(overview.filter((F.upper(key) == query.upper()) | any_contains(cells, query)), [F.col(key)], limit)
 
 
-def search_entity(index: DataFrame, query: str, key: str, symbol: str, count: str, limit: int = SEARCH_LIMIT) -> DataFrame:
+def search_entity(index: DataFrame, query: str, key: str, symbol: str, count: str, limit: int | None = None) -> DataFrame:
     """Identifier or symbol equal, or the symbol's beginning. Decoys last, exact hits first."""
     q = query.upper()
     sym = F.upper(F.coalesce(symbol, F.lit("")))
@@ -55,14 +55,14 @@ def search_entity(index: DataFrame, query: str, key: str, symbol: str, count: st
     return ranked_hits(hits, [F.col("is_decoy"), exact.desc(), F.col(count).desc(), F.col(key)], limit)
 
 
-def search_sequence(index: DataFrame, query: str, key: str, count: str, limit: int = SEARCH_LIMIT) -> DataFrame:
+def search_sequence(index: DataFrame, query: str, key: str, count: str, limit: int | None = None) -> DataFrame:
     """Only text of six or more residue letters is a sequence; any other query gives no rows."""
     q = F.lit(query.upper())
     hits = index.filter(q.rlike(SEQUENCE_QUERY) & F.contains(F.col(key), q))
     return ranked_hits(hits, [(F.col(key) == q).desc(), F.col(count).desc(), F.col(key)], limit)
 
 
-def search_modification(sites: DataFrame, declared: DataFrame, query: str, dataset: str = "dataset_id", limit: int = SEARCH_LIMIT) -> tuple[DataFrame, DataFrame]:
+def search_modification(sites: DataFrame, declared: DataFrame, query: str, dataset: str = "dataset_id", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(what was placed, aggregated; what was declared). They are kept apart: a declared name with no
     site was searched for and not found."""
     hits = sites.filter(any_contains(["modification_name", "modification"], query))
@@ -78,7 +78,7 @@ def search_modification(sites: DataFrame, declared: DataFrame, query: str, datas
 
 
 def search_sample(samples: DataFrame, characteristics: DataFrame, query: str, listed: Sequence[str], also: Sequence[str] = (),
-                  dataset: str = "dataset_id", limit: int = SEARCH_LIMIT) -> tuple[DataFrame, DataFrame]:
+                  dataset: str = "dataset_id", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(datasets with the distinct values of each listed column, matching characteristics counted)."""
     hits = samples.filter(any_contains([*listed, *also], query)).groupBy(dataset).agg(
         F.count("*").alias("n_samples"), *[F.array_sort(F.collect_set(c)).alias(f"{c}s") for c in listed]
@@ -87,11 +87,11 @@ def search_sample(samples: DataFrame, characteristics: DataFrame, query: str, li
     return ranked_hits(hits, [F.col(dataset)], limit), ranked_hits(named, [F.col("n_samples").desc(), F.col("name"), F.col("value")], limit)
 
 
-def search_run(runs: DataFrame, query: str, texts: Sequence[str], order: Sequence[str], limit: int = SEARCH_LIMIT) -> DataFrame:
+def search_run(runs: DataFrame, query: str, texts: Sequence[str], order: Sequence[str], limit: int | None = None) -> DataFrame:
     return ranked_hits(runs.filter(any_contains(texts, query)), [F.col(c) for c in order], limit)
 
 
-def search_definition(definitions: DataFrame, metrics: DataFrame, query: str, limit: int = SEARCH_LIMIT) -> tuple[DataFrame, DataFrame]:
+def search_definition(definitions: DataFrame, metrics: DataFrame, query: str, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     told = definitions.filter(any_contains(["definition_id", "text"], query)).select("definition_id", "version", "owner_project", "text", "url").distinct()
     used = metrics.filter(any_contains(["name", "definition_id"], query))
     return (ranked_hits(told, [F.col("definition_id"), F.col("version").desc()], limit),
@@ -126,7 +126,7 @@ def localisation_categories(annotations: DataFrame, categories: DataFrame, term:
     return totals.alias("t").join(shown.alias("s"), same).select(*[F.col(f"t.{k}").alias(k) for k in keys], "n_entities", "examples")
 
 
-def search_localisation(located: DataFrame, annotations: DataFrame, query: str, texts: Sequence[str], limit: int = SEARCH_LIMIT) -> tuple[DataFrame, DataFrame]:
+def search_localisation(located: DataFrame, annotations: DataFrame, query: str, texts: Sequence[str], limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``located``: see ``localisation_categories``. ``annotations``: (dataset_id, key, value, ..)."""
     hits = located.filter(any_contains(texts, query))
     other = annotations.filter(any_contains(["value", "key"], query)).groupBy("dataset_id", "key", "value").agg(F.count("*").alias("n_entities"))

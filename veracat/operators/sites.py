@@ -11,7 +11,6 @@ from veracat.functions.rules import (
 )
 from veracat.operators.identification import _as_col
 
-MAX_ASSIGNMENTS = 20_000
 
 
 def place_peptides(pairs: DataFrame, piece: str, accession: str, sequences: DataFrame) -> DataFrame:
@@ -174,13 +173,13 @@ def entry_fits(position: Column, letter: Column, sequence: Column) -> Column:
     return F.coalesce((n > 0) & ((position == 0) | (position == n + 1) | inside), F.lit(False))
 
 
-def unique_assignment(fits: Column, n_members: Column, cap: int = MAX_ASSIGNMENTS) -> Column:
+def unique_assignment(fits: Column, n_members: Column) -> Column:
     """The only order-preserving choice of members for the segments, NULL when there is none or more
     than one.
 
     ``fits`` holds, per segment in order, the ascending member indexes it fits. The leftmost and the
     rightmost greedy choices bound every valid one, so the choice is unique exactly when they agree.
-    As many segments as members leaves one choice; more choices than ``cap`` are refused.
+    As many segments as members leaves one choice. That decides any number of choices.
     """
     k = F.size(fits)
     none = F.lit(None).cast("array<int>")
@@ -198,24 +197,11 @@ def unique_assignment(fits: Column, n_members: Column, cap: int = MAX_ASSIGNMENT
     end = F.struct(n_members.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
     right = F.reverse(F.aggregate(F.reverse(fits), end, backward, lambda a: a["out"]))
     holds = F.coalesce(~F.exists(left, lambda x: x.isNull()), F.lit(False)) & (F.size(left) == k)
-    unique = holds & left.eqNullSafe(right) & (_choices(n_members, k, cap) <= cap)
+    unique = holds & left.eqNullSafe(right)
     return F.when((k <= n_members) & unique, left).otherwise(none)
 
 
-def _choices(n: Column, k: Column, cap: int) -> Column:
-    """C(n, k), any number above ``cap`` once it passes it. min(k, n-k) beyond 20 passes every cap in
-    use, so the product stays small."""
-    smaller = F.least(k, n - k).cast("int")
-    steps = F.sequence(F.lit(1), F.greatest(F.least(smaller, F.lit(20)), F.lit(1)))
-    product = F.aggregate(
-        steps, F.lit(1.0),
-        lambda acc, i: F.when(acc > cap * 1e6, acc).otherwise(acc * (n - smaller + i) / i),
-    )
-    return F.when(smaller <= 0, F.lit(1.0)).otherwise(F.round(product))
-
-
-def assign_segments(entries: DataFrame, cell: list[str], group: str, members: DataFrame, sequences: DataFrame,
-                    cap: int = MAX_ASSIGNMENTS) -> DataFrame:
+def assign_segments(entries: DataFrame, cell: list[str], group: str, members: DataFrame, sequences: DataFrame) -> DataFrame:
     """(cell, segment, accession): the member each segment of a cell belongs to, NULL when the
     sequences cannot tell.
 
@@ -235,7 +221,7 @@ def assign_segments(entries: DataFrame, cell: list[str], group: str, members: Da
         F.transform("_sides", lambda m, i: F.when(
             F.forall(s["_entries"], lambda e: entry_fits(e["position"], e["letter"], m["sequence"])), i)),
         lambda i: i.isNotNull()))
-    decided = joined.withColumn("_fits", fits).withColumn("_choice", unique_assignment(F.col("_fits"), n, cap))
+    decided = joined.withColumn("_fits", fits).withColumn("_choice", unique_assignment(F.col("_fits"), n))
     return decided.select(
         *cell, group, F.posexplode("_segments").alias("_i", "_s"), "_choice", "_sides"
     ).select(*cell, group, F.col("_s.segment").alias("segment"), F.get("_sides", F.get("_choice", F.col("_i")))["accession"].alias("accession"))

@@ -12,13 +12,13 @@ _SPREAD = f"+{PRESENCE_SQL}, spread AS (SELECT n AS n_datasets, count(*) AS n_en
 
 @query(f"{_SPREAD} SELECT * FROM spread", lines=True)
 def presence_spread(t):
-    return figures.presence_spread(presence(t)[1])
+    return figures.presence_spread(presence(t))
 
 
 @query(f"""{_SPREAD}, up AS (SELECT CAST(n_datasets AS INTEGER) AS n, CAST(sum(n_entities) OVER (ORDER BY n_datasets DESC) AS BIGINT) AS n_entities FROM spread)
 SELECT n, n_entities FROM up WHERE n >= 2 ORDER BY abs(n_entities - 400), n DESC LIMIT 1""", lines=True)
 def shared_threshold(t):
-    return figures.shared_threshold(figures.presence_spread(presence(t)[1]), 400)
+    return figures.shared_threshold(figures.presence_spread(presence(t)), 400)
 
 
 @query("SELECT count(*) AS n_keys, count(*) FILTER (WHERE u) AS n_unanimous FROM (SELECT l_suppkey, l_partkey, bool_and(coalesce(CASE WHEN l_linenumber <> 5 THEN l_linestatus = 'F' END, false)) AS u FROM lineitem GROUP BY ALL)")
@@ -31,7 +31,7 @@ def unanimous_unique(t):
 def filtered_population(t):
     datasets = t.nation.select(text("D", "n_nationkey").alias("dataset_id"), F.when(F.col("n_regionkey") == 1, F.array(F.lit("none"))).otherwise(F.array(F.lit("none"), F.lit("phospho"))).alias("axis"),
                                F.when(F.col("n_nationkey") % 2 == 1, True).alias("mixed"))
-    return figures.filtered_population(presence(t)[1], datasets, "axis", ["none"], "mixed")
+    return figures.filtered_population(presence(t), datasets, "axis", ["none"], "mixed")
 
 
 @query("SELECT count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events")

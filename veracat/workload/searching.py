@@ -7,19 +7,19 @@ from veracat.workload.deriving import INDEX_SQL, PRESENCE_SQL, index
 from veracat.workload.registry import joined, query
 
 
-@query("SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey::VARCHAR = 'AUTO' OR contains(lower(c_mktsegment), 'auto') OR contains(lower(c_name || ' ' || c_mktsegment), 'auto') ORDER BY c_custkey LIMIT 26")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey::VARCHAR = 'AUTO' OR contains(lower(c_mktsegment), 'auto') OR contains(lower(c_name || ' ' || c_mktsegment), 'auto') ORDER BY c_custkey")
 def search_dataset(t):
     rows = t.customer.select("c_custkey", "c_name", "c_mktsegment", F.array("c_name", "c_mktsegment").alias("both"))
     return search.search_dataset(rows, "auto", "c_custkey", ["c_mktsegment"], ["both"]).drop("both")
 
 
 @query(f"""+{PRESENCE_SQL}, {INDEX_SQL} SELECT protein_accession, gene, starts_with(protein_accession, 'DECOY_') AS is_decoy, n_datasets_1pct FROM pindex WHERE upper(protein_accession) = 'R' OR upper(coalesce(gene, '')) = 'R' OR upper(coalesce(gene, '')) LIKE 'R%'
-ORDER BY is_decoy, (upper(protein_accession) = 'R' OR upper(coalesce(gene, '')) = 'R') DESC, n_datasets_1pct DESC, protein_accession LIMIT 26""", lines=True)
+ORDER BY is_decoy, (upper(protein_accession) = 'R' OR upper(coalesce(gene, '')) = 'R') DESC, n_datasets_1pct DESC, protein_accession""", lines=True)
 def search_entity(t):
     return search.search_entity(index(t)[1], "r", "protein_accession", "gene", "n_datasets_1pct").select("protein_accession", "gene", "is_decoy", "n_datasets_1pct")
 
 
-@query("""SELECT upper(word) AS base_sequence, count(*) AS n_datasets FROM (SELECT unnest(string_split(lower(text), ' ')) AS word FROM documents) WHERE regexp_matches('ERESTH', '^[ACDEFGHIKLMNPQRSTVWY]{6,}$') AND contains(upper(word), 'ERESTH') GROUP BY 1 ORDER BY upper(word) = 'ERESTH' DESC, n_datasets DESC, base_sequence LIMIT 26""")
+@query("""SELECT upper(word) AS base_sequence, count(*) AS n_datasets FROM (SELECT unnest(string_split(lower(text), ' ')) AS word FROM documents) WHERE regexp_matches('ERESTH', '^[ACDEFGHIKLMNPQRSTVWY]{6,}$') AND contains(upper(word), 'ERESTH') GROUP BY 1 ORDER BY upper(word) = 'ERESTH' DESC, n_datasets DESC, base_sequence""")
 def search_sequence(t):
     words = t.documents.select(F.explode(F.split(F.lower("text"), " ")).alias("word")).groupBy(F.upper("word").alias("base_sequence")).agg(F.count("*").alias("n_datasets"))
     return search.search_sequence(words, "eresth", "base_sequence", "n_datasets")
@@ -33,20 +33,20 @@ def _sites(t):
 
 
 @query(f"""SELECT modification, modification_name, count(*) AS n_sites, count(DISTINCT dataset_id) AS n_datasets, array_to_string(list_sort(list(DISTINCT dataset_id)), ',') AS dataset_ids, CAST(sum(n_psms) AS BIGINT) AS n_psms FROM ({_SITES})
-WHERE contains(lower(modification_name), 'ring') OR contains(lower(coalesce(modification, '')), 'ring') GROUP BY ALL ORDER BY n_sites DESC, modification_name, modification NULLS FIRST LIMIT 26""")
+WHERE contains(lower(modification_name), 'ring') OR contains(lower(coalesce(modification, '')), 'ring') GROUP BY ALL ORDER BY n_sites DESC, modification_name, modification NULLS FIRST""")
 def search_modification(t):
     declared = t.part.select(F.col("p_type").alias("modification"), F.col("p_name").alias("name"), F.lit("C").alias("residues"), F.lit("fixed").alias("usage"), F.col("p_brand").alias("dataset_id"))
     return search.search_modification(_sites(t), declared, "RING")[0].withColumn("dataset_ids", joined("dataset_ids"))
 
 
-@query("SELECT DISTINCT p_type AS modification, p_name AS name, 'C' AS residues, 'fixed' AS usage, p_brand AS dataset_id, 'search_modifications_declared' AS _source FROM part WHERE contains(lower(p_name), 'blue ring') ORDER BY name, dataset_id, usage, p_type LIMIT 26")
+@query("SELECT DISTINCT p_type AS modification, p_name AS name, 'C' AS residues, 'fixed' AS usage, p_brand AS dataset_id, 'search_modifications_declared' AS _source FROM part WHERE contains(lower(p_name), 'blue ring') ORDER BY name, dataset_id, usage, p_type")
 def search_declared(t):
     declared = t.part.select(F.col("p_type").alias("modification"), F.col("p_name").alias("name"), F.lit("C").alias("residues"), F.lit("fixed").alias("usage"), F.col("p_brand").alias("dataset_id"))
-    _, told = search.search_modification(_sites(t), declared, "blue ring", limit=100_000)
+    _, told = search.search_modification(_sites(t), declared, "blue ring")
     return search.ranked_hits(told, [F.col("name"), F.col("dataset_id"), F.col("usage"), F.col("modification")])
 
 
-@query("SELECT c_mktsegment AS dataset_id, count(*) AS n_samples, array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ',') AS nations FROM customer WHERE contains(c_nationkey::VARCHAR, '7') OR contains(lower(c_name), '7') GROUP BY 1 ORDER BY 1 LIMIT 26")
+@query("SELECT c_mktsegment AS dataset_id, count(*) AS n_samples, array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ',') AS nations FROM customer WHERE contains(c_nationkey::VARCHAR, '7') OR contains(lower(c_name), '7') GROUP BY 1 ORDER BY 1")
 def search_sample(t):
     rows = t.customer.select(F.col("c_mktsegment").alias("dataset_id"), "c_name", F.col("c_nationkey").cast("string").alias("nation"))
     chars = t.part.select(F.col("p_name").alias("name"), F.col("p_type").alias("value"))
@@ -54,14 +54,14 @@ def search_sample(t):
     return hits.withColumn("nations", joined("nations"))
 
 
-@query("SELECT p_name AS name, p_type AS value, count(*) AS n_samples FROM part WHERE contains(lower(p_type), 'promo') OR contains(lower(p_name), 'promo') GROUP BY ALL ORDER BY n_samples DESC, name, value LIMIT 26")
+@query("SELECT p_name AS name, p_type AS value, count(*) AS n_samples FROM part WHERE contains(lower(p_type), 'promo') OR contains(lower(p_name), 'promo') GROUP BY ALL ORDER BY n_samples DESC, name, value")
 def search_characteristics(t):
     chars = t.part.select(F.col("p_name").alias("name"), F.col("p_type").alias("value"))
     rows = t.customer.select(F.col("c_mktsegment").alias("dataset_id"), F.col("c_name").alias("n"))
     return search.search_sample(rows, chars, "Promo", ["n"])[1]
 
 
-@query("SELECT page_id, url FROM pages WHERE contains(lower(url), 'example.org') OR contains(lower(html), 'example.org') ORDER BY page_id LIMIT 26")
+@query("SELECT page_id, url FROM pages WHERE contains(lower(url), 'example.org') OR contains(lower(html), 'example.org') ORDER BY page_id")
 def search_run(t):
     return search.search_run(t.pages, "Example.org", ["url", "html"], ["page_id"]).select("page_id", "url")
 
@@ -77,12 +77,12 @@ def _metrics(t):
     return t.events.select(F.col("event_type").alias("name"), F.col("user_id").cast("string").alias("definition_id"), F.col("event_id").alias("dataset_id"), F.lit("s").alias("source"), "value")
 
 
-@query(f"SELECT definition_id, version, owner_project FROM ({_DEFS}) WHERE contains(lower(definition_id), 'tion') OR contains(lower(text), 'tion') ORDER BY definition_id, version DESC LIMIT 26")
+@query(f"SELECT definition_id, version, owner_project FROM ({_DEFS}) WHERE contains(lower(definition_id), 'tion') OR contains(lower(text), 'tion') ORDER BY definition_id, version DESC")
 def search_definition(t):
     return search.search_definition(_definitions(t), _metrics(t), "tion")[0].select("definition_id", "version", "owner_project")
 
 
-@query("SELECT event_id AS dataset_id, event_type AS name, user_id::VARCHAR AS definition_id, value FROM events WHERE contains(event_type, 'err') OR contains(user_id::VARCHAR, 'err') ORDER BY event_id, event_type LIMIT 26")
+@query("SELECT event_id AS dataset_id, event_type AS name, user_id::VARCHAR AS definition_id, value FROM events WHERE contains(event_type, 'err') OR contains(user_id::VARCHAR, 'err') ORDER BY event_id, event_type")
 def search_metrics(t):
     return search.search_definition(_definitions(t), _metrics(t), "ERR")[1].select("dataset_id", "name", "definition_id", "value")
 
@@ -96,12 +96,12 @@ def definition_lookup(t):
 _LOCATED = "SELECT p_brand AS dataset_id, p_name AS term, p_type AS category, count(DISTINCT p_size) AS n_entities FROM part GROUP BY ALL"
 
 
-@query(f"SELECT * FROM ({_LOCATED}) WHERE contains(lower(term), 'gear') OR contains(lower(coalesce(category, '')), 'gear') ORDER BY n_entities DESC, term, category, dataset_id LIMIT 26")
+@query(f"SELECT * FROM ({_LOCATED}) WHERE contains(lower(term), 'gear') OR contains(lower(coalesce(category, '')), 'gear') ORDER BY n_entities DESC, term, category, dataset_id")
 def search_localisation(t):
     rows = t.part.select(F.col("p_brand").alias("dataset_id"), F.col("p_name").alias("term"), F.lit("r").alias("release"), F.col("p_size").alias("entity"), F.col("p_type").alias("kind"))
     located = rows.groupBy("dataset_id", "term", F.col("kind").alias("category")).agg(F.count_distinct("entity").alias("n_entities"))
     other = t.customer.select(F.col("c_mktsegment").alias("dataset_id"), F.lit("k").alias("key"), F.col("c_name").alias("value"))
-    hits, _ = search.search_localisation(located, other, "Gear", ["term", "category"], limit=100_000)
+    hits, _ = search.search_localisation(located, other, "Gear", ["term", "category"])
     return search.ranked_hits(hits, [F.col("n_entities").desc(), F.col("term"), F.col("category"), F.col("dataset_id")])
 
 
