@@ -40,7 +40,8 @@ def joined(parts: list[Column], kind: str) -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, digest, n_hit, items) of every document that holds a whole window of a benchmark item.
 
-    A window is ``window`` consecutive words, or all words of a shorter item; an item without words has none.
+    A window is ``window`` consecutive words, or all words of a shorter item; an item without words has none, and one
+    without an id is found but not listed.
     ``n_hit`` counts the document's words inside any occurrence, ``items`` lists the items in question.
     (doc_id, md5 of the text) names a document, so repeated rows have one entry; a NULL text has no words.
 
@@ -114,7 +115,7 @@ WITH d AS (
 ), places AS (
   SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
 ), found AS (
-  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS item_id FROM hits) GROUP BY r
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN found USING (r)
