@@ -11,14 +11,6 @@ from veracat.operators.identification import first_wins
 from veracat.operators.quality import enforce
 from veracat.schema import SCHEMA_VERSION
 
-# What of a declaration shapes a snapshot's content. Prose is left out, so rewording a
-# reason does not make a new snapshot.
-CONTENT_FIELDS = [
-    "accession", "run", "stages", "search_results", "title", "files", "organism", "acquisition", "quant_method",
-    "labelling", "labelling_plex", "enrichment", "run_enrichment", "mixed_enrichment", "engine_version", "permitted_responses",
-]
-
-
 def declaration_digest(declarations: DataFrame, key: Sequence[str], content: Sequence[str]) -> DataFrame:
     """(key, sha256) of the content fields, in name order whatever order they are given in."""
     body = F.to_json(F.struct(*[F.col(c).alias(c) for c in sorted(content)]), {"ignoreNullFields": "false"})
@@ -98,11 +90,12 @@ def read_snapshots(spark: SparkSession, table: str, snapshots: Sequence[tuple[st
 
 
 def write_snapshot(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, snapshot: str, manifest: Mapping[str, str],
-                   checks: DataFrame | None = None, sort_keys: Mapping[str, Sequence[str]] = {}) -> bool:
+                   checks: DataFrame | None = None, sort_keys: Mapping[str, Sequence[str]] = {}, lists: Mapping[str, DataFrame] = {}) -> bool:
     """Write the non-empty tables and, last, the manifest. False when the snapshot is already there.
 
     Counts are observed while writing, so no table is read twice. Nothing is written when a check
-    fails; a folder without a manifest is an unfinished write and not a snapshot.
+    fails; a folder without a manifest is an unfinished write and not a snapshot. ``lists`` are short tables,
+    such as sources and databases, that become lists of records in the manifest.
     """
     target = f"{folder}/{snapshot}"
     if path_exists(spark, f"{target}/bundle.json"):
@@ -122,6 +115,8 @@ def write_snapshot(spark: SparkSession, tables: Mapping[str, DataFrame], folder:
             delete_path(spark, f"{target}/{name}.parquet")
     body = {"bundle_id": snapshot, "schema_version": SCHEMA_VERSION, **manifest}
     doc = spark.createDataFrame([(counts, *body.values())], "tables map<string,bigint>, " + ", ".join(f"{k} string" for k in body))
+    for name, df in lists.items():
+        doc = doc.join(df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name)))  # one row beside one row
     write_json_file(doc, f"{target}/bundle.json")
     return True
 
@@ -134,7 +129,8 @@ def write_json_file(doc: DataFrame, path: str) -> None:
     fs, jpath = _fs(spark, path)
     Path = spark._jvm.org.apache.hadoop.fs.Path
     part = fs.globStatus(Path(staging + "/part-*"))[0].getPath()
-    fs.rename(part, jpath)
+    if not fs.rename(part, jpath):
+        raise OSError(f"{path} could not be moved into place")
     fs.delete(Path(staging), True)
 
 

@@ -143,10 +143,10 @@ def load_tables(spark: SparkSession, snapshots: Sequence[tuple[str, str, str, Ma
             tables[name] = S.empty_like(spark, S.catalog_type(name))
             continue
         own = [f.name for f in S.struct_type(name)]
-        layer, bundle, path = parts[0]
-        tables[name] = spark.read.schema(S.struct_type(name)).parquet(f"{path}/{name}.parquet").select(
-            F.lit(layer).alias("study_layer"), F.lit(bundle).alias("study_bundle_id"), *own
-        )
+        tables[name] = union_all([
+            spark.read.schema(S.struct_type(name)).parquet(f"{path}/{name}.parquet").select(F.lit(layer).alias("study_layer"), F.lit(bundle).alias("study_bundle_id"), *own)
+            for layer, bundle, path in parts
+        ])
     return tables
 
 
@@ -170,6 +170,9 @@ def build_catalog(spark: SparkSession, manifests: Sequence[str], out: str, meta:
 
     ``manifests`` are the chosen snapshots' manifest files, one per dataset.
     """
+    for what, given in (("study layer", studies), ("artefact engine", artefacts)):
+        if len({name for name, *_ in given}) < len(given):
+            raise ValueError(f"a {what} is given twice")
     found = discover_snapshots(spark, list(manifests))
     enforce(version_gate(found, "dataset_id", {"schema_version": S.SCHEMA_VERSION}).select(
         F.col("dataset_id").alias("name"), F.lit("version").alias("kind"), F.lit(False).alias("ok"),

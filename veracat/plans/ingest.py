@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -15,7 +16,7 @@ from veracat.operators import identification as ident
 from veracat.operators import quality, quant, samples, sites
 from veracat.operators.coerce import coerce, coercion_violations
 from veracat.operators.notation import lookup_with_preference, translate_notation
-from veracat.operators.snapshots import path_exists, snapshot_id, write_snapshot
+from veracat.operators.snapshots import declaration_digest, path_exists, snapshot_id, write_snapshot
 from veracat.plans import presets as P
 from veracat.plans.catalog import bundle_checks
 from veracat.session import materialise
@@ -56,6 +57,8 @@ class Search:
     policy: str | None = "RemoveContaminant"
     search_label: str = "standard"
     threshold: float = 0.01
+    # sha256 by path, for inputs whose digest is known or that are too large for one row.
+    recorded_digests: Mapping[str, str] = field(default_factory=dict)
 
 
 def read_databases(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -186,7 +189,9 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
     reports = []
     for name, df in tables.items():
         key = S.IDENTIFIERS.get(name) or S.COMPOSITE_KEYS[name]
-        typed = materialise(coerce(df, S.struct_type(name)), f"{name}-typed")
+        df = materialise(df, f"{name}-raw")
+        refuse_violations(df, name)
+        typed = coerce(df, S.struct_type(name))
         kept, report = quality.collapse_exact_duplicates(typed, key)
         tables[name] = materialise(kept, name)
         reports.append(report.agg(F.count("*").alias("n"), F.sum("dropped").alias("dropped")).filter("n > 0").select(F.lit(name).alias("table"), "n", "dropped"))
@@ -227,7 +232,9 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
         total = F.col("scope") == ""
         metrics.append(_metric(usable, F.when(total, F.lit("dataset")).otherwise(F.lit("run")), F.when(total, d).otherwise(F.concat(d, F.lit(":"), "_run")), F.col("stored"),
                                F.col("count"), F.col("definition_id"), F.lit("report")))
-    tables["metrics"] = materialise(coerce(quality.union_all(metrics), S.struct_type("metrics")), "metrics")
+    told = materialise(quality.union_all(metrics), "metrics-raw")
+    refuse_violations(told, "metrics")
+    tables["metrics"] = materialise(coerce(told, S.struct_type("metrics")), "metrics")
 
     label_is_t = strip(F.coalesce(F.col(P.MATCH_COLUMNS["label"][0]), F.lit(""))) == "T"
     q, qn = lenient_float("QValue"), lenient_float(ident.any_column(raw, "QValue Notch"))
@@ -275,6 +282,16 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
     return tables, checks
 
 
+UNPARSED = "unparsed text"
+
+
+def refuse_violations(df: DataFrame, table: str) -> None:
+    """Raise where a required value is missing or text is no value of its column's type."""
+    bad = coercion_violations(df, S.struct_type(table)).collect()  # a row for a column at most
+    if bad:
+        raise ValueError(f"{table}: " + "; ".join(f"{r['column']} {r['rule']} in {r['n']} row(s)" for r in bad))
+
+
 def samples_of_lists(spark: SparkSession, s: Search) -> DataFrame:
     return _frame(spark, [(i, u, p) for i, (u, p) in enumerate(s.declared_lists)], "at int, usage string, packed string")
 
@@ -290,7 +307,7 @@ def _stoichiometry(spark: SparkSession, s: Search, wide: DataFrame, tables: Mapp
         return S.empty_like(spark, S.struct_type("ptm_stoichiometry")), _frame(spark, [], "reason string, n bigint")
     accs = split_list(P.GROUP_COLUMNS["accession"])
     long = wide.select(canonical_key(accs, d).alias("group"), accs.alias("accs"), "row_order", F.explode(F.array(*cells)).alias("c")).select("group", "accs", "row_order", "c.*")
-    entries, _ = sites.occupancy_cell(long, "cell", ["group", "accs", "row_order", "basis", "label"])
+    entries, unparsed = sites.occupancy_cell(long, "cell", ["group", "accs", "row_order", "basis", "label"])
     entries = materialise(entries.withColumn("o", F.struct("group", "label", "basis", "segment", "entry")), "occupancy")
     decoy = F.forall("accs", lambda a: F.startswith(a, F.lit("DECOY_")))
     named = ident.resolve_names(entries, "label", names, "name", "_run")
@@ -315,6 +332,7 @@ def _stoichiometry(spark: SparkSession, s: Search, wide: DataFrame, tables: Mapp
         F.col("modification").alias("mm_modification"), F.lit("QuantProject:DEF-OCC-CELL").alias("definition_id")).drop("group", "label", "position", "modification")
     count = lambda df, why: df.agg(F.count("*").alias("n")).select(F.lit(why).alias("reason"), "n")
     lost = quality.union_all([
+        unparsed.agg(F.coalesce(F.sum("n_unparsed"), F.lit(0)).alias("n")).select(F.lit(UNPARSED).alias("reason"), "n"),
         marked.filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n")), count(joined.filter("accession IS NULL"), "segment's accession not determinable"),
         count(no_assay, "run has no label-free assay"), count(no_site.unionByName(with_assay.filter("ptm_site_id IS NULL")), "site not in ptm_sites"),
         duplicates.select(F.concat(F.lit("duplicate entry ("), "what", F.lit("; "), "where", F.lit(")")).alias("reason"), "n"),
@@ -364,8 +382,10 @@ def _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status
         out.append(quality.findings(tag(verified.agg(F.sum("n").alias("n")).filter("n > 0")), "ptm_site_residue_mismatch", "warning", n_text("site(s) name a residue that is not there"), "ingest"))
     total = collapsed.agg(F.sum("n").alias("n"), F.sum("dropped").alias("dropped")).filter("n > 0")
     out.append(quality.findings(tag(total), "collapsed_duplicate_rows", "info", F.concat(F.col("n").cast("string"), F.lit(" identifier(s) were written more than once, alike in every column")), "integrity"))
-    decoys, others = lost.filter("reason = 'decoy group'"), lost.filter("reason <> 'decoy group'")
+    decoys, others = lost.filter("reason = 'decoy group'"), lost.filter(~F.col("reason").isin("decoy group", UNPARSED))
     out.append(quality.findings(tag(decoys), "occupancy_decoy_groups", "info", n_text("entries of decoy groups"), "ingest"))
+    text_left = lost.filter((F.col("reason") == UNPARSED) & (F.col("n") > 0))
+    out.append(quality.findings(tag(text_left), "occupancy_cells_unparsed", "warning", n_text("cell segment(s) hold text that is no entry"), "ingest"))
     why = others.agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list(F.concat(F.col("n").cast("string"), F.lit(" "), "reason"))), "; ").alias("e")).filter("n > 0")
     out.append(quality.findings(tag(why), "occupancy_not_stored", "warning", F.col("e"), "ingest"))
     if s.quant_method != "label-free" and s.groups:
@@ -380,19 +400,25 @@ def _sequences_of(spark: SparkSession, s: Search) -> DataFrame:
 def ingest(spark: SparkSession, s: Search, store: str) -> str:
     """Write the search's snapshot under ``store`` and return its folder. Unchanged inputs give the
     snapshot that is already there; a failed check writes nothing."""
-    paths = {"matches": s.matches, "peptides": s.peptides, "groups": s.groups, "peptide_quant": s.peptide_quant, "peaks": s.peaks, "report": s.report, "sheet": s.sheet,
-             "fetch": s.fetch, "qc": s.qc, "provenance": s.provenance, **{f"database:{p.rsplit('/', 1)[-1]}": p for p in s.databases}, **{f"modifications:{p.rsplit('/', 1)[-1]}": p for p in s.modification_lists}}
-    present = {role: p for role, p in paths.items() if p}
-    digests = files.file_digests(spark, sorted(set(present.values()))).withColumn("path", files.plain_path("path"))
-    roles = _frame(spark, present.items(), "role string, path string")
+    paths = [("matches", s.matches), ("peptides", s.peptides), ("groups", s.groups), ("peptide_quant", s.peptide_quant), ("peaks", s.peaks), ("report", s.report), ("sheet", s.sheet),
+             ("fetch", s.fetch), ("qc", s.qc), ("provenance", s.provenance), *(("database", p) for p in s.databases), *(("modifications", p) for p in s.modification_lists)]
+    inputs = sorted({(role, p) for role, p in paths if p})
+    digests = materialise(files.role_digests(spark, inputs, s.recorded_digests), "digests")
+    found = {(r["role"], r["path"]) for r in digests.select("role", "path").collect()}  # one row an input
+    if missing := [f"{role} {p}" for role, p in inputs if (role, p) not in found]:
+        raise ValueError(f"no file to take a digest of: {', '.join(missing)}")
     prose = ("title", "organism", "acquisition", "quant_method", "labelling", "enrichment", "mixed_enrichment", "run_enrichment", "expected_files", "engine", "engine_version", "regime", "policy", "search_label", "declared_lists")
-    content = _frame(spark, [(repr([(k, getattr(s, k)) for k in prose]),)], "c string").select(F.lit("declaration").alias("role"), F.lit("").alias("path"), F.sha2("c", 256).alias("sha256"))
-    sources = roles.join(digests.select("path", "sha256"), "path").select("role", "path", "sha256").unionByName(content).withColumn("dataset_id", F.lit(s.dataset_id))
-    identity = snapshot_id(sources, ["dataset_id"], ["ingest/1", f"schema/{S.SCHEMA_VERSION}", s.dataset_id], order=["role"]).first()["snapshot_id"]
+    stated = _frame(spark, [(s.dataset_id, *(json.dumps(getattr(s, k), sort_keys=True, default=list) for k in prose))], "dataset_id string, " + ", ".join(f"{k} string" for k in prose))
+    content = declaration_digest(stated, ["dataset_id"], prose).select(F.lit("declaration").alias("role"), F.lit("").alias("path"), "sha256")
+    sources = digests.unionByName(content).withColumn("dataset_id", F.lit(s.dataset_id))
+    identity = snapshot_id(sources, ["dataset_id"], ["ingest/2", f"schema/{S.SCHEMA_VERSION}", s.dataset_id], order=["role", "path"]).first()["snapshot_id"]
     folder = f"{store}/{s.dataset_id}"
     if path_exists(spark, f"{folder}/{identity}/bundle.json"):
         return f"{folder}/{identity}"
     tables, _ = ingest_tables(spark, s)
     manifest = {"dataset_id": s.dataset_id, "written_utc": spark.sql("SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\") AS t").first()["t"]}
-    write_snapshot(spark, tables, folder, identity, manifest, bundle_checks(tables), {n: cols for n, cols in S.IDENTIFIERS.items()})
+    entries = read_databases(spark, s.databases).groupBy(F.col("database").alias("name")).agg(F.count("*").alias("entries")) if s.databases else _frame(spark, [], "name string, entries bigint")
+    databases = digests.where("role = 'database'").join(entries, files.file_name("path") == F.col("name"), "left").select("path", "sha256", F.coalesce("entries", F.lit(0).cast("bigint")).alias("entries"))
+    lists = {"sources": sources.select("role", "path", "sha256"), "databases": databases}
+    write_snapshot(spark, tables, folder, identity, manifest, bundle_checks(tables), {n: cols for n, cols in S.IDENTIFIERS.items()}, lists)
     return f"{folder}/{identity}"

@@ -7,7 +7,7 @@ however the file was split. Compare it; never join on it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,9 +179,10 @@ def read_modification_list(spark: SparkSession, paths: Sequence[str]) -> DataFra
     """Every entry of the files, with ``file_rank`` first in the entry order as the files are listed."""
     out = None
     for rank, path in enumerate(paths):
+        # A record after slashes begins with the rest of their line, which belongs to no block. A file's first
+        # record has none before it and begins with an entry, whichever file of the folder it is.
         blocks = read_lines(spark, path, line_sep="\n//").withColumn(
-            # What follows the slashes on their own line is not part of the next block.
-            "value", F.when(F.col("row_order.id") == 0, F.col("value")).otherwise(
+            "value", F.when(F.col("value").rlike("^\ufeff?ID   "), F.regexp_replace("value", "^\ufeff", "")).otherwise(
                 F.regexp_replace("value", r"^[^\n]*\n?", ""))
         )
         part = modification_entries(blocks).withColumn(
@@ -322,9 +323,27 @@ def discover_snapshots(spark: SparkSession, manifests: str | list[str]) -> DataF
     return found.withColumn("age_order", F.struct("written_utc", "file_time", "bundle_id"))
 
 
+def role_digests(spark: SparkSession, inputs: Sequence[tuple[str, str]], recorded: Mapping[str, str] | None = None) -> DataFrame:
+    """(role, path, sha256), one row for each (role, path), however the path spells its scheme and whether it is a
+    file or a folder. A folder's digest is over the names and digests of its files. ``recorded`` digests, by
+    path, are taken as they are, so a file too large for one row has a way in."""
+    recorded = recorded or {}
+    given = [(role, path, recorded[path]) for role, path in inputs if path in recorded]
+    out = spark.createDataFrame(given, "role string, path string, sha256 string")
+    for role, path in inputs:
+        if path in recorded:
+            continue
+        read = file_digests(spark, path).select(F.struct(file_name("path").alias("name"), "sha256").alias("f"))
+        listed = read.agg(F.array_sort(F.collect_list("f")).alias("fs")).where(F.size("fs") > 0)  # the files of one input
+        lines = F.array_join(F.transform("fs", lambda f: F.concat_ws("\t", f["name"], f["sha256"])), "\n")
+        one = F.when(F.size("fs") == 1, F.get("fs", F.lit(0))["sha256"]).otherwise(F.sha2(lines, 256))
+        out = out.unionByName(listed.select(F.lit(role).alias("role"), F.lit(path).alias("path"), one.alias("sha256")))
+    return out
+
+
 def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, size_bytes, sha256). One file is one row, so files of 2 GB and more must bring a
-    recorded digest instead."""
+    recorded digest instead, see ``role_digests``."""
     files = spark.read.format("binaryFile").load(paths)
     return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
 
