@@ -28,6 +28,7 @@ def assign_shards(rows: DataFrame, key: str, document: str, cap: int = MAX_SHARD
     Only the keys of groups that are still too large go on to the next length, so each round works
     on less; a group is a sum and never gathered.
     """
+    rows = rows.withColumn(key, F.coalesce(F.col(key), F.raise_error(F.lit(f"a row without {key} has no shard")).cast("string")))
     left = materialise(
         rows.groupBy(F.col(key).alias("_key")).agg(F.sum(entry_bytes(F.col(key), F.col(document))).alias("_bytes")), "shard-sizes"
     )
@@ -48,9 +49,14 @@ def assign_shards(rows: DataFrame, key: str, document: str, cap: int = MAX_SHARD
 
 
 def write_sharded_json(rows: DataFrame, key: str, document: str, folder: str, cap: int = MAX_SHARD_BYTES) -> DataFrame:
-    """Write ``{key, document}`` lines by shard, and return the index: shard, entries, bytes."""
+    """Write each shard as one JSON object from keys to documents, and return the index: shard, entries, bytes.
+
+    A shard is put together in one row, which the cap bounds (a single larger document is its own shard)."""
     sharded = materialise(assign_shards(rows, key, document, cap).select("shard", key, document), "shards")
-    sharded.repartition("shard").sortWithinPartitions("shard", key).write.partitionBy("shard").json(f"{folder}/entries")
+    entry = F.concat(F.substr(F.to_json(F.array(key)), F.lit(2), F.length(F.to_json(F.array(key))) - 2), F.lit(":"), F.col(document))
+    objects = sharded.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), entry.alias("e")))).alias("es"))
+    value = F.concat(F.lit("{"), F.array_join(F.transform("es", lambda x: x["e"]), ","), F.lit("}"))
+    objects.select("shard", value.alias("value")).repartition("shard").write.partitionBy("shard").text(f"{folder}/entries")
     index = sharded.groupBy("shard").agg(F.count("*").alias("entries"), (F.sum(entry_bytes(F.col(key), F.col(document))) + 2).alias("bytes"))
     index.coalesce(1).write.json(f"{folder}/index")
     return index

@@ -11,15 +11,23 @@ N_TERMINUS = 0
 C_TERMINUS = -1
 
 
-def _bracket(depth: int) -> str:
-    inner = r"[^\[\]]"
-    for _ in range(depth):
-        inner = rf"(?:[^\[\]]|\[{inner}*+\])"
-    return inner
+# Brackets inside a bracket, written as signs that no notation holds, so that one pattern finds the outer ones.
+INNER_OPEN, INNER_CLOSE = "\x02", "\x03"
+# One outer bracket, or an unclosed one to the end of the text.
+BRACKET = r"(?:\[[^\[\]]*+\]|\[.*$)"
 
 
-# One bracket with up to eight levels inside it, or an unclosed one to the end of the text.
-BRACKET = rf"(?:\[{_bracket(8)}*+\]|\[.*$)"
+def outer_brackets(notation: str) -> Column:
+    """The notation with only its outer brackets left as brackets, however deep they nest: the depth is counted
+    over the characters of one notation."""
+    def step(acc: Column, c: Column) -> Column:
+        opens, closes = c == "[", c == "]"
+        sign = F.when(opens & (acc["depth"] > 0), INNER_OPEN).when(closes & (acc["depth"] > 1), INNER_CLOSE).otherwise(c)
+        depth = F.when(opens, acc["depth"] + 1).when(closes, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
+        return F.struct(depth.alias("depth"), F.concat(acc["text"], sign).alias("text"))
+
+    return F.aggregate(F.split(notation, ""), F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda acc: acc["text"])
+
 
 # Fixed format: ``Category:Name on X`` inside a bracket.
 _TOKEN = r"^([^:]+):(.+?) on ([A-Zc-z]|[A-Z][a-z]+)$"
@@ -29,7 +37,8 @@ def _contents(brackets: Column) -> Column:
     """Every ``|``-separated token of a run of brackets, as an array."""
     found = F.regexp_extract_all(brackets, F.lit(f"(?s)({BRACKET})"), F.lit(1))
     inner = F.transform(found, lambda b: F.substr(b, F.lit(2), F.greatest(F.length(b) - 2, F.lit(0))))
-    return F.split(F.array_join(inner, "|"), quote("|"))
+    tokens = F.split(F.array_join(inner, "|"), quote("|"))
+    return F.transform(tokens, lambda t: F.translate(t, INNER_OPEN + INNER_CLOSE, "[]"))
 
 
 def lookup_with_preference(names: DataFrame, registry: DataFrame) -> DataFrame:
@@ -75,11 +84,12 @@ def translate_notation(strings: DataFrame, column: str, registry: DataFrame) ->
     mods: array of (position, residue, name, category, unimod, mass), position 0 for the N-terminus
     and -1 for the C-terminus. The work is per distinct string; join the result back.
     """
-    lead = F.regexp_extract("notation", f"(?s)^((?:{BRACKET})*)", 1)
+    lead = F.regexp_extract("_flat", f"(?s)^((?:{BRACKET})*)", 1)
     distinct = (
         strings.select(F.col(column).alias("notation")).filter("notation <> ''").distinct()
+        .withColumn("_flat", outer_brackets("notation"))
         .withColumn("_lead", lead)
-        .withColumn("_body", F.substr("notation", F.length("_lead") + F.lit(1)))
+        .withColumn("_body", F.substr("_flat", F.length("_lead") + F.lit(1)))
         # A unit is one residue and the brackets behind it, so its index is its position.
         .withColumn("_units", F.regexp_extract_all("_body", F.lit(rf"(?s)([^\[](?:{BRACKET})*)"), F.lit(1)))
     )
