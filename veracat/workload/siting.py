@@ -31,13 +31,15 @@ def lookup_with_preference(t):
     return look_up(names, entries).drop("found")
 
 
-# A document's pieces are words of its own opening and one word of another language.
-_PIECES = "SELECT doc_id, unnest(list_distinct([lower(split_part(text, ' ', 2)), lower(split_part(text, ' ', 5)), 'tion'])) AS piece, lower(text) AS body FROM documents"
+# A document's pieces are the first and the last of all its words in order, and one word of another language.
+_PIECES = """SELECT doc_id, unnest(list_distinct([list_min(words), list_max(words), 'tion'])) AS piece, body
+FROM (SELECT doc_id, lower(text) AS body, list_filter(string_split(lower(text), ' '), lambda w: w <> '') AS words FROM documents)"""
 
 
 def _pieces(t):
-    word = lambda i: F.lower(F.split_part("text", F.lit(" "), F.lit(i)))
-    rows = t.documents.select("doc_id", F.explode(F.array_distinct(F.array(word(2), word(5), F.lit("tion")))).alias("piece"), F.lower("text").alias("body"))
+    words = F.filter(F.split(F.lower("text"), " "), lambda w: w != "")
+    picked = F.array_distinct(F.array(F.array_min(words), F.array_max(words), F.lit("tion")))
+    rows = t.documents.select("doc_id", F.explode(picked).alias("piece"), F.lower("text").alias("body"))
     return rows.filter("piece <> ''")
 
 
