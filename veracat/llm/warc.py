@@ -13,6 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veracat.llm.common import spread
 from veracat.llm.shared import open_shared
 from veracat.session import materialise, scratch_dir
 
@@ -190,8 +191,7 @@ def read_archive(files: DataFrame) -> DataFrame:
                 if made:
                     yield _table(made)
 
-    spread = files.select("file").repartition("file")
-    return spread.mapInArrow(read, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, digest_ok boolean")
+    return spread(files.select("file")).mapInArrow(read, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, digest_ok boolean")
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
