@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from veracat.llm.common import without
+from veracat.llm.common import free, without
 
 RANKS = 400
 LONGEST = 3
@@ -62,7 +62,8 @@ def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     part = Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h")
     tops = labelled.select("lang", "h").withColumn("r", F.row_number().over(part)).where(F.col("r") <= fit_rows).drop("r")
     chosen = tops.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= fit_rows).groupBy("lang").agg(F.max("h").alias("most"))
-    sample = labelled.join(chosen, "lang").where(F.col("h") <= F.col("most")).select("lang", "text")
+    sample = labelled.join(F.broadcast(chosen), "lang")  # one row for a language
+    sample = sample.where(F.col("h") <= F.col("most")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,14 +99,14 @@ def nearest(text: str, names: list[str], grams: np.ndarray, places: np.ndarray,
     return names[best], float(1 - far[best] / (ranks * len(own)))
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", ranks: int = RANKS) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (columns of those names are replaced).
+def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", ranks: int = RANKS, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the columns ``pred`` and ``score`` (columns of those names are replaced).
 
     The whole text is counted. NULL texts and texts without a letter are ``und`` with score 0. Rows are
     independent; the profiles that go to every task are ``ranks`` numbers for a language.
     """
-    docs = without(docs, "lang_pred", "score")
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    docs = without(docs, pred, score)
+    schema = StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())])
     names = sorted(profiles)
     grams = np.unique(np.asarray([g for n in names for g in profiles[n]], np.int64))
     places = np.full((len(names), len(grams)), ranks)
@@ -115,12 +116,13 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text"
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [nearest(t or "", names, grams, places, ranks) for t in batch.column(text).to_pylist()]
-            yield batch.append_column("lang_pred", pa.array([f[0] for f in found], pa.string())).append_column("score", pa.array([f[1] for f in found], pa.float64()))
+            yield batch.append_column(pred, pa.array([f[0] for f in found], pa.string())).append_column(score, pa.array([f[1] for f in found], pa.float64()))
 
     return docs.mapInArrow(predict, schema)
 
 
 def keep_identified(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose language is told with a score above ``least``, with the columns of ``docs``."""
-    scored = identify(docs, profiles, text)
-    return scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
+    pred, score = free(docs, "lang_pred", "score")
+    scored = identify(docs, profiles, text, pred=pred, score=score)
+    return scored.where((F.col(pred) != UNKNOWN) & (F.col(score) > least)).drop(pred, score)
