@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import io
+import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,23 +17,37 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veracat.llm.common import running_sum, whole
+from veracat.llm.common import running_sum, spread, whole
 from veracat.llm.shared import open_shared
 from veracat.session import materialise, scratch_dir
 
 END = 2
 SEPARATOR = 49407
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 BLOCK = 4 << 20
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
+#: A chunk that is one word of Latin letters and the marks after it: its pieces are known without a tokenizer.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+
+
+@cache
+def byte_signs() -> dict[int, str]:
+    """The sign that byte-level vocabularies write for a byte: a printable one stands for itself, the others
+    take the code points from 256 on in turn."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """A tokenizer with a bounded cache of the ids of space-delimited chunks.
 
     Only for tokenizers that never join characters across a space or newline, as those that drop white space
-    before their merges; the cache is emptied when full, so memory is bounded.
+    before their merges; the cache is emptied when full, so memory is bounded. A new chunk that is a plain word
+    goes to the tokenizer's merges at once, if that gives this tokenizer's ids; every other one is encoded whole.
     """
 
     def __init__(self, path: str, literal: bool):
@@ -37,7 +55,24 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+        probe = ["Word", "stra\u00dfe,", "\u00c9t\u00e9...", "unbelievably!?", "a"]
+        self.plain = all(self._plain(PLAIN.fullmatch(c)) == whole for c, whole in zip(probe, self._whole(probe)))
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _plain(self, match: re.Match) -> bytes:
+        word, marks = match.groups()
+        return self._piece(word.lower()) + (self._piece(marks) if marks else b"")
+
+    def _piece(self, piece: str) -> bytes:
+        if piece not in self.pieces:
+            signs = piece if piece.isascii() else "".join(map(byte_signs().__getitem__, piece.encode()))
+            self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return self.pieces[piece]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -47,20 +82,25 @@ class Encoder:
             return b"".join([known[c] for c in chunks])
         except KeyError:
             pass
-        if len(known) > CACHE_ENTRIES:
+        if len(known) + len(self.pieces) > CACHE_ENTRIES:
             known.clear()
+            self.pieces.clear()
             known[""] = b""
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[c] = np.asarray(e.ids, "<u4").tobytes()
+        odd = []
+        for c in dict.fromkeys(chunks):
+            if c not in known:
+                match = PLAIN.fullmatch(c) if self.plain else None
+                if match:
+                    known[c] = self._plain(match)
+                else:
+                    odd.append(c)
+        known.update(zip(odd, self._whole(odd)))
         return b"".join([known[c] for c in chunks])
 
 
 def encoder(path: str, literal: bool = False) -> Encoder:
     """One per Python worker, so that the cache outlives a task."""
     if (path, literal) not in _encoders:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _encoders[path, literal] = Encoder(path, literal)
     return _encoders[path, literal]
@@ -121,7 +161,7 @@ def read_ids(df: DataFrame) -> DataFrame:
 def token_index(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in a folder of token files; start is the number
     of ids before it in file order."""
-    read = read_ids(spark.read.orc(path))
+    read = read_ids(spark.read.schema("doc_id bigint, digest string, ids array<int>").orc(path))
     placed = running_sum(read, ["doc_id", "digest", "ids_crc32"], "n_tokens", "start")
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -188,9 +228,9 @@ def scan_flat(files: DataFrame, separator: int = SEPARATOR, block: int = BLOCK)
                 tail = len(ids) - (found[-1] + 1 if len(found) else 0)
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at]), pa.array([len(found)]), pa.array([tail], pa.int64()), pa.array([gaps.tolist()], pa.list_(pa.int64()))], ["file", "at", "n", "tail", "gaps"])
 
-    sized = files.select("file").distinct().mapInArrow(lengths, "file string, bytes bigint").where("bytes > 0")
-    blocks = sized.select("file", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(block).cast("bigint"))).alias("at")).repartition("file", "at")
-    found = materialise(blocks.mapInArrow(search, "file string, at bigint, n bigint, tail bigint, gaps array<bigint>"), "blocks")
+    sized = spread(materialise(files.select("file").distinct(), "names")).mapInArrow(lengths, "file string, bytes bigint").where("bytes > 0")
+    blocks = sized.select("file", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(block).cast("bigint"))).alias("at"))
+    found = materialise(spread(materialise(blocks, "cuts")).mapInArrow(search, "file string, at bigint, n bigint, tail bigint, gaps array<bigint>"), "blocks")
 
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     end = F.sum(F.when(F.col("n") > 0, 0).otherwise(F.col("tail"))).over(before)  # ids of blocks without a separator
