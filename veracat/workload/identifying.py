@@ -70,7 +70,7 @@ def latest_snapshot(t):
 @query("""SELECT c_custkey, c_name, c_acctbal FROM customer WHERE contains(lower(c_mktsegment), 'build') ORDER BY c_mktsegment = 'BUILDING' DESC, c_acctbal DESC, c_custkey LIMIT 26""")
 def ranked_hits(t):
     hits = t.customer.filter(F.contains(F.lower("c_mktsegment"), F.lit("build")))
-    return ranked(hits, [(F.col("c_mktsegment") == "BUILDING").desc(), F.col("c_acctbal").desc(), F.col("c_custkey")]).select("c_custkey", "c_name", "c_acctbal")
+    return ranked(hits, [(F.col("c_mktsegment") == "BUILDING").desc(), F.col("c_acctbal").desc(), F.col("c_custkey")], limit=25).select("c_custkey", "c_name", "c_acctbal")
 
 
 @query("""SELECT lang, source, array_to_string(list_sort(list(DISTINCT n_chars))[1:5], ',') AS examples, greatest(count(DISTINCT n_chars) - 5, 0) AS n_more FROM documents GROUP BY ALL""")
