@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import clashing, prose
@@ -18,7 +19,7 @@ from veracat.session import scratch_dir
 
 
 def texts_of(docs):
-    return sorted(((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0, hashlib.md5(x[1].encode()).hexdigest()))
+    return sorted(((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0, np.uint64(xxhash.xxh64_intdigest(x[1].encode(), 42)).astype(np.int64)))
 
 
 def library_ids(texts, literal=False):

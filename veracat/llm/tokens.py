@@ -79,7 +79,7 @@ class Encoder:
         chunks = text.replace("\n", " ").split(" ")
         known = self.known
         try:
-            return b"".join([known[c] for c in chunks])
+            return b"".join(map(known.__getitem__, chunks))
         except KeyError:
             pass
         if len(known) + len(self.pieces) > CACHE_ENTRIES:
@@ -109,9 +109,9 @@ def encoder(path: str, literal: bool = False) -> Encoder:
 def token_ids(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
     """(doc_id, digest, ids) in ascending doc_id order, NULL first; a NULL text is empty. ``ids`` ends with ``end``.
 
-    Rows are ordered by (doc_id, md5 of the text), so equal ids have a fixed order too.
+    Rows are ordered by (doc_id, a hash of the text), so equal ids have a fixed order too.
     """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.md5(whole(text)).alias("digest"), whole(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(whole(text)).alias("digest"), whole(text).alias("text"))
     ordered = rows.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +123,7 @@ def token_ids(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(made), "<i4"), pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), ids], ["doc_id", "digest", "ids"])
 
-    return ordered.mapInArrow(encode, "doc_id bigint, digest string, ids array<int>")
+    return ordered.mapInArrow(encode, "doc_id bigint, digest bigint, ids array<int>")
 
 
 def _slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -155,13 +155,13 @@ def read_ids(df: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), batch.column("digest"), pa.array(np.diff(at), pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "digest", "n_tokens", "ids_crc32"]
             )
 
-    return df.select("doc_id", "digest", "ids").mapInArrow(measure, "doc_id bigint, digest string, n_tokens bigint, ids_crc32 bigint")
+    return df.select("doc_id", "digest", "ids").mapInArrow(measure, "doc_id bigint, digest bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_index(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in a folder of token files; start is the number
     of ids before it in file order."""
-    read = read_ids(spark.read.schema("doc_id bigint, digest string, ids array<int>").orc(path))
+    read = materialise(read_ids(spark.read.schema("doc_id bigint, digest bigint, ids array<int>").orc(path)), "measured")
     placed = running_sum(read, ["doc_id", "digest", "ids_crc32"], "n_tokens", "start")
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
 
