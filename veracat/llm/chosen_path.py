@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracat.llm.common import components, whole, words
+from veracat.llm.common import components, light, whole, words
 from veracat.llm.verify import blocks, in_groups, owned_pairs, weigh
 from veracat.session import materialise
 
@@ -110,7 +110,7 @@ def leaves(sets: DataFrame, n_runs: int, small: int = SMALL, deepest: int = DEEP
     found = None
     for depth in range(1, deepest + 1):
         counts = now.groupBy("path").agg(F.count("*").alias("n"), F.max("above").alias("above")).where("n > 1")
-        dealt = materialise(now.select("set_id", "path").join(counts, "path"), "paths")
+        dealt = materialise(now.select("set_id", "path").join(counts, "path").transform(light), "paths")
         leaf = (F.col("n") <= small) | (F.col("n") > ALIKE * F.col("above")) | F.lit(depth == deepest)
         part = dealt.where(leaf).select("path", "n", "set_id")
         found = part if found is None else found.unionByName(part)
@@ -164,13 +164,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
     measured = materialise(sketches(docs, doc_id, text, shingle), "sketches")
     one = F.min_by(F.struct("doc_id", "digest"), F.struct("doc_id", "digest"))
     held = measured.where("n > 0").groupBy("set_id").agg(F.count("*").alias("copies"), F.min("doc_id").alias("smallest"), one.alias("at"))
-    held = materialise(held, "held")
+    held = materialise(light(held), "held")
     distinct = measured.where("n > 0").select("doc_id", "digest", "set_id", "n", "sample", "low").join(
         held.select(F.col("set_id").alias("of_set"), "at"), (F.col("set_id") == F.col("of_set")) & F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("digest") == F.col("at.digest"))
     ).dropDuplicates(["set_id"])
     distinct = materialise(distinct.select("set_id", "n", "sample", "low"), "sets")
 
-    found = materialise(leaves(distinct, runs(threshold, recall)), "leaves")
+    found = materialise(light(leaves(distinct, runs(threshold, recall))), "leaves")
     mine = found.groupBy("set_id").agg(F.sort_array(F.collect_set("path")).alias("groups"))  # a few leaves a run
     members = found.select("set_id", F.col("path").alias("grp"), F.col("n").alias("size")).join(mine, "set_id").join(distinct.select("set_id", "n", "low"), "set_id")
     flagged = materialise(plausible(blocks(members, "size", "set_id"), threshold), "flagged")
@@ -194,7 +194,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
     links = linked.groupBy("id").agg(F.sum("links").alias("others"))
     rooted = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     per_set = held.join(links, held["set_id"] == links["id"], "left").join(rooted, held["set_id"] == rooted["node"], "left")
-    per_set = materialise(per_set.select("set_id", "smallest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "set_id").alias("root")), "classes")
+    per_set = materialise(per_set.transform(light).select("set_id", "smallest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "set_id").alias("root")), "classes")
     named_class = per_set.groupBy("root").agg(F.min("smallest").alias("class_id"))
     classes = per_set.join(named_class, "root").select(F.col("set_id").alias("of_set"), "class_id", "n_links", "root")
     out = measured.select("doc_id", "digest", "set_id").join(classes, F.col("set_id") == F.col("of_set"), "left")

@@ -68,6 +68,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in drop])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table of work items, dealt out over all cores, four tasks to a core at most. A shuffle that names its
+    number of partitions is not coalesced at run time, as one of a few short rows would be."""
+    return df.repartition(max(1, min(df.count(), 4 * df.sparkSession.sparkContext.defaultParallelism)))
+
+
+def light(df: DataFrame) -> DataFrame:
+    """A table of short rows, written as a quarter of the files that a shuffle would leave."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
+
+
 def running_sum(df: DataFrame, order: list[str | Column], value: str, name: str) -> DataFrame:
     """The sum of ``value`` over all rows before each row in a global order, without gathering the rows.
 
@@ -97,7 +108,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     smallest node it knows, which takes a number of rounds logarithmic in the longest path. A node's neighbours are only
     ever reduced to their minimum, so a hub is never gathered; each round is written to the shared folder.
     """
-    now = materialise(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "edges")
+    now = materialise(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct().transform(light), "edges")
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -105,7 +116,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         lowest = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
-        new = materialise(small.where("u <> v").distinct(), "edges")
+        new = materialise(light(small.where("u <> v").distinct()), "edges")
         if new.exceptAll(now).isEmpty() and now.exceptAll(new).isEmpty():
             return new.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(new.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         now = new

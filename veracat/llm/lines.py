@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veracat.llm.common import running_sum, whole
+from veracat.llm.common import light, running_sum, whole
 from veracat.session import materialise
 
 #: Lines of a run that counts as repeated, at least.
@@ -13,67 +13,65 @@ LEAST = 2
 
 
 def line_table(rows: DataFrame) -> DataFrame:
-    """(doc, doc_id, digest, place, line, h): the lines of every row that hold a word, numbered from 0.
+    """(doc, doc_id, size, place, line, h): the lines of every row that hold a word, numbered from 0 to ``size``.
 
     Blank lines are no part of the sequence. ``h`` is the line's id, a 64-bit hash of the whole line.
     """
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("h"), (F.translate(x, " \t\x0b\f\r", "") != "").alias("full")))
-    full = rows.select("doc", "doc_id", F.md5("text").alias("digest"), F.filter(lines, lambda x: x["full"]).alias("lines"))
-    return materialise(full.select("doc", "doc_id", "digest", F.posexplode("lines").alias("place", "x")).select("doc", "doc_id", "digest", "place", "x.line", "x.h"), "lines")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("h"), x.rlike(r"[^\x20\x09-\x0D]").alias("full")))
+    full = rows.select("doc", "doc_id", F.filter(lines, lambda x: x["full"]).alias("lines"))
+    return materialise(full.select("doc", "doc_id", F.size("lines").alias("size"), F.posexplode("lines").alias("place", "x")).select("doc", "doc_id", "size", "place", "x.line", "x.h"), "lines")
 
 
 def suffix_array(lines: DataFrame) -> DataFrame:
-    """(doc, place, slot, h): the order of the suffixes that start with a line that occurs twice.
-
-    Suffixes are compared by line ids; one ends at the end of its document. ``slot`` is the place of a suffix's
-    class among them, equal only for suffixes that are equal to their ends. A round doubles the length by which
-    suffixes are told apart: a class is split by the class of the suffix that starts where its own length ends.
-    Only classes of several suffixes take part in a round, so it shrinks to what is still alike. The pairs of
-    classes are counted before they are ordered, so a line of a third of the rows is one row there.
+    """(doc, place, doc_id, slot, h): the order of the suffixes that start with a line that occurs twice.
+
+    Suffixes are compared by line ids; one ends at the end of its document, which comes first. A line that occurs
+    once comes next, ordered by its place: it tells a suffix apart from all others, so only its kind is needed.
+    ``slot`` is the place of a suffix's class, equal only for suffixes that are equal to their ends. A round doubles
+    the length by which suffixes are told apart: a class is split by the class of the suffix that starts where its
+    own length ends. Only classes of several suffixes take part, so a round shrinks to what is still alike. The pairs
+    of classes are counted before they are ordered, so a line of a third of the rows is one row there.
     """
-    counts = lines.groupBy("h").agg(F.count("*").alias("n"))
-    repeated = materialise(counts.where("n > 1"), "repeated")
-    slots = materialise(running_sum(repeated, ["h"], "n", "slot").select("h", "n", "slot"), "slots")
-    # Where the sequence of repeated lines breaks, the next line occurs once: its id takes no slot and its sign tells it apart.
-    now = materialise(lines.select("doc", "place", "h").join(slots, "h").select("doc", "place", "h", "slot", "n"), "suffixes")
-    lone = lines.select("doc", "place", F.col("h").alias("own")).join(repeated.select("h"), F.col("own") == F.col("h"), "left_anti").select("doc", "place", "own")
+    repeated = materialise(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").transform(light), "repeated")
+    slots = running_sum(repeated, ["h"], "n", "slot").select("h", "n", "slot")
+    now = materialise(lines.join(slots, "h").select("doc", "doc_id", "size", "place", "h", "slot", "n"), "suffixes")
     done, length = None, 1
     while True:
-        active, settled = now.where("n > 1"), now.where("n = 1")
+        active, settled = now.where("n > 1"), now.where("n = 1").drop("n")
         done = settled if done is None else done.unionByName(settled)
         if active.isEmpty():
-            return done.select("doc", "place", "h", "slot")
+            return done.select("doc", "place", "doc_id", "h", "slot")
         known = done.select("doc", "place", "slot").unionByName(active.select("doc", "place", "slot"))
-        ahead = known.select(F.col("doc").alias("d"), (F.col("place") - length).alias("p"), F.col("slot").alias("next"), F.lit(None).cast("bigint").alias("own"))
-        ahead = ahead.unionByName(lone.select(F.col("doc").alias("d"), (F.col("place") - length).alias("p"), F.lit(None).cast("bigint").alias("next"), "own"))
-        paired = active.join(ahead, (F.col("doc") == F.col("d")) & (F.col("place") == F.col("p")), "left").select("doc", "place", "h", "slot", "next", "own")
-        # An ended suffix comes first, then the lone lines, then the slots.
-        paired = materialise(paired.withColumn("kind", F.when(F.col("own").isNotNull(), 1).when(F.col("next").isNotNull(), 2).otherwise(0)).withColumn("key", F.coalesce("next", "own", F.lit(0))).drop("next", "own"), "pairs")
-        classes = materialise(paired.groupBy("slot", "kind", "key").agg(F.count("*").alias("n")), "classes")
-        split = classes.groupBy("slot").agg(F.count("*").alias("parts"), F.max("kind").alias("most")).where("parts > 1 or most = 2")
-        moved = running_sum(classes.join(split.select("slot"), "slot", "left_semi"), ["slot", "kind", "key"], "n", "before")
+        ahead = known.select(F.col("doc").alias("d"), (F.col("place") - length).alias("p"), F.col("slot").alias("next"))
+        paired = active.drop("n").join(ahead, (F.col("doc") == F.col("d")) & (F.col("place") == F.col("p")), "left").drop("d", "p")
+        kind = F.when(F.col("next").isNotNull(), 2).when(F.col("place") + length >= F.col("size"), 0).otherwise(1)
+        own = F.when(kind == 1, F.struct("doc", "place"))
+        paired = materialise(paired.select("*", kind.alias("kind"), F.coalesce("next", F.lit(0)).alias("key"), own.alias("own")).drop("next").transform(light), "pairs")
+        classes = materialise(paired.groupBy("slot", "kind", "key", "own").agg(F.count("*").alias("n")).transform(light), "classes")
+        moved = running_sum(classes, ["slot", "kind", "key", "own"], "n", "before")
         base = moved.groupBy("slot").agg(F.min("before").alias("base"))
-        moved = moved.join(base, "slot").select("slot", "kind", "key", "n", (F.col("slot") + F.col("before") - F.col("base")).alias("new"), F.lit(True).alias("split"))
-        out = paired.join(moved, ["slot", "kind", "key"], "left")
-        # A class that did not split and whose suffixes have all ended is settled: they are equal to their ends.
-        out = out.select("doc", "place", "h", F.coalesce("new", "slot").alias("slot"), F.when(F.col("kind") < 2, F.lit(1).cast("bigint")).otherwise(F.coalesce("n", F.lit(1).cast("bigint"))).alias("n"))
-        now = materialise(out, "suffixes")
+        moved = moved.join(base, "slot").select(F.col("slot").alias("s"), F.col("kind").alias("k"), F.col("key").alias("y"), F.col("own").alias("o"), "n", (F.col("slot") + F.col("before") - F.col("base")).alias("new"))
+        same = (F.col("slot") == F.col("s")) & (F.col("kind") == F.col("k")) & (F.col("key") == F.col("y")) & F.col("own").eqNullSafe(F.col("o"))
+        # Suffixes that have all ended are equal to their ends and stay one class.
+        n = F.when(F.col("kind") == 2, F.col("n")).otherwise(F.lit(1).cast("bigint"))
+        now = materialise(paired.join(moved, same).select("doc", "doc_id", "size", "place", "h", F.col("new").alias("slot"), n.alias("n")).transform(light), "suffixes")
         length *= 2
 
 
-def neighbours(lines: DataFrame, order: DataFrame) -> DataFrame:
-    """(doc, place, doc_id, digest, rank, lcp): the suffixes in order, each with the length of the prefix that it shares
+def neighbours(order: DataFrame) -> DataFrame:
+    """(doc, place, doc_id, rank, lcp): the suffixes in order, each with the length of the prefix that it shares
     with the one before it.
 
     A suffix whose line before it is the same as its neighbour's shares one line less than the suffix before it
     does; only the others are compared line by line, over offsets that double until all have found their end. The
     sum of their lengths is at most n log n for n lines.
     """
-    keyed = order.join(lines.select("doc", "place", "doc_id", "digest"), ["doc", "place"]).withColumn("one", F.lit(1).cast("bigint"))
-    ranked = materialise(running_sum(keyed, ["slot", "doc_id", "digest", "doc", "place"], "one", "rank").drop("one"), "ranked")
+    keyed = order.withColumn("one", F.lit(1).cast("bigint"))
+    ranked = materialise(running_sum(keyed, ["slot", "doc_id", "doc", "place"], "one", "rank").drop("one"), "ranked")
     before = ranked.select((F.col("rank") + 1).alias("rank"), F.col("doc").alias("doc2"), F.col("place").alias("place2"), F.col("h").alias("h2"))
     pairs = materialise(ranked.join(before, "rank").where(F.col("h") == F.col("h2")).select("rank", "doc", "place", "doc2", "place2"), "pairs")
-    of = lines.select(F.col("doc").alias("a"), F.col("place").alias("i"), "h")
+    # Lines that occur once are not here, and share nothing.
+    of = ranked.select(F.col("doc").alias("a"), F.col("place").alias("i"), "h")
     left = pairs.join(of, (F.col("doc") == F.col("a")) & (F.col("place") - 1 == F.col("i")), "left").select("rank", "doc", "place", "doc2", "place2", F.col("h").alias("left"))
     left = left.join(of, (F.col("doc2") == F.col("a")) & (F.col("place2") - 1 == F.col("i")), "left").select("rank", "doc", "place", "doc2", "place2", (F.col("left") == F.col("h")).alias("same"))
     left = materialise(left.withColumn("same", F.coalesce("same", F.lit(False))), "left")
@@ -82,7 +80,7 @@ def neighbours(lines: DataFrame, order: DataFrame) -> DataFrame:
         offsets = open_.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(start + width - 1))))
         met = offsets.join(of, (F.col("doc") == F.col("a")) & (F.col("place") + F.col("k") == F.col("i")), "left").select("rank", "k", "doc2", "place2", F.col("h").alias("x"))
         met = met.join(of, (F.col("doc2") == F.col("a")) & (F.col("place2") + F.col("k") == F.col("i")), "left").select("rank", "k", (F.col("x") == F.col("h")).alias("equal"))
-        ends = materialise(met.groupBy("rank").agg(F.min(F.when(~F.coalesce("equal", F.lit(False)), F.col("k"))).alias("lcp")), "ends")
+        ends = materialise(met.groupBy("rank").agg(F.min(F.when(~F.coalesce("equal", F.lit(False)), F.col("k"))).alias("lcp")).transform(light), "ends")
         found = ends.where("lcp is not null")
         known = found if known is None else known.unionByName(found)
         rest = ends.where("lcp is null").select("rank")
@@ -93,19 +91,19 @@ def neighbours(lines: DataFrame, order: DataFrame) -> DataFrame:
     # Along a document a shared prefix loses a line a step until the next one that was compared.
     last = F.last(F.col("lcp") + F.col("place"), ignorenulls=True).over(Window.partitionBy("doc").orderBy("place"))
     all_ = measured.select("rank", (last - F.col("place")).cast("bigint").alias("lcp"))
-    return materialise(ranked.join(all_, "rank", "left").select("doc", "place", "doc_id", "digest", "rank", F.coalesce("lcp", F.lit(0).cast("bigint")).alias("lcp")), "neighbours")
+    return materialise(ranked.join(all_, "rank", "left").select("doc", "place", "doc_id", "rank", F.coalesce("lcp", F.lit(0).cast("bigint")).alias("lcp")), "neighbours")
 
 
 def repeated_runs(lines: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc, place) of every line inside a later copy of a run of ``least`` lines or more.
 
     In suffix order the suffixes between two shared prefixes shorter than ``least`` are one interval: they start
-    with the same run. Its first occurrence, by (doc_id, digest, row, place) with NULL ids first, stays; the
+    with the same run. Its first occurrence, by (doc_id, row as read, place) with NULL ids first, stays; the
     lines of all others are marked. Overlapping copies inside a document are copies too.
     """
-    ordered = neighbours(lines, suffix_array(lines))
+    ordered = neighbours(suffix_array(lines))
     heads = running_sum(ordered.withColumn("head", F.when(F.col("lcp") < least, 1).otherwise(0).cast("bigint")), ["rank"], "head", "before")
-    interval = materialise(heads.select("doc", "place", F.struct("doc_id", "digest", "doc", "place").alias("at"), (F.col("before") + F.col("head")).alias("interval"), "lcp"), "intervals")
+    interval = materialise(heads.select("doc", "place", F.struct("doc_id", "doc", "place").alias("at"), (F.col("before") + F.col("head")).alias("interval"), "lcp"), "intervals")
     per = interval.groupBy("interval").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1")
     later = interval.join(per, "interval").where("at <> first")
     return materialise(later.select("doc", F.explode(F.sequence(F.col("place"), F.col("place") + (least - 1))).alias("place")).distinct(), "marked")
@@ -121,29 +119,29 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     rows = materialise(docs.select(F.monotonically_increasing_id().alias("doc"), F.col(doc_id).alias("doc_id"), whole(text).alias("text")), "rows")
     lines = line_table(rows)
     marked = repeated_runs(lines, least)
-    cut = materialise(marked.join(lines, ["doc", "place"]).select("doc", "line"), "cut")
-    n_lines = lines.groupBy("doc").agg(F.count("*").alias("n_lines")).withColumnRenamed("doc", "d")
-    n_cut = cut.groupBy("doc").agg(F.count("*").alias("n_removed")).withColumnRenamed("doc", "e")
-    counted = rows.select("doc").join(n_lines, F.col("doc") == F.col("d"), "left").join(n_cut, F.col("doc") == F.col("e"), "left")
-    counted = materialise(counted.select("doc", F.coalesce("n_lines", F.lit(0).cast("bigint")).alias("n_lines"), F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed")), "counts")
-    # Only documents that lose a line are taken apart and put together again.
-    touched = rows.join(counted.where("n_removed > 0").select("doc"), "doc", "left_semi").select("doc", F.posexplode(F.split("text", "\n")).alias("line", "x"))
-    left = touched.join(cut, ["doc", "line"], "left_anti").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line", "x"))).alias("kept"))
-    left = left.select(F.col("doc").alias("d"), F.array_join(F.transform("kept", lambda k: k["x"]), "\n").alias("left"))
-    out = rows.join(counted, "doc").join(left, F.col("doc") == F.col("d"), "left")
-    return out.select("doc_id", F.when(F.col("n_removed") > 0, F.coalesce("left", F.lit(""))).otherwise(F.col("text")).alias("text"), "n_lines", "n_removed")
+    n_lines = lines.groupBy("doc").agg(F.max("size").cast("bigint").alias("n_lines"))
+    cut = marked.join(lines, ["doc", "place"]).groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("cut"))
+    # A flag for every line up to the last one that goes: the gaps between those, each followed by one.
+    gap = lambda c, i: c - F.coalesce(F.get("cut", i - 1), F.lit(-1)) - 1
+    flags = F.flatten(F.transform("cut", lambda c, i: F.concat(F.array_repeat(F.lit(False), gap(c, i)), F.array(F.lit(True)))))
+    told = materialise(n_lines.join(cut.select("doc", F.size("cut").cast("bigint").alias("n_removed"), flags.alias("flags")), "doc", "left").withColumnRenamed("doc", "d"), "told")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.get("flags", i), F.lit(False))), "\n")
+    zero = F.lit(0).cast("bigint")
+    out = rows.join(told, F.col("doc") == F.col("d"), "left")
+    return out.select("doc_id", F.when(F.col("flags").isNotNull(), left).otherwise(F.col("text")).alias("text"), F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"))
 
 
 SQL = r"""
 WITH l AS (
-  SELECT r, doc_id, md5(t) AS digest, unnest(range(0, len(ls))) AS line, unnest(ls) AS x
+  SELECT r, doc_id, unnest(range(0, len(ls))) AS line, unnest(ls) AS x
   FROM (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
 ), s AS (
-  SELECT *, row_number() OVER (PARTITION BY r ORDER BY line) AS place FROM l WHERE regexp_matches(x, '[^ 	-]')
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY line) AS place FROM l WHERE regexp_matches(x, '[^ 	-
+]')
 ), runs AS (
   SELECT *, lead(x) OVER (PARTITION BY r ORDER BY place) AS y FROM s
 ), starts AS (
-  SELECT r, place, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, digest, r, place) AS nth FROM runs WHERE y IS NOT NULL
+  SELECT r, place, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, r, place) AS nth FROM runs WHERE y IS NOT NULL
 ), cut AS (
   SELECT DISTINCT r, line FROM s JOIN (SELECT r, place + k AS place FROM starts, (VALUES (0), (1)) v(k) WHERE nth > 1) USING (r, place)
 ), n AS (SELECT r, count(*) AS n_lines FROM s GROUP BY r), c AS (SELECT r, count(*) AS n_removed FROM cut GROUP BY r)
