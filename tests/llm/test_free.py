@@ -218,6 +218,37 @@ def test_similar_passages_are_clustered(documents):
     assert {r["doc_id"] for r in paragraphs.per_document(paragraphs.repeats(documents(rows))).collect()} == {700, 701}
 
 
+def bare(seed, n):
+    return prose(seed, n).replace(".", "")
+
+
+def test_passages_without_lines_or_sentences_of_their_own(documents):
+    wrapped = lambda words, n: "\n".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))
+    words = {k: bare(970 + k, 50).split() for k in range(3)}
+    rows = [
+        (800, wrapped(bare(980, 13).split() + words[0], 7)), (801, wrapped(words[0] + bare(981, 40).split(), 11)),  # lines of under 20 words
+        (802, f"{bare(982, 60)} {' '.join(words[1])} {bare(983, 60)}"), (803, f"{bare(984, 90)}, {' '.join(words[1])}\u0964 {bare(985, 33)}"),  # one long line
+        (804, f"{bare(986, 9)} {' '.join(words[2])} {bare(987, 70)}. {bare(988, 60)}."), (805, f"{bare(989, 30)}. {bare(990, 5)} {' '.join(words[2])} {bare(991, 80)}."),  # inside a sentence
+        (806, wrapped(bare(992, 200).split(), 9)), (807, bare(993, 25) + "\n"), (808, wrapped(bare(993, 25).split(), 6)),
+    ]
+    found = paragraphs.repeats(documents(rows))
+    assert {r["doc_id"]: r["first_docs"] for r in paragraphs.per_document(found).collect()} == {800: [], 801: [800], 802: [], 803: [802], 804: [], 805: [804], 807: [], 808: [807]}
+
+
+def test_fifty_common_words_hold_a_common_paragraph():
+    rng = np.random.default_rng(12)
+    for kinds in (2, 5, 1 << 40):  # also texts of few words, which repeat themselves
+        for _ in range(200):
+            common = rng.integers(0, kinds, 50)
+            held = []
+            for _ in range(2):
+                before = int(rng.integers(0, 90))
+                words = np.concatenate([rng.integers(0, kinds, before), common, rng.integers(0, kinds, int(rng.integers(0, 90)))])
+                h, a, b = paragraphs.spans(words, rng.choice([0, 0, 0, 1], len(words)).astype(np.int8))
+                held.append({(x - before, y - before) for x, y in zip(a.tolist(), b.tolist()) if x >= before and y <= before + 50})
+            assert held[0] & held[1]
+
+
 def test_pipeline_against_brute_force(spark, sf):
     import corpus_pipeline
 
