@@ -235,6 +235,13 @@ def test_passages_without_lines_or_sentences_of_their_own(documents):
     assert {r["doc_id"]: r["first_docs"] for r in paragraphs.per_document(found).collect()} == {800: [], 801: [800], 802: [], 803: [802], 804: [], 805: [804], 807: [], 808: [807]}
 
 
+def test_every_short_sentence_starts_a_paragraph():
+    for word in range(40):  # whatever the hash of the word that all sentences start with
+        words = np.asarray([x for i in range(17) for x in (word, 100 + i, 200 + i)], np.int64)
+        _, a, b = paragraphs.spans(words, np.asarray([0, 0, 1] * 17, np.int8))
+        assert {(x, min(x + 27, 51)) for x in range(0, 33, 3)} <= set(zip(a.tolist(), b.tolist()))
+
+
 def test_fifty_common_words_hold_a_common_paragraph():
     rng = np.random.default_rng(12)
     for kinds in (2, 5, 1 << 40):  # also texts of few words, which repeat themselves
