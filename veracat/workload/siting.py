@@ -60,6 +60,28 @@ def place_peptides(t):
     return placed.groupBy("accession", "piece").agg(F.count("start").alias("n_places"), F.max("reason").alias("reason"))
 
 
+def _all_pieces(t):
+    """Every distinct word of every document, and one word of another language."""
+    words = F.filter(F.split(F.lower("text"), " "), lambda w: w != "")
+    every = F.array_distinct(F.concat(words, F.array(F.lit("tion"))))
+    return t.documents.select("doc_id", F.explode(every).alias("piece"), F.lower("text").alias("body"))
+
+
+# Position by position in SQL, all words of whole texts take too long; tests compare with brute force.
+@query(None)
+def occurrences_all_words(t):
+    hits = _all_pieces(t).select("doc_id", "piece", F.explode(F.transform(all_occurrences("piece", "body"), lambda i: i.cast("bigint"))).alias("place"))
+    return hits.groupBy("doc_id", "piece").agg(F.count("*").alias("n"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+
+
+@query(None)
+def place_all_words(t):
+    pairs = _all_pieces(t).select(text("D", "doc_id").alias("accession"), "piece")
+    seqs = t.documents.filter("lang <> 'fr'").select(text("D", "doc_id").alias("accession"), F.lower("text").alias("sequence"))
+    placed = sites.place_peptides(pairs, "piece", "accession", seqs)
+    return placed.groupBy("accession", "piece").agg(F.count("start").alias("n_places"), F.max("reason").alias("reason"))
+
+
 @query("""SELECT CASE WHEN d.text IS NULL THEN 'no_sequence' WHEN s.place > length(d.text) THEN 'beyond_length' WHEN array_slice(d.text, s.place, s.place) = 'e' THEN 'residue_matches' ELSE 'wrong_residue' END AS outcome, count(*) AS n
 FROM (SELECT user_id AS doc, event_id + 1 AS place FROM events) s LEFT JOIN (SELECT * FROM documents WHERE lang <> 'fr') d ON d.doc_id = s.doc GROUP BY 1""")
 def verify_positions(t):
