@@ -1,7 +1,8 @@
 """Placement and assignment queries without SQL, against brute force."""
 
+import itertools
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -47,3 +48,26 @@ def test_all_words_of_every_text_are_placed(spark, texts):
             want[f"D{doc_id}", piece, n, "no_sequence" if lang == "fr" else None if n else "peptide_not_in_sequence"] += 1
     got = REGISTRY["place_all_words"][0](spark, folder).select("accession", "piece", "n_places", "reason")
     assert Counter(map(tuple, got.collect())) == want and len(want) > 250
+
+
+def test_every_line_states_a_segment(spark, sf):
+    names = {r["p_partkey"]: r["p_name"] for r in spark.read.parquet(f"{sf}/part.parquet").collect()}
+    orders = defaultdict(list)
+    for r in spark.read.parquet(f"{sf}/lineitem.parquet").collect():
+        orders[r["l_orderkey"]].append((r["l_linenumber"], r["l_partkey"], r["l_suppkey"], r["l_extendedprice"]))
+    want, several = Counter(), Counter()
+    for g, lines in orders.items():
+        members = [k for _, k, *_ in sorted(lines)]
+
+        def fits(stated, k):
+            # A blank letter names no residue, and any residue fits.
+            return all(a <= len(names[k]) and (names[stated][a - 1:a] in ("", " ") or names[k][a - 1:a] == names[stated][a - 1:a]) for a in (1, 3))
+
+        for part, stated in ((0, members[::2]), (1, members[1::2]), (2, members)):
+            valid = [c for c in itertools.combinations(range(len(members)), len(stated)) if all(fits(s, members[m]) for s, m in zip(stated, c))]
+            for i in range(len(stated)):
+                want[g, part, i, str(members[valid[0][i]]) if len(valid) == 1 else None] += 1
+            several[len(stated) > 1 and part < 2, len(valid) == 1] += 1
+    got = REGISTRY["assign_segments_every_line"][0](spark, sf).select("g", "part", "segment", "accession")
+    assert Counter(map(tuple, got.collect())) == want
+    assert several[True, True] and several[True, False]

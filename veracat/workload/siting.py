@@ -113,6 +113,19 @@ def assign_segments(t):
     return sites.assign_segments(entries.withColumn("cell", F.col("g")), ["cell"], "g", groups, seqs).select("g", "segment", "accession")
 
 
+# Every line states a segment, by the first and the third letter of its part's name. Its order has three cells: the
+# lines at even places, those at odd ones, and all. Tests enumerate the choices.
+@query(None)
+def assign_segments_every_line(t):
+    groups = _groups(t)
+    seqs = t.part.select(F.col("p_partkey").cast("string").alias("accession"), F.col("p_name").alias("sequence"))
+    stated = groups.join(seqs, "accession").withColumn("part", F.explode(F.array(F.col("member") % 2, F.lit(2))))
+    segment = F.when(F.col("part") == 2, F.col("member")).otherwise(F.floor(F.col("member") / 2).cast("int")).alias("segment")
+    letters = stated.select("g", "part", segment, "sequence", F.explode(F.array(F.lit(1), F.lit(3))).alias("at"))
+    entries = letters.select("g", "part", "segment", F.col("at").cast("bigint").alias("position"), F.concat(F.lit("Mark on "), F.substr("sequence", F.col("at"), F.lit(1))).alias("modification"))
+    return sites.assign_segments(entries, ["part"], "g", groups, seqs).select("g", "part", "segment", "accession")
+
+
 @query("""SELECT o_orderkey, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45) AS has_site FROM orders""")
 def site_key_join(t):
     known = t.lineitem.filter("l_quantity > 45").select(F.col("l_orderkey").alias("site"))
