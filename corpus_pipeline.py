@@ -9,7 +9,7 @@ from veracat.llm import chosen_path, decontaminate, language, mixing, tokens
 from veracat.llm.common import settings
 from veracat.session import materialise
 
-#: Score of a language, of 1, below which a text counts as told wrong.
+#: Score, of 1, below which a text counts as told wrong, for a language without held-out rows to derive it from.
 LEAST_SCORE = 0.2
 
 
@@ -17,7 +17,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Texts without letters, and those far from every profile, go."""
     settings(spark)
     profiles = language.fit(docs.where(F.col("lang").isNotNull()), "doc_id", "text", "lang")
-    return language.keep_identified(docs, profiles, "text", LEAST_SCORE)
+    return language.keep_identified(docs, profiles, "text", LEAST_SCORE, language.least_scores(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -272,6 +272,23 @@ def test_pipeline_against_brute_force(spark, sf):
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
+def test_foreign_texts_and_gibberish_go_and_clean_ones_stay(spark):
+    import random
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    draw = random.Random(1)
+    strange = [
+        (10**9, "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."),
+        (10**9 + 1, "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."),
+        (10**9 + 2, " ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 9))) for _ in range(200))),
+    ]
+    mixed = docs.unionByName(spark.createDataFrame(strange, "doc_id bigint, text string"), allowMissingColumns=True)
+    kept = Counter(r[0] for r in corpus_pipeline.identify_language(spark, mixed, "").select("doc_id").collect())
+    assert kept == Counter(r[0] for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect())
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 4000])
 def test_shingles_and_sketches_of_any_length(n):
     h = np.arange(n, dtype=np.int64) * 7919
