@@ -4,11 +4,12 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veracat.functions import cells, rules
-from veracat.operators import filters, quality, quant, samples, sites
+from veracat.operators import filters, ordering, quality, quant, samples, sites
 from veracat.operators import identification as ident
 from veracat.operators import search
 from veracat.operators.coerce import coerce, coercion_violations
@@ -126,11 +127,30 @@ def test_names_resolve_by_priority(spark):
     assert values(ident.unmatched_names(reported, "r", known, "name"), "reported", "uses") == [("gone", 2)]
 
 
-def test_rank_does_not_depend_on_blocks(spark):
-    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("k"), F.col("id").alias("o"))
-    a = ident.occurrence_rank(df, ["k"], "o", F.floor(F.col("o") / 17), "r")
-    b = ident.occurrence_rank(df, ["k"], "o", F.lit(0), "r")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_ranks_and_running_sums_over_ranges(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("k"), ((F.col("id") * 7919) % 5000).alias("o"))
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("o")).cast("bigint"))
+    got = ident.occurrence_rank(df, ["k"], "o", "r")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    summed = ordering.running_sum(df, ["k"], ["o"], F.col("o"), "s")
+    want = df.withColumn("s", F.sum("o").over(Window.partitionBy("k").orderBy("o")))
+    assert summed.exceptAll(want).count() == 0 and want.exceptAll(summed).count() == 0
+    assert ident.occurrence_rank(df.limit(0), ["k"], "o").count() == 0
+
+
+def test_one_key_of_a_million_rows_is_ranked_by_all_tasks(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(1_000_000, numPartitions=8).select(F.lit("x").alias("k"), F.pmod(F.col("id") * 48271, F.lit(1_000_003)).alias("o"))
+        got = ident.occurrence_rank(df, ["k"], "o", "r").withColumn("task", F.spark_partition_id())
+        assert got.agg(F.count_distinct("r"), F.min("r"), F.max("r")).first()[:] == (1_000_000, 1, 1_000_000)
+        assert got.join(got.select((F.col("r") + 1).alias("r"), F.col("o").alias("before")), "r").filter("o <= before").count() == 0
+        sizes = [n for _, n in got.groupBy("task").count().collect()]
+        assert len(sizes) > 3 and max(sizes) < 500_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_acceptance_is_three_valued(spark):

@@ -15,31 +15,14 @@ from veracat.functions.rules import (
     allowed_taxon, ambiguous_flag, canonical_accession, canonical_key, classify_source, level_rank,
     mint_identifier, worst_label, worst_label_or_null,
 )
+from veracat.operators.ordering import ranked
 from veracat.operators.quality import union_all
 
 
-def occurrence_rank(df: DataFrame, keys: Sequence[str], order: str, block: Column, name: str = "rank") -> DataFrame:
-    """The nth row of a key in order.
-
-    ``block`` is any expression that never falls as ``order`` rises: a file block, or an integer
-    order divided by a block size. Rows are ranked inside (key, block) and lifted by the rows of the
-    blocks before, so a key that holds a third of the table is ranked by many tasks.
-    """
-    # One struct key, equal to itself where a part is NULL: the window and the join behind it share
-    # one shuffle and one sort.
-    marked = df.withColumn("_key", F.struct(*keys)).withColumn("_part", F.struct(F.col("_key").alias("k"), block.alias("b")))
-    ranked = marked.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    before = Window.partitionBy("_part.k").orderBy("_part.b").rowsBetween(Window.unboundedPreceding, -1)
-    lift = (
-        marked.groupBy("_part").agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(before)).filter("_before > 0").select("_part", "_before")
-    )
-    rank = (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint")
-    return ranked.join(lift, "_part", "left").select(*df.columns, rank.alias(name))
-
-
-def file_block(order: str = "row_order") -> Column:
-    return F.struct(F.col(f"{order}.file"), F.col(f"{order}.block"))
+def occurrence_rank(df: DataFrame, keys: Sequence[str], order: str | Column, name: str = "rank") -> DataFrame:
+    """The nth row of a key in order. A key that holds a third of the table, or all of it, is ranked by as many tasks
+    as it has ranges; see ``ordering.running_sum``."""
+    return ranked(df, keys, [order], name)
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: str | Column, last: bool = False) -> DataFrame:
@@ -243,7 +226,7 @@ def any_column(df: DataFrame, *names: str) -> Column:
 
 
 def match_rows(matches: DataFrame, columns: Mapping[str, Sequence[str]], dataset_id: str | Column, runs: DataFrame,
-               run_column: str, forms: DataFrame, search: str, order: str = "row_order", block: Column | None = None) -> DataFrame:
+               run_column: str, forms: DataFrame, search: str, order: str = "row_order") -> DataFrame:
     """The match table: one row per line of the match file, in its stored types.
 
     ``columns`` gives the names a role may have in the file. ``forms`` is the translation of distinct
@@ -272,7 +255,7 @@ def match_rows(matches: DataFrame, columns: Mapping[str, Sequence[str]], dataset
     )
     named = resolve_names(typed, "_file", runs, run_column, "_run")
     keyed = named.withColumn("run_id", F.concat(dataset, F.lit(":"), F.coalesce("_run", "_file")))
-    ranked = occurrence_rank(keyed, ["run_id", "scan"], order, file_block(order) if block is None else block, "_rank")
+    ranked = occurrence_rank(keyed, ["run_id", "scan"], order, "_rank")
     full = ranked.join(forms.select("notation", "proforma", "base_sequence"), "notation", "left")
     scan_text = F.coalesce(F.col("scan").cast("string"), F.lit("None"))
     return full.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracat.functions.cells import quote, strip
+from veracat.session import materialise
 
 N_TERMINUS = 0
 C_TERMINUS = -1
@@ -13,20 +14,29 @@ C_TERMINUS = -1
 
 # Brackets inside a bracket, written as signs that no notation holds, so that one pattern finds the outer ones.
 INNER_OPEN, INNER_CLOSE = "\x02", "\x03"
+# A bracket that opens before the one before it closes.
+NESTED = r"\[[^\]]*\["
 # One outer bracket, or an unclosed one to the end of the text.
 BRACKET = r"(?:\[[^\[\]]*+\]|\[.*$)"
 
 
 def outer_brackets(notation: str) -> Column:
-    """The notation with only its outer brackets left as brackets, however deep they nest: the depth is counted
-    over the characters of one notation."""
-    def step(acc: Column, c: Column) -> Column:
-        opens, closes = c == "[", c == "]"
-        sign = F.when(opens & (acc["depth"] > 0), INNER_OPEN).when(closes & (acc["depth"] > 1), INNER_CLOSE).otherwise(c)
+    """The notation with only its outer brackets left as brackets, however deep they nest.
+
+    Only a notation with a bracket inside a bracket is folded over, one step a bracket: what stands between two
+    brackets is one piece. A notation that holds the signs of inner brackets itself is refused.
+    """
+    def step(acc: Column, piece: Column) -> Column:
+        first, rest = F.substr(piece, F.lit(1), F.lit(1)), F.substr(piece, F.lit(2))
+        opens, closes = first == "[", first == "]"
+        sign = F.when(opens & (acc["depth"] > 0), INNER_OPEN).when(closes & (acc["depth"] > 1), INNER_CLOSE).otherwise(first)
         depth = F.when(opens, acc["depth"] + 1).when(closes, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
-        return F.struct(depth.alias("depth"), F.concat(acc["text"], sign).alias("text"))
+        return F.struct(depth.alias("depth"), F.array_append(acc["pieces"], F.concat(sign, rest)).alias("pieces"))
 
-    return F.aggregate(F.split(notation, ""), F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda acc: acc["text"])
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("pieces"))
+    folded = F.aggregate(F.split(notation, r"(?=[\[\]])"), start, step, lambda acc: F.array_join(acc["pieces"], ""))
+    refused = F.raise_error(F.concat(F.lit("a notation holds the sign of an inner bracket: "), F.col(notation)))
+    return F.when(F.rlike(F.col(notation), F.lit(f"[{INNER_OPEN}{INNER_CLOSE}]")), refused).when(F.rlike(F.col(notation), F.lit(NESTED)), folded).otherwise(F.col(notation))
 
 
 # Fixed format: ``Category:Name on X`` inside a bracket.
@@ -82,7 +92,8 @@ def translate_notation(strings: DataFrame, column: str, registry: DataFrame) ->
     """One row per distinct notation: proforma, base_sequence, mods and unresolved tokens.
 
     mods: array of (position, residue, name, category, unimod, mass), position 0 for the N-terminus
-    and -1 for the C-terminus. The work is per distinct string; join the result back.
+    and -1 for the C-terminus. The work is per distinct string; join the result back. The distinct strings
+    are written in parts once, so that no filter carries the parsing down to the raw rows.
     """
     lead = F.regexp_extract("_flat", f"(?s)^((?:{BRACKET})*)", 1)
     distinct = (
@@ -95,13 +106,14 @@ def translate_notation(strings: DataFrame, column: str, registry: DataFrame) ->
     )
     last = F.get("_units", F.size("_units") - 1)
     c_terminal = F.coalesce(F.startswith(last, F.lit("-[")), F.lit(False))
-    pieces = distinct.withColumn("_cterm", c_terminal).withColumn(
+    parsed_once = distinct.withColumn("_cterm", c_terminal).withColumn(
         "_residues",
         F.transform(
             F.slice("_units", F.lit(1), F.size("_units") - F.col("_cterm").cast("int")),
             lambda u: F.substr(u, F.lit(1), F.lit(1)),
         ),
     )
+    pieces = materialise(parsed_once.select("notation", "_lead", "_units", "_residues"), "notations")
     n = F.size("_residues")
     slots = F.array_append(
         F.transform("_units", lambda u, i: F.struct(

@@ -48,8 +48,7 @@ def site_rollup(t):
 @query("SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rank FROM events")
 def occurrence_rank(t):
     rows = t.events.select("event_id", "user_id", "event_type")
-    # Event ids rise with time, so a thousand of them are a block.
-    return ident.occurrence_rank(rows, ["event_type"], "event_id", F.floor(F.col("event_id") / 1000))
+    return ident.occurrence_rank(rows, ["event_type"], "event_id")
 
 
 @query("SELECT o_custkey, o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")
@@ -80,9 +79,8 @@ def examples(t):
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS place FROM orders")
 def stable_order(t):
-    rows = t.orders.select(F.lit(1).alias("all"), F.struct("o_orderpriority", "o_orderkey").alias("key"), "o_orderkey")
-    block = F.struct(F.col("key.o_orderpriority"), F.floor(F.col("o_orderkey") / 1000))
-    ranked = ident.occurrence_rank(rows, ["all"], "key", block, "place")
+    rows = t.orders.select(F.struct("o_orderpriority", "o_orderkey").alias("key"), "o_orderkey")
+    ranked = ident.occurrence_rank(rows, [], "key", "place")
     return ident.stable_order(ranked.select("o_orderkey", "place"), ["place"])
 
 
@@ -247,7 +245,7 @@ def match_rows(t):
     forms = translate_notation(rows, "full_sequence", registry(t))
     runs = t.supplier.filter("s_acctbal > 2000").select(text("s", "s_suppkey").alias("name"))
     # Match lines of this binding come in order of their order key, so a run of keys is a block.
-    out = ident.match_rows(rows, MATCH_COLUMNS, "X", runs, "name", forms, "gptmd", block=F.floor(F.col("row_order.l_orderkey") / 1000))
+    out = ident.match_rows(rows, MATCH_COLUMNS, "X", runs, "name", forms, "gptmd")
     return out.select("psm_id", "usi", "q_value", "q_value_notch", "notch_ambiguous", "target_decoy", joined("protein_accessions").alias("protein_accessions"), "start_residue", "end_residue")
 
 

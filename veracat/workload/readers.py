@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from veracat.functions.cells import map_key_suffixes
-from veracat.operators.identification import file_block, occurrence_rank
+from veracat.operators.identification import occurrence_rank
 from veracat.operators.snapshots import newest_row
 from veracat.schema import parse_columns
 from veracat.session import scratch_dir
@@ -32,7 +32,7 @@ def rank_in_file_order(t):
     """Ranks in file order are dense whatever the splits: the highest is the count."""
     path = scratch_dir(t.spark, "matches")
     _tsv(t.lineitem.select(F.col("l_returnflag").alias("Flag"), F.col("l_orderkey").cast("string").alias("Order")), path)
-    ranked = occurrence_rank(files.read_match_table(t.spark, path), ["Flag"], "row_order", file_block())
+    ranked = occurrence_rank(files.read_match_table(t.spark, path), ["Flag"], "row_order")
     return ranked.groupBy("Flag").agg(F.count_distinct("rank").alias("n"), F.max("rank").alias("top"))
 
 

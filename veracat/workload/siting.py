@@ -98,7 +98,7 @@ fits AS (SELECT m.g, m.m, m.l_partkey, substr(p.p_name, 1, 1) AS letter FROM mem
 
 def _groups(t):
     rows = t.lineitem.select("l_orderkey", "l_partkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("o"))
-    ranked = occurrence_rank(rows, ["l_orderkey"], "o", F.col("o.l_linenumber"), "r")
+    ranked = occurrence_rank(rows, ["l_orderkey"], "o", "r")
     return ranked.select(F.col("l_orderkey").alias("g"), (F.col("r") - 1).cast("int").alias("member"), F.col("l_partkey").cast("string").alias("accession"))
 
 
