@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracat.llm import chosen_path, decontaminate, language, lines, mixing, paragraphs, quality, tokens, warc
+from veracat.llm import chosen_path, decontaminate, fingerprints, hard_negatives, language, lines, mixing, paragraphs, quality, repair, tokens, warc
 from veracat.llm.common import settings
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -85,3 +85,20 @@ def op10_repeated_paragraphs(table):
 @query(lines.SQL)
 def op1_line_dedup(table):
     return lines.dedup_lines(table("documents")).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+@query()
+def op13_document_fingerprints(table):
+    return fingerprints.edited(table("documents"))
+
+
+@query()
+def op12_repair_conversations(table):
+    return repair.repair(table("conversations"))
+
+
+@query(hard_negatives.SQL)
+def op11_hard_negatives(table):
+    rows = hard_negatives.quantised(table("embeddings"))
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", shifted), F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
