@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veracat.functions import cells, rules
-from veracat.operators import filters, ordering, quality, quant, samples, sites
+from veracat.operators import filters, ordering, pieces, quality, quant, samples, sites
 from veracat.operators import identification as ident
 from veracat.operators import search
 from veracat.operators.coerce import coerce, coercion_violations
@@ -63,10 +64,26 @@ def test_occurrences_match_brute_force(spark):
     rng = random.Random(5)
     pairs = [("".join(rng.choice("AB") for _ in range(rng.randint(1, 3))), "".join(rng.choice("ABé") for _ in range(rng.randint(0, 14)))) for _ in range(300)]
     pairs += [(".", "a.b."), ("\\E", "x\\Ey"), ("", "abc"), ("aa", "aaaa")]
-    got = values(frame(spark, pairs, "p string, s string").select("p", "s", rules.placements("p", "s").alias("x")), "p", "s", "x")
-    for p, s, x in got:
-        want = [(i + 1, s[i - 1] if i else "") for i in range(len(s)) if p and s.startswith(p, i)]
-        assert [(r["start"], r["previous"]) for r in x] == want, (p, s)
+    pairs += [(None, "abc"), ("abc", None), ("a" * 50, "a" * 70)]
+    named = [(p, s, f"A{i}") for i, (p, s) in enumerate(pairs)] + [("aa", None, None)]
+    # A sequence of its own for each, and for one of them a second that shares some of its places.
+    known = [(a, s) for p, s, a in named if s is not None] + [("A0", "B"), ("A0", named[0][1] + "AB")]
+    placed = sites.place_peptides(frame(spark, named, "p string, s string, a string"), "p", "a", frame(spark, known, "accession string, sequence string"))
+    got = Counter(values(placed, "accession", "piece", "start", "previous", "length", "reason"))
+    want = Counter()
+    for p, _, a in named:
+        own = [s for x, s in known if x == a]
+        places = {(i + 1, s[i - 1] if i else "", len(s)) for s in own for i in range(len(s)) if p and s.startswith(p, i)}
+        want.update([(a, p, *x, None) for x in places] or [(a, p, None, None, None, "peptide_not_in_sequence" if own else "no_sequence")])
+    assert got == want
+
+
+def test_a_text_of_many_pieces_goes_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "PIECES", 7)
+    rows = [(f"{i:02d}", "A") for i in range(100)] + [("01", "B")]
+    text = "".join(f"{i:02d}" for i in range(100))
+    got = {(r["accession"], r["piece"]): r["starts"] for r in pieces.find_pieces(frame(spark, rows, "p string, a string"), "p", "a", frame(spark, [("A", text)], "accession string, sequence string")).collect()}
+    assert got == {(a, p): [i + 1 for i in range(200) if text.startswith(p, i)] if a == "A" else None for p, a in rows}
 
 
 def test_unique_assignment_matches_brute_force(spark):

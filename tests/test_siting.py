@@ -1,4 +1,4 @@
-"""Placement and assignment queries without SQL, against brute force."""
+"""Placement and assignment queries against brute force."""
 
 import itertools
 import random
@@ -35,7 +35,7 @@ def test_all_words_of_every_text_are_found(spark, texts):
         for piece in pieces((body or "").lower()):
             if found := starts(piece, (body or "").lower()):
                 want[doc_id, piece, len(found), found[0], found[-1]] += 1
-    got = REGISTRY["occurrences_all_words"][0](spark, folder).select("doc_id", "piece", "n", "first_place", "last_place")
+    got = REGISTRY["occurrences"][0](spark, folder).select("doc_id", "piece", "n", "first_place", "last_place")
     assert Counter(map(tuple, got.collect())) == want and len(want) > 250
 
 
@@ -46,7 +46,7 @@ def test_all_words_of_every_text_are_placed(spark, texts):
         for piece in pieces((body or "").lower()) if body is not None else ():
             n = len(starts(piece, body.lower())) if lang != "fr" else 0
             want[f"D{doc_id}", piece, n, "no_sequence" if lang == "fr" else None if n else "peptide_not_in_sequence"] += 1
-    got = REGISTRY["place_all_words"][0](spark, folder).select("accession", "piece", "n_places", "reason")
+    got = REGISTRY["place_peptides"][0](spark, folder).select("accession", "piece", "n_places", "reason")
     assert Counter(map(tuple, got.collect())) == want and len(want) > 250
 
 
@@ -68,6 +68,6 @@ def test_every_line_states_a_segment(spark, sf):
             for i in range(len(stated)):
                 want[g, part, i, str(members[valid[0][i]]) if len(valid) == 1 else None] += 1
             several[len(stated) > 1 and part < 2, len(valid) == 1] += 1
-    got = REGISTRY["assign_segments_every_line"][0](spark, sf).select("g", "part", "segment", "accession")
+    got = REGISTRY["assign_segments"][0](spark, sf).select("g", "part", "segment", "accession")
     assert Counter(map(tuple, got.collect())) == want
     assert several[True, True] and several[True, False]

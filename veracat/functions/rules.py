@@ -219,32 +219,3 @@ def intensity_is_floor(fraction: Column, numerator: Column) -> Column:
 
 def intensity_is_ceiling(fraction: Column) -> Column:
     return fraction == 1.0
-
-
-def placements(piece: str | Column, sequence: str | Column) -> Column:
-    """(start, previous) of every occurrence of ``piece`` in ``sequence``, overlaps included: the
-    1-based start and the letter in front of it, "" at the beginning."""
-    p, s = col(piece), col(sequence)
-    # A zero-width split cuts before every occurrence, so running lengths are the starts and a cut's
-    # last letter stands in front of the next: one pass over the text, where testing each position
-    # would walk it again from the front. The last running length is the text's end and no start.
-    quoted = F.replace(p, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    cuts = F.split(s, F.concat(F.lit("(?=\\Q"), quoted, F.lit("\\E)")))
-    kind = "array<struct<start:int,previous:string>>"
-    later = F.aggregate(
-        cuts,
-        F.struct(F.lit(1).alias("at"), F.array().cast(kind).alias("out")),
-        lambda acc, cut: F.struct(
-            (acc["at"] + F.length(cut)).alias("at"),
-            F.array_append(acc["out"], F.struct((acc["at"] + F.length(cut)).alias("start"), F.right(cut, F.lit(1)).alias("previous"))).alias("out"),
-        ),
-        lambda acc: F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1),
-    )
-    none = F.array().cast(kind)
-    first = F.when(F.startswith(s, p), F.array(F.struct(F.lit(1).alias("start"), F.lit("").alias("previous")))).otherwise(none)
-    return F.when((F.length(p) > 0) & (F.position(p, s) > 0), F.concat(first, later)).otherwise(none)
-
-
-def occurrences(piece: str | Column, sequence: str | Column) -> Column:
-    """Every 1-based start of ``piece`` in ``sequence``, overlaps included."""
-    return F.transform(placements(piece, sequence), lambda x: x["start"])

@@ -70,45 +70,6 @@ def entity_index(entities: DataFrame, presence: DataFrame, entity: str = "protei
     )
 
 
-def entity_evidence(rows: DataFrame, entity: str, members: str, in_group: Column, group_id: str, in_form: Column, form_id: str, q: str,
-                    label: Column, attributes: Sequence[str] = (), dataset: str = "dataset_id") -> DataFrame:
-    """Per (dataset, entity): ``labels`` it is listed under, attributes, accepted groups and forms, best group q.
-
-    One pass: a row says that its own entity is listed, and, where it is accepted as a group or a form, that
-    each member has that evidence. What is said twice is reduced before it is counted. An entity that is
-    only ever a member has no labels.
-    """
-    blank = [F.lit(None).cast(rows.schema[a].dataType).alias(a) for a in attributes]
-    no_q, no_id = F.lit(None).cast(rows.schema[q].dataType).alias("q"), F.lit(None).cast("string").alias("id")
-    listed = F.array(F.struct(F.col(entity).alias("e"), F.lit("listed").alias("kind"), label.cast("string").alias("id"), no_q, *[F.col(a).alias(a) for a in attributes]))
-    def claims(accepted: Column, kind: str, name: str, value: Column) -> Column:
-        made = F.transform(members, lambda m: F.struct(m.alias("e"), F.lit(kind).alias("kind"), F.col(name).cast("string").alias("id"), value, *blank))
-        return F.when(accepted, made).otherwise(F.slice(made, 1, 0))
-
-    said = [listed, claims(in_group, "group", group_id, F.col(q).alias("q")), claims(in_form, "form", form_id, no_q)]
-    one = rows.select(F.col(dataset), F.explode(F.concat(*said)).alias("c")).select(dataset, "c.*")
-    once = one.groupBy(dataset, "e", "kind", "id").agg(F.min("q").alias("q"), *[F.max(a).alias(a) for a in attributes])
-    return once.groupBy(dataset, F.col("e").alias(entity)).agg(
-        F.array_sort(F.collect_set(F.when(F.col("kind") == "listed", F.col("id").cast("boolean")))).alias("labels"), *[F.max(a).alias(a) for a in attributes],
-        F.count_if(F.col("kind") == "group").alias("n_protein_groups"), F.count_if(F.col("kind") == "form").alias("n_peptidoforms"), F.min("q").alias("best_q_value"),
-    )
-
-
-def evidence_presence(evidence: DataFrame, label: str = "is_contaminant") -> DataFrame:
-    """The evidence once for every label that the entity is listed under."""
-    return evidence.withColumn(label, F.explode("labels")).drop("labels")
-
-
-def evidence_index(evidence: DataFrame, entity: str, attributes: Sequence[str] = (), dataset: str = "dataset_id") -> DataFrame:
-    """One row per listed entity over all datasets, from its evidence in each."""
-    ok = (F.col("n_protein_groups") > 0) | (F.col("n_peptidoforms") > 0)
-    return evidence.where(F.size("labels") > 0).groupBy(entity).agg(
-        *[F.max(a).alias(a) for a in attributes], F.count_if(F.array_contains("labels", True)).alias("n_datasets_contaminant"), F.count("*").alias("n_datasets"),
-        F.count_if(ok).alias("n_datasets_1pct"), F.array_sort(F.collect_list(dataset)).alias("dataset_ids"),
-        null_if_empty(F.array_sort(F.collect_list(F.when(ok, F.col(dataset))))).alias("dataset_ids_1pct"), F.min("best_q_value").alias("best_q_value"),
-    )
-
-
 def sequence_index(forms: DataFrame, sequence: str = "base_sequence", q: str = "best_q_value", dataset: str = "dataset_id") -> DataFrame:
     per_dataset = forms.groupBy(sequence, dataset).agg(F.count("*").alias("_n"), F.min(q).alias("_q"))
     return per_dataset.groupBy(sequence).agg(

@@ -25,26 +25,22 @@ def assign_shards(rows: DataFrame, key: str, document: str, cap: int = MAX_SHARD
     """Adds ``shard``: the shortest prefix, of at least ``shortest`` characters, whose group is at
     most ``cap`` bytes as one JSON object, or holds no key longer than the prefix.
 
-    Only the keys of groups that are still too large go on to the next length, so each round works
-    on less; a group is a sum and never gathered.
+    A rollup over prefix lengths: each key adds its bytes to every prefix of it, in one aggregate that also combines
+    per task, and takes the shortest of those that fit. So the number of jobs does not follow the keys, however long
+    a start they share, and a group is a sum and never gathered.
     """
     rows = rows.withColumn(key, F.coalesce(F.col(key), F.raise_error(F.lit(f"a row without {key} has no shard")).cast("string")))
-    left = materialise(
+    sizes = materialise(
         rows.groupBy(F.col(key).alias("_key")).agg(F.sum(entry_bytes(F.col(key), F.col(document))).alias("_bytes")), "shard-sizes"
     )
-    settled, length = [], shortest
-    while True:
-        prefixed = left.withColumn("_prefix", F.substr("_key", F.lit(1), F.lit(length)))
-        groups = prefixed.groupBy("_prefix").agg(F.sum("_bytes").alias("_sum"), F.max(F.length("_key")).alias("_longest"))
-        # Two braces and a newline, less the comma the last entry does not have.
-        too_large = (F.col("_sum") + 2 > cap) & (F.col("_longest") > length)
-        marked = prefixed.join(groups, "_prefix")
-        settled.append(marked.filter(~too_large).select("_key", F.col("_prefix").alias("shard")))
-        left = materialise(marked.filter(too_large).select("_key", "_bytes"), f"shard-left-{length}")
-        if left.isEmpty():
-            break
-        length += 1
-    assigned = union_all(settled)
+    # One length more than the key has: there it is alone.
+    lengths = F.sequence(F.lit(shortest), F.greatest(F.lit(shortest), F.length("_key") + 1))
+    prefixes = sizes.select("_key", "_bytes", F.explode(lengths).alias("_length")).withColumn("_prefix", F.substr("_key", F.lit(1), F.col("_length")))
+    groups = prefixes.groupBy("_prefix", "_length").agg(F.sum("_bytes").alias("_sum"), F.max(F.length("_key")).alias("_longest"))
+    # Two braces and a newline, less the comma the last entry does not have.
+    fitting = groups.filter((F.col("_sum") + 2 <= cap) | (F.col("_longest") <= F.col("_length"))).select("_prefix", "_length")
+    shortest_ = prefixes.join(fitting, ["_prefix", "_length"], "left_semi").groupBy("_key").agg(F.min("_length").alias("_length"))
+    assigned = shortest_.select("_key", F.substr("_key", F.lit(1), F.col("_length")).alias("shard"))
     return rows.join(assigned, rows[key] == assigned["_key"]).drop("_key")
 
 

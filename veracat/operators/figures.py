@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracat.functions.rules import is_decoy
+from veracat.operators.ordering import first_rows, running_sum
 from veracat.operators.quality import union_all
 
 SHARED_TARGET = 10_000
@@ -32,13 +33,11 @@ def shared_threshold(spread: DataFrame, target: int = SHARED_TARGET) -> DataFram
     """The N of at least 2 whose "in N or more datasets" count is nearest the target; a tie goes to
     the larger N. No row when nothing is in two datasets.
 
-    A histogram line counts towards every smaller N, so exploding it replaces a running sum.
+    The counts are a running sum over the histogram, from the largest N down. Only an N that some entity has is on offer.
     """
-    reach = F.sequence(F.lit(2), F.col("n_datasets").cast("int"))
-    steps = spread.filter("n_datasets >= 2").select(F.explode(reach).alias("n"), "n_datasets", "n_entities")
-    at_least = steps.groupBy("n").agg(F.sum("n_entities").alias("n_entities"), F.max(F.col("n") == F.col("n_datasets")).alias("_offered"))
-    # Only an N that some entity actually has is on offer.
-    offered = at_least.filter("_offered").select("n", "n_entities")
+    shared = spread.filter("n_datasets >= 2")
+    at_least = running_sum(shared, [], [F.col("n_datasets").desc()], F.col("n_entities"), "_at_least")
+    offered = at_least.select(F.col("n_datasets").cast("int").alias("n"), F.col("_at_least").alias("n_entities"))
     return offered.orderBy(F.abs(F.col("n_entities") - target), F.col("n").desc()).limit(1)
 
 
@@ -120,25 +119,35 @@ def presence_join(presence: DataFrame, index: DataFrame, entity: str = "protein_
     return nested.join(index.select(entity, *attributes), entity).select(entity, *attributes, "datasets")
 
 
-def nested(rows: DataFrame, key: str, fields: Sequence[str | Column], alias: str) -> DataFrame:
-    """(key, list of structs), sorted by the struct."""
-    return rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(alias))
+def nested(rows: DataFrame, key: str, order: Sequence[str | Column], fields: Sequence[str], alias: str, n: int) -> DataFrame:
+    """(key, the first n rows as a list of structs, ``<alias>_more``: how many rows it leaves out)."""
+    first = first_rows(rows, [key], order, n, "_nth")
+    shown = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_nth", *fields))).alias(alias))
+    total = rows.groupBy(key).agg(F.count("*").alias("_total"))
+    listed = F.transform(alias, lambda x: x.dropFields("_nth")).alias(alias)
+    return shown.join(total, key).select(key, listed, (F.col("_total") - F.size(alias)).alias(f"{alias}_more"))
+
+
+#: Entries of a list inside a document.
+LISTED = 1_000
 
 
 def dataset_documents(overview: DataFrame, facts: DataFrame, snapshots: DataFrame, findings: DataFrame, modifications: DataFrame,
-                      metrics: DataFrame, dataset: str = "dataset_id") -> DataFrame:
-    """One document per dataset: its counts, facts, snapshot, and nested open findings, modifications
-    and metrics. A list holds distinct summary rows with how often each occurs, never evidence, so it
-    is as long as a dataset has different things to say."""
+                      metrics: DataFrame, dataset: str = "dataset_id", n: int = LISTED) -> DataFrame:
+    """One document per dataset: its counts, facts, snapshot, and nested open findings, modifications and metrics.
+
+    A list holds its first ``n`` distinct summary rows and, under ``<name>_more``, how many it leaves out; the rows
+    themselves stay in their tables.
+    """
     open_findings = findings.filter("status = 'open'")
     distinct = open_findings.groupBy(dataset, "code", "severity", "message").agg(F.count("*").alias("n"))
-    ordered = nested(distinct.withColumn("_s", severity_rank("severity")), dataset, ["_s", "code", "severity", "message", "n"], "findings")
-    ordered = ordered.withColumn("findings", F.transform("findings", lambda f: f.dropFields("_s")))
-    mods = nested(modifications.withColumn("_n", -F.col("n_sites")), dataset, ["_n", "modification_name", "modification", "n_sites"], "modifications")
-    mods = mods.withColumn("modifications", F.transform("modifications", lambda m: m.dropFields("_n")))
-    values = metrics.groupBy(dataset).agg(F.array_sort(F.collect_set(F.struct("name", "value", "definition_id"))).alias("metrics"))
+    told = nested(distinct, dataset, [severity_rank("severity"), "code", "message"], ["code", "severity", "message", "n"], "findings", n)
+    names = ["modification_name", "modification", "n_sites"]
+    mods = nested(modifications.groupBy(dataset, *names).agg(F.count("*").alias("_n")), dataset, [F.col("n_sites").desc(), "modification_name", "modification"], names, "modifications", n)
+    fields = ["name", "value", "definition_id"]
+    values = nested(metrics.select(dataset, *fields).distinct(), dataset, fields, fields, "metrics", n)
     out = overview
-    for frame in (facts, snapshots, ordered, mods, values, findings_by_severity(open_findings, dataset)):
+    for frame in (facts, snapshots, told, mods, values, findings_by_severity(open_findings, dataset)):
         out = out.join(frame, dataset, "left")
     return out
 

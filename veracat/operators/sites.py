@@ -2,39 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracat.functions.cells import align_list, all_starts
 from veracat.functions.rules import (
-    count_is_ceiling, intensity_is_ceiling, intensity_is_floor, level_rank, placements, site_type, stoichiometry_state,
+    count_is_ceiling, intensity_is_ceiling, intensity_is_floor, level_rank, site_type, stoichiometry_state,
 )
 from veracat.operators.identification import _as_col
-
+from veracat.operators.pieces import find_pieces
 
 
 def place_peptides(pairs: DataFrame, piece: str, accession: str, sequences: DataFrame) -> DataFrame:
     """(piece, accession, start, previous, length, reason) over the distinct pairs.
 
-    One row per place in any sequence the accession has. A pair with no place is one row with a
-    reason: ``no_sequence`` or ``peptide_not_in_sequence``. Distinct pairs go into the join, so a
-    protein that most rows name is read once per peptide and not once per row.
+    One row per place in any sequence the accession has; ``previous`` is the letter in front, "" at the beginning. A
+    pair with no place is one row with a reason: ``no_sequence`` or ``peptide_not_in_sequence``. A sequence is walked
+    once for all its pieces, see ``pieces.find_pieces``.
     """
-    distinct = pairs.select(F.col(piece).alias("piece"), F.col(accession).alias("accession")).distinct()
-    known = sequences.select("accession", "sequence").distinct()
-    joined = distinct.join(known, "accession", "left")
-    # The places are built inside the row, so the sequence is not copied once per place.
-    tried = joined.select(
-        "piece", "accession", F.col("sequence").isNotNull().alias("known"),
-        placements("piece", "sequence").alias("found"), F.length("sequence").cast("bigint").alias("length"),
-    ).select("piece", "accession", "known", "length", F.explode_outer("found").alias("at"))
-    place = F.struct(F.col("at.start").cast("bigint").alias("start"), F.col("at.previous").alias("previous"), "length")
-    # The places of one piece in one protein: no more of them than the protein has letters.
-    placed = tried.groupBy("piece", "accession").agg(F.collect_set(F.when(F.col("at").isNotNull(), place)).alias("places"), F.max("known").alias("known"))
-    reason = F.when(F.col("place").isNull(), F.when(F.col("known"), F.lit("peptide_not_in_sequence")).otherwise(F.lit("no_sequence")))
-    return placed.select("piece", "accession", "known", F.explode_outer("places").alias("place")).select(
-        "piece", "accession", "place.start", "place.previous", "place.length", reason.alias("reason")
-    )
+    found = find_pieces(pairs, piece, accession, sequences)
+    letters = F.split("before", "")
+    places = found.select("piece", "accession", "known", "length", F.posexplode_outer("starts").alias("_i", "_at"), letters.alias("_before"))
+    reason = F.when(F.col("_at").isNull(), F.when(F.col("known"), F.lit("peptide_not_in_sequence")).otherwise(F.lit("no_sequence")))
+    previous = F.when(F.col("_at") == 1, F.lit("")).otherwise(F.get("_before", F.col("_i")))
+    return places.select("piece", "accession", F.col("_at").cast("bigint").alias("start"), previous.alias("previous"), "length", reason.alias("reason"))
 
 
 def verify_positions(sites: DataFrame, accession: str, position: str, residue: str, sequences: DataFrame) -> DataFrame:
@@ -206,25 +197,34 @@ def assign_segments(entries: DataFrame, cell: list[str], group: str, members: Da
     sequences cannot tell.
 
     ``members``: (group, member, accession) in the group's own order. ``sequences`` holds one
-    sequence per accession. The sequences of a group are put side by side once, and every cell is
-    decided inside its own row.
+    sequence per accession. What is asked of a member, a residue at a position, is asked once for all
+    cells; the answer is a bitmap of the group's members, in words of 64, and a segment's members are
+    the bits that all its entries share. So no sequence and no member list travels with a cell.
     """
-    known = members.join(sequences.select("accession", "sequence"), "accession", "left")
-    sides = known.groupBy(group).agg(
-        F.array_sort(F.collect_list(F.struct("member", "accession", F.coalesce("sequence", F.lit("")).alias("sequence")))).alias("_sides")
-    )
-    per_segment = entries.groupBy(*cell, group, "segment").agg(F.collect_list(F.struct("position", motif(F.col("modification")).alias("letter"))).alias("_entries"))
-    per_cell = per_segment.groupBy(*cell, group).agg(F.array_sort(F.collect_list(F.struct("segment", "_entries"))).alias("_segments"))
-    joined = per_cell.join(sides, group, "left")
-    n = F.size("_sides")
-    fits = F.transform("_segments", lambda s: F.filter(
-        F.transform("_sides", lambda m, i: F.when(
-            F.forall(s["_entries"], lambda e: entry_fits(e["position"], e["letter"], m["sequence"])), i)),
-        lambda i: i.isNotNull()))
-    decided = joined.withColumn("_fits", fits).withColumn("_choice", unique_assignment(F.col("_fits"), n))
-    return decided.select(
-        *cell, group, F.posexplode("_segments").alias("_i", "_s"), "_choice", "_sides"
-    ).select(*cell, group, F.col("_s.segment").alias("segment"), F.get("_sides", F.get("_choice", F.col("_i")))["accession"].alias("accession"))
+    nth = F.row_number().over(Window.partitionBy(group).orderBy("member", "accession")) - 1
+    placed = members.select(group, "member", "accession").withColumn("_m", nth).select(group, "_m", "accession")
+    # A letter as its number, 0 for none, so that equal questions are equal numbers.
+    letter = F.coalesce(F.ascii(motif(F.col("modification"))), F.lit(0)).alias("_letter")
+    once = entries.select(*cell, group, "segment", F.struct("position", letter).alias("_entry")).groupBy(*cell, group, "segment").agg(F.collect_set("_entry").alias("_entries"))
+    said = once.select(*cell, group, "segment", F.size("_entries").alias("_n"), F.explode("_entries").alias("_e")).select(*cell, group, "segment", "_n", "_e.*")
+    question = ["position", "_letter"]
+    asked = said.select(group, *question).distinct().join(placed, group)
+    named = F.when(F.col("_letter") > 0, F.char(F.col("_letter").cast("bigint")))
+    answers = asked.select("accession", *question).distinct().join(sequences.select("accession", "sequence"), "accession")
+    answers = answers.filter(entry_fits(F.col("position"), named, F.col("sequence"))).select("accession", *question)
+    bit = F.expr("shiftleft(1L, _m % 64)")
+    maps = asked.join(answers, ["accession", *question], "left_semi").groupBy(group, *question, F.floor(F.col("_m") / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    # A word counts where all entries of the segment have it.
+    words = said.join(maps, [group, *question], "left").groupBy(*cell, group, "segment", "_n", "_word").agg(F.bit_and("_bits").alias("_bits"), F.count("_bits").alias("_held"))
+    full = F.when(F.col("_held") == F.col("_n"), F.struct("_word", "_bits"))
+    per_segment = words.groupBy(*cell, group, "segment").agg(F.array_sort(F.collect_list(full)).alias("_words"))
+    set_bits = F.flatten(F.transform("_words", lambda w: F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(w["_bits"], i) == 1), lambda i: (w["_word"] * 64 + i).cast("int"))))
+    per_cell = per_segment.groupBy(*cell, group).agg(F.array_sort(F.collect_list(F.struct("segment", set_bits.alias("fits")))).alias("_segments"))
+    sized = per_cell.join(placed.groupBy(group).agg(F.count("*").alias("_size")), group, "left")
+    decided = sized.withColumn("_choice", unique_assignment(F.transform("_segments", lambda s: s["fits"]), F.col("_size")))
+    chosen = decided.select(*cell, group, F.posexplode("_segments").alias("_i", "_s"), "_choice").select(*cell, group, F.col("_s.segment").alias("segment"), F.get("_choice", F.col("_i")).alias("_m"))
+    return chosen.join(placed, [group, "_m"], "left").select(*cell, group, "segment", "accession")
 
 
 def occupancy_site_key(dataset: Column, accession: Column, sequence: Column, position: Column, modification: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 # Runtime re-planning splits a hot join partition, so one key holding a third of the rows does not
 # become one task; coalescing keeps small inputs from paying for large shuffle settings.
 SETTINGS = {
@@ -24,6 +27,10 @@ SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Workers look for this package where the driver found it, whatever folder the session was started in.
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, known)])
     return spark
 
 

@@ -9,21 +9,13 @@ from veracat.session import materialise
 from veracat.workload.registry import joined, query, text
 
 
-ATTRIBUTES = {"gene": "l_returnflag", "organism": "l_linestatus"}
-
-
-def evidence(t):
-    """What is listed and accepted of every (dataset, entity), in one pass over the lines."""
-    rows = t.members.withColumnsRenamed({v: k for k, v in ATTRIBUTES.items()}).withColumnRenamed("entity", "protein_accession")
-    return derive.entity_evidence(
-        rows, "protein_accession", "members", filters.group_rule("label", "q"), "group_id", filters.form_rule("label", "q", "q2"), "form_id", "q",
-        F.col("label") == "contaminant", tuple(ATTRIBUTES),
-    )
-
-
 def presence(t):
-    """The accepted evidence of every (dataset, entity, label)."""
-    return derive.evidence_presence(evidence(t)).drop(*ATTRIBUTES)
+    """The accepted evidence of every (dataset, entity, label), as a build counts it."""
+    m = t.members
+    entities = m.select("dataset_id", F.col("entity").alias("protein_accession"), (F.col("label") == "contaminant").alias("is_contaminant"))
+    groups = filters.accepted_groups(m, "label", "q").select("dataset_id", F.col("group_id").alias("protein_group_id"), F.col("members").alias("protein_accessions"), F.col("q").alias("q_value"))
+    forms = filters.accepted_forms(m, "label", "q", "q2").select("dataset_id", F.col("form_id").alias("peptidoform_id"), F.col("members").alias("protein_accessions"))
+    return derive.entity_datasets(entities, groups, forms)
 
 
 # Evidence is said line by line, of a group or of a form, and tallied for each entity of a dataset before
@@ -52,11 +44,13 @@ INDEX_SQL = """each AS (
 
 
 def index(t, keep_presence=False):
-    """(presence, index over it). Where the caller reads both, the evidence is written once."""
-    e = evidence(t)
+    """(presence, index over it). Where the caller reads both, the presence is written once."""
+    p = presence(t)
     if keep_presence:
-        e = materialise(e, "evidence")
-    return derive.evidence_presence(e).drop(*ATTRIBUTES), derive.evidence_index(e, "protein_accession", tuple(ATTRIBUTES))
+        p = materialise(p, "presence")
+    entities = t.lines.select(
+        "dataset_id", F.col("entity").alias("protein_accession"), (F.col("label") == "contaminant").alias("is_contaminant"), F.col("l_returnflag").alias("gene"), F.col("l_linestatus").alias("organism"))
+    return p, derive.entity_index(entities, p)
 
 
 @query(f"+{PRESENCE_SQL} SELECT * FROM presence", lines=True)

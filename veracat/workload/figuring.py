@@ -92,9 +92,9 @@ def presence_join(t):
     return out.select("protein_accession", "gene", F.array_join(entry, ";").alias("datasets"))
 
 
-@query(f"""WITH {_FINDINGS}, f AS (SELECT dataset_id, count(*) FILTER (WHERE severity = 'error') AS error, array_to_string(list_sort(list(DISTINCT code)), ',') AS finding_codes, count(DISTINCT (code, severity, message)) AS n_findings FROM findings WHERE status = 'open' GROUP BY 1),
+@query(f"""WITH {_FINDINGS}, f AS (SELECT dataset_id, count(*) FILTER (WHERE severity = 'error') AS error, array_to_string(list_sort(list(DISTINCT code)), ',') AS finding_codes, least(count(DISTINCT (code, severity, message)), 6) AS n_findings, greatest(count(DISTINCT (code, severity, message)) - 6, 0) AS findings_more FROM findings WHERE status = 'open' GROUP BY 1),
 m AS (SELECT o_custkey AS dataset_id, o_orderstatus AS modification_name, count(*) AS n_sites FROM orders GROUP BY ALL), mm AS (SELECT dataset_id, string_agg(modification_name || n_sites, ',' ORDER BY n_sites DESC, modification_name) AS modifications FROM m GROUP BY 1)
-SELECT c_custkey AS dataset_id, c_name AS title, c_mktsegment AS instrument, s_name AS bundle_id, f.error, f.finding_codes, f.n_findings, mm.modifications
+SELECT c_custkey AS dataset_id, c_name AS title, c_mktsegment AS instrument, s_name AS bundle_id, f.error, f.finding_codes, f.n_findings, f.findings_more, mm.modifications
 FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey LEFT JOIN f ON f.dataset_id = c_custkey LEFT JOIN mm ON mm.dataset_id = c_custkey""")
 def dataset_documents(t):
     overview = t.customer.select(F.col("c_custkey").alias("dataset_id"), F.col("c_name").alias("title"))
@@ -102,9 +102,9 @@ def dataset_documents(t):
     snaps = t.supplier.select(F.col("s_suppkey").alias("dataset_id"), F.col("s_name").alias("bundle_id"))
     mods = t.orders.groupBy(F.col("o_custkey").alias("dataset_id"), F.col("o_orderstatus").alias("modification_name")).agg(F.count("*").alias("n_sites")).withColumn("modification", F.lit("U"))
     values = t.customer.select(F.col("c_custkey").alias("dataset_id"), F.lit("id_rate").alias("name"), F.col("c_acctbal").alias("value"), F.lit("d").alias("definition_id"))
-    out = figures.dataset_documents(overview, facts, snaps, _findings(t), mods, values)
+    out = figures.dataset_documents(overview, facts, snaps, _findings(t), mods, values, n=6)
     mod = F.transform("modifications", lambda m: F.concat(m["modification_name"], m["n_sites"].cast("string")))
-    return out.select("dataset_id", "title", "instrument", "bundle_id", "error", joined("finding_codes").alias("finding_codes"), F.when(F.col("findings").isNotNull(), F.size("findings")).cast("bigint").alias("n_findings"), F.array_join(mod, ",").alias("modifications"))
+    return out.select("dataset_id", "title", "instrument", "bundle_id", "error", joined("finding_codes").alias("finding_codes"), F.when(F.col("findings").isNotNull(), F.size("findings")).cast("bigint").alias("n_findings"), "findings_more", F.array_join(mod, ",").alias("modifications"))
 
 
 @query("""SELECT c_custkey AS dataset_id, c_mktsegment AS pipeline_commit, p.repo AS public_repo, p.pc AS public_commit FROM customer LEFT JOIN (SELECT o_custkey, o_orderpriority, min(o_orderkey)::VARCHAR AS pc, 'r' || min(o_orderkey) AS repo FROM (SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'BUILDING' WHEN 'O' THEN 'MACHINERY' END AS o_orderpriority FROM orders) GROUP BY ALL) p ON p.o_custkey = c_custkey AND p.o_orderpriority = c_mktsegment""")

@@ -46,11 +46,11 @@ def search_declared(t):
     return search.ranked_hits(told, [F.col("name"), F.col("dataset_id"), F.col("usage"), F.col("modification")])
 
 
-@query("SELECT c_mktsegment AS dataset_id, count(*) AS n_samples, array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ',') AS nations FROM customer WHERE contains(c_nationkey::VARCHAR, '7') OR contains(lower(c_name), '7') GROUP BY 1 ORDER BY 1")
+@query("SELECT c_mktsegment AS dataset_id, count(*) AS n_samples, array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR))[1:4], ',') AS nations, greatest(count(DISTINCT c_nationkey) - 4, 0) AS nations_more FROM customer WHERE contains(c_nationkey::VARCHAR, '7') OR contains(lower(c_name), '7') GROUP BY 1 ORDER BY 1")
 def search_sample(t):
     rows = t.customer.select(F.col("c_mktsegment").alias("dataset_id"), "c_name", F.col("c_nationkey").cast("string").alias("nation"))
     chars = t.part.select(F.col("p_name").alias("name"), F.col("p_type").alias("value"))
-    hits, _ = search.search_sample(rows, chars, "7", ["nation"], ["c_name"])
+    hits, _ = search.search_sample(rows, chars, "7", ["nation"], ["c_name"], shown=4)
     return hits.withColumn("nations", joined("nations"))
 
 

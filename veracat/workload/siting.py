@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from veracat.functions.rules import occurrences as all_occurrences
 from veracat.operators import sites
 from veracat.operators.identification import occurrence_rank
 from veracat.operators.notation import lookup_with_preference as look_up
 from veracat.operators.notation import translate_notation as translate
+from veracat.operators.pieces import find_pieces
 from veracat.workload.identifying import FORM_SQL, notation_of, registry
 from veracat.workload.registry import joined, query, text
 
@@ -31,28 +31,22 @@ def lookup_with_preference(t):
     return look_up(names, entries).drop("found")
 
 
-# A document's pieces are the first and the last of all its words in order, and one word of another language.
-_PIECES = """SELECT doc_id, unnest(list_distinct([list_min(words), list_max(words), 'tion'])) AS piece, body
-FROM (SELECT doc_id, lower(text) AS body, list_filter(string_split(lower(text), ' '), lambda w: w <> '') AS words FROM documents)"""
-
-
+# A document's pieces are all its distinct words, and one word of another language. Letter by letter in SQL, all words
+# of whole texts take minutes; tests compare with brute force.
 def _pieces(t):
     words = F.filter(F.split(F.lower("text"), " "), lambda w: w != "")
-    picked = F.array_distinct(F.array(F.array_min(words), F.array_max(words), F.lit("tion")))
-    rows = t.documents.select("doc_id", F.explode(picked).alias("piece"), F.lower("text").alias("body"))
-    return rows.filter("piece <> ''")
+    return t.documents.select("doc_id", F.explode(F.array_distinct(F.concat(words, F.array(F.lit("tion"))))).alias("piece"), F.lower("text").alias("body"))
 
 
-@query(f"""SELECT doc_id, piece, count(*) AS n, min(place) AS first_place, max(place) AS last_place FROM (SELECT doc_id, piece, unnest(starts) AS place FROM (
-SELECT doc_id, piece, list_filter(range(1, length(body) - length(piece) + 2), lambda i: array_slice(body, i, i + length(piece) - 1) = piece) AS starts FROM ({_PIECES}) WHERE piece <> '' AND contains(body, piece))) GROUP BY ALL""")
+@query(None)
 def occurrences(t):
-    hits = _pieces(t).select("doc_id", "piece", F.explode(F.transform(all_occurrences("piece", "body"), lambda i: i.cast("bigint"))).alias("place"))
-    return hits.groupBy("doc_id", "piece").agg(F.count("*").alias("n"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+    texts = t.documents.select(F.col("doc_id").cast("string").alias("accession"), F.lower("text").alias("sequence"))
+    found = find_pieces(_pieces(t).withColumn("doc", F.col("doc_id").cast("string")), "piece", "doc", texts).filter("starts IS NOT NULL")
+    place = lambda i: F.element_at("starts", i).cast("bigint")
+    return found.select(F.col("accession").cast("bigint").alias("doc_id"), "piece", F.size("starts").cast("bigint").alias("n"), place(1).alias("first_place"), place(-1).alias("last_place"))
 
 
-@query(f"""WITH p AS ({_PIECES}), pairs AS (SELECT DISTINCT doc_id, piece FROM p WHERE piece <> ''), docs AS (SELECT doc_id, lower(text) AS body FROM documents WHERE lang <> 'fr')
-SELECT 'D' || pairs.doc_id AS accession, piece, CASE WHEN contains(body, piece) THEN len(list_filter(range(1, length(body) - length(piece) + 2), lambda i: array_slice(body, i, i + length(piece) - 1) = piece)) ELSE 0 END AS n_places,
-CASE WHEN body IS NULL THEN 'no_sequence' WHEN NOT contains(body, piece) THEN 'peptide_not_in_sequence' END AS reason FROM pairs LEFT JOIN docs USING (doc_id)""")
+@query(None)
 def place_peptides(t):
     pairs = _pieces(t).select(text("D", "doc_id").alias("accession"), "piece")
     seqs = t.documents.filter("lang <> 'fr'").select(text("D", "doc_id").alias("accession"), F.lower("text").alias("sequence"))
@@ -60,28 +54,6 @@ def place_peptides(t):
     return placed.groupBy("accession", "piece").agg(F.count("start").alias("n_places"), F.max("reason").alias("reason"))
 
 
-def _all_pieces(t):
-    """Every distinct word of every document, and one word of another language."""
-    words = F.filter(F.split(F.lower("text"), " "), lambda w: w != "")
-    every = F.array_distinct(F.concat(words, F.array(F.lit("tion"))))
-    return t.documents.select("doc_id", F.explode(every).alias("piece"), F.lower("text").alias("body"))
-
-
-# Position by position in SQL, all words of whole texts take too long; tests compare with brute force.
-@query(None)
-def occurrences_all_words(t):
-    hits = _all_pieces(t).select("doc_id", "piece", F.explode(F.transform(all_occurrences("piece", "body"), lambda i: i.cast("bigint"))).alias("place"))
-    return hits.groupBy("doc_id", "piece").agg(F.count("*").alias("n"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
-
-
-@query(None)
-def place_all_words(t):
-    pairs = _all_pieces(t).select(text("D", "doc_id").alias("accession"), "piece")
-    seqs = t.documents.filter("lang <> 'fr'").select(text("D", "doc_id").alias("accession"), F.lower("text").alias("sequence"))
-    placed = sites.place_peptides(pairs, "piece", "accession", seqs)
-    return placed.groupBy("accession", "piece").agg(F.count("start").alias("n_places"), F.max("reason").alias("reason"))
-
-
 @query("""SELECT CASE WHEN d.text IS NULL THEN 'no_sequence' WHEN s.place > length(d.text) THEN 'beyond_length' WHEN array_slice(d.text, s.place, s.place) = 'e' THEN 'residue_matches' ELSE 'wrong_residue' END AS outcome, count(*) AS n
 FROM (SELECT user_id AS doc, event_id + 1 AS place FROM events) s LEFT JOIN (SELECT * FROM documents WHERE lang <> 'fr') d ON d.doc_id = s.doc GROUP BY 1""")
 def verify_positions(t):
@@ -90,10 +62,16 @@ def verify_positions(t):
     return sites.verify_positions(rows, "user_id", "place", "residue", seqs)
 
 
-# An order's lines are the members of its group; a member's sequence is its part's name. The first
-# line states one segment with one entry: a letter that some of the members carry at position 1.
-_ASSIGN = """members AS (SELECT l_orderkey AS g, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS m, l_partkey FROM lineitem),
-fits AS (SELECT m.g, m.m, m.l_partkey, substr(p.p_name, 1, 1) AS letter FROM members m JOIN part p ON p.p_partkey = m.l_partkey)"""
+# An order's lines are the members of its group; a member's sequence is its part's name. Every line states a segment, by
+# the first and the third letter of its name (a blank is no letter, and fits any). Its order has three cells: the lines at
+# even places, those at odd ones, and all. In SQL every order-preserving choice is listed, and one that is alone counts.
+_ASSIGN = """RECURSIVE m AS (
+  SELECT l_orderkey AS g, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS m, l_partkey, p_name AS s FROM lineitem JOIN part ON p_partkey = l_partkey),
+seg AS (SELECT g, unnest([m % 2, 2]) AS part, unnest([m // 2, m]) AS segment, s FROM m),
+fit AS (SELECT seg.g, part, segment, m.m FROM seg JOIN m ON m.g = seg.g AND (substr(seg.s, 1, 1) IN ('', ' ') OR substr(seg.s, 1, 1) = substr(m.s, 1, 1)) AND (substr(seg.s, 3, 1) IN ('', ' ') OR substr(seg.s, 3, 1) = substr(m.s, 3, 1)) AND length(m.s) >= 3),
+sized AS (SELECT g, part, count(*) AS n FROM seg GROUP BY ALL),
+choice AS (SELECT g, part, 0 AS k, m, [m] AS path FROM fit WHERE segment = 0 UNION ALL SELECT c.g, c.part, c.k + 1, f.m, list_append(c.path, f.m) FROM choice c JOIN fit f ON f.g = c.g AND f.part = c.part AND f.segment = c.k + 1 AND f.m > c.m),
+alone AS (SELECT g, part, any_value(path) AS path FROM choice JOIN sized USING (g, part) WHERE k = n - 1 GROUP BY ALL HAVING count(*) = 1)"""
 
 
 def _groups(t):
@@ -102,21 +80,9 @@ def _groups(t):
     return ranked.select(F.col("l_orderkey").alias("g"), (F.col("r") - 1).cast("int").alias("member"), F.col("l_partkey").cast("string").alias("accession"))
 
 
-@query(f"""WITH {_ASSIGN}, first AS (SELECT g, letter FROM fits WHERE m = 0), sized AS (SELECT g, count(*) AS n FROM fits GROUP BY 1),
-hit AS (SELECT f.g, count(*) AS n_fit, min(x.l_partkey) AS acc FROM first f JOIN fits x ON x.g = f.g AND x.letter = f.letter GROUP BY 1)
-SELECT h.g, 0 AS segment, CASE WHEN h.n_fit = 1 THEN h.acc::VARCHAR END AS accession FROM hit h JOIN sized s USING (g)""")
+@query(f"""WITH {_ASSIGN} SELECT seg.g, seg.part, seg.segment, m.l_partkey::VARCHAR AS accession
+FROM seg LEFT JOIN alone USING (g, part) LEFT JOIN m ON m.g = seg.g AND m.m = alone.path[seg.segment + 1]""")
 def assign_segments(t):
-    groups = _groups(t)
-    seqs = t.part.select(F.col("p_partkey").cast("string").alias("accession"), F.col("p_name").alias("sequence"))
-    first = groups.filter("member = 0").join(seqs, "accession")
-    entries = first.select("g", F.lit(0).alias("segment"), F.lit(1).cast("bigint").alias("position"), F.concat(F.lit("Mark on "), F.substr("sequence", F.lit(1), F.lit(1))).alias("modification"))
-    return sites.assign_segments(entries.withColumn("cell", F.col("g")), ["cell"], "g", groups, seqs).select("g", "segment", "accession")
-
-
-# Every line states a segment, by the first and the third letter of its part's name. Its order has three cells: the
-# lines at even places, those at odd ones, and all. Tests enumerate the choices.
-@query(None)
-def assign_segments_every_line(t):
     groups = _groups(t)
     seqs = t.part.select(F.col("p_partkey").cast("string").alias("accession"), F.col("p_name").alias("sequence"))
     stated = groups.join(seqs, "accession").withColumn("part", F.explode(F.array(F.col("member") % 2, F.lit(2))))
