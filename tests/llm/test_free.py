@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import clashing, prose
-from veracat.llm import chosen_path, language, paragraphs, tokens, verify, warc
+from veracat.llm import chosen_path, fingerprints, language, paragraphs, tokens, verify, warc
 from veracat.llm.queries import word_bpe
 from veracat.session import scratch_dir
 
@@ -203,9 +203,9 @@ def test_blocks_and_slices_agree_with_plain_sets():
 def test_passages_that_documents_share(documents, odd, none):
     passage = prose(900, 60) + "."
     rows = [(600, prose(601, 80) + ". " + passage), (601, passage + " " + prose(602, 70)), (602, prose(603, 30) + ".\n" + passage + "\n" + prose(604, 30)), (603, prose(605, 120)), (604, prose(606, 90) + ".\n" + prose(606, 90))]
-    found = paragraphs.repeats(clashing(odd.where("doc_id <> 5 or doc_id is null").unionByName(documents(rows))))
+    found = paragraphs.repeats(clashing(odd.unionByName(documents(rows))))
     got = {r["doc_id"]: r for r in paragraphs.per_document(found).collect()}
-    assert set(got) == {600, 601, 602}
+    assert set(got) == {4, 5, 600, 601, 602}
     assert got[600]["n_removed"] == 0 and got[601]["n_removed"] >= 40 and got[602]["first_docs"] == [600]
     cut = {r["doc_id"]: r["text"] for r in paragraphs.remove(clashing(documents(rows)), found).collect()}
     assert cut[600] == rows[0][1] and cut[603] == rows[3][1] and len(cut[602].split()) < 90 and prose(604, 30) in cut[602]
@@ -235,11 +235,27 @@ def test_passages_without_lines_or_sentences_of_their_own(documents):
     assert {r["doc_id"]: r["first_docs"] for r in paragraphs.per_document(found).collect()} == {800: [], 801: [800], 802: [], 803: [802], 804: [], 805: [804], 807: [], 808: [807]}
 
 
-def test_every_short_sentence_starts_a_paragraph():
-    for word in range(40):  # whatever the hash of the word that all sentences start with
-        words = np.asarray([x for i in range(17) for x in (word, 100 + i, 200 + i)], np.int64)
-        _, a, b = paragraphs.spans(words, np.asarray([0, 0, 1] * 17, np.int8))
-        assert {(x, min(x + 27, 51)) for x in range(0, 33, 3)} <= set(zip(a.tolist(), b.tolist()))
+def test_short_texts_are_one_paragraph(documents):
+    rows = [(820, bare(1000, 19)), (821, bare(1000, 19)), (822, bare(1001, 5)), (823, bare(1001, 5)), (824, bare(1002, 4)), (825, bare(1002, 4)), (826, bare(1003, 12))]
+    assert {r["doc_id"] for r in paragraphs.per_document(paragraphs.repeats(documents(rows))).collect()} == {820, 821, 822, 823}
+
+
+def test_paragraphs_against_all_pairs(documents):
+    """Every pair of paragraphs of two documents, by plain sets."""
+    import random
+
+    draw = random.Random(8)
+    passages = [bare(1100 + k, 70) for k in range(4)]
+    rows = [(900 + i, " ".join([bare(1200 + i, draw.randint(5, 60)), edited(draw.choice(passages), [draw.randrange(70)]) if i % 3 else "", bare(1300 + i, draw.randint(0, 30))])) for i in range(40)]
+    cuts = {}
+    for d, t in rows:
+        words = t.split()
+        starts, ends = paragraphs.spans(fingerprints.Hasher().words(t.encode()))
+        cuts[d] = [{tuple(words[i:i + 5]) for i in range(a, b - 4)} for a, b in zip(starts.tolist(), ends.tolist())]
+    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    want = {d for d in cuts if any(alike(a, b) for e in cuts if e != d for a in cuts[d] for b in cuts[e])}
+    got = {r["doc_id"] for r in paragraphs.per_document(paragraphs.repeats(documents(rows))).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) > 20
 
 
 def test_fifty_common_words_hold_a_common_paragraph():
@@ -251,7 +267,7 @@ def test_fifty_common_words_hold_a_common_paragraph():
             for _ in range(2):
                 before = int(rng.integers(0, 90))
                 words = np.concatenate([rng.integers(0, kinds, before), common, rng.integers(0, kinds, int(rng.integers(0, 90)))])
-                h, a, b = paragraphs.spans(words, rng.choice([0, 0, 0, 1], len(words)).astype(np.int8))
+                a, b = paragraphs.spans(words.astype(np.uint64))
                 held.append({(x - before, y - before) for x, y in zip(a.tolist(), b.tolist()) if x >= before and y <= before + 50})
             assert held[0] & held[1]
 
