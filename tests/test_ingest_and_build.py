@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests import searchfiles
 from veracat.operators import search
+from veracat.plans.answer import search_catalog
 from veracat.plans.catalog import build_catalog, open_catalog
 from veracat.plans.ingest import Search, ingest
 
@@ -132,6 +133,19 @@ def test_build_and_answer(spark, snapshot):
     answer = search.disclose_sources(search.bounded_answer(catalog["psms"].select("psm_id", "pep"), rows=3), {"psms": (catalog["psms"], ["pep"]), "age_effects": (catalog["age_effects"], ["beta"])})
     assert answer.truncated_by == "rows" and len(answer.rows) == 3
     assert answer.empty_sources == ["age_effects"] and answer.run_relative_columns == ["pep"]
+    # The stored index gives the rows that the table gives, and no base table is read for them.
+    for text in ("one", "AAA1", "a", "nothing like it"):
+        kept = lambda df: sorted(map(tuple, search.search_entity(df, text, "protein_accession", "gene", "n_datasets_1pct").select("protein_accession", "gene", "n_datasets").collect()))  # noqa: B023, E731
+        assert kept(catalog.rows("protein_index", text)) == kept(catalog["protein_index"])
+    files = catalog.rows("protein_index", "AAA1").inputFiles()
+    assert files and all("/search/" in f for f in files)
+    found = search_catalog(catalog, "aaa1")
+    assert [h["protein_accession"] for h in found.hits["protein"]][:1] == ["AAA1"] and found.datasets == ["PX1"] and "protein_annotations" in found.empty_sources
+    assert set(search_catalog(catalog, "MDEFGH").hits) == {"peptide"} and search_catalog(catalog, "carbamido").hits["modification"]
+    many = search_catalog(catalog, "PX1", ["run"], limit=1)
+    assert many.cut == ["run"] and len(many.hits["run"]) == 1 and [x["source"] for x in many.searched] == ["runs"]
+    with pytest.raises(ValueError, match="kind"):
+        search_catalog(catalog, "x", ["gene"])
     # The same snapshots give the same folder, and it is not built again.
     assert build_catalog(spark, [f"{folder}/bundle.json"], f"{root}/catalogs") == catalog.path
     assert catalog["samples"].filter(F.col("organism_part_name").isNotNull()).count() == 0

@@ -144,6 +144,25 @@ def test_names_resolve_by_priority(spark):
     assert values(ident.unmatched_names(reported, "r", known, "name"), "reported", "uses") == [("gone", 2)]
 
 
+def test_all_rules_read_every_table_once(spark, tmp_path):
+    frame(spark, [("d", 1, "x", ["1", "9"]), ("d", 2, "y", ["2"]), ("d", 2, None, None), ("e", None, "x", [])], "dataset_id string, id int, kind string, refs array<string>").write.parquet(f"{tmp_path}/child")
+    frame(spark, [("d", "1"), ("d", "2"), ("e", "9")], "dataset_id string, pid string").write.parquet(f"{tmp_path}/parent")
+    tables = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("child", "parent")}
+    rules = [
+        quality.unique_rule("child", ["id"]), quality.unique_rule("child", ["id", "kind"]), quality.nullsafe_rule("child", ["kind"], "kind"), quality.unique_rule("parent", ["pid"], []),
+        quality.reference_rule("child", "refs[]", "parent", "pid"), quality.reference_rule("child", "id", "parent", "pid", []), quality.typed_rule("child", "kind", "dataset_id", {"x": ("parent", "dataset_id")}, []),
+    ]
+    found = quality.checked(tables, rules)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    got = {r["name"]: (r["kind"], r["ok"], r["observed"], r["detail"]) for r in found.collect()}
+    assert got == {
+        "child.id": ("unique", False, 1, "e.g. 2"), "child (id, kind)": ("unique", True, 0, None), "child.kind": ("engine-unique", False, 1, "e.g. x"), "parent.pid": ("unique", True, 0, None),
+        "child.refs[] -> parent.pid": ("reference", False, 1, "e.g. 9"), "child.id -> parent.pid": ("reference", True, 0, None),
+        "child.dataset_id -> parent.dataset_id": ("reference", True, 0, None), "child.kind y": ("reference", False, None, "names no table"),
+    }
+    assert quality.checked({n: df.limit(0) for n, df in tables.items()}, rules[:6]).filter("ok AND observed = 0").count() == 6
+
+
 def test_ranks_and_running_sums_over_ranges(spark):
     df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("k"), ((F.col("id") * 7919) % 5000).alias("o"))
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("o")).cast("bigint"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,39 +19,110 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _count_check(bad: DataFrame, example: Column, name: str | Column, kind: str) -> DataFrame:
-    """One check row from the rows that break a rule."""
-    found = bad.agg(F.count("*").alias("observed"), F.min(example.cast("string")).alias("example"))
-    return found.select(
-        (F.lit(name) if isinstance(name, str) else name).alias("name"),
-        F.lit(kind).alias("kind"),
-        (F.col("observed") == 0).alias("ok"),
-        "observed",
-        F.lit(0).cast("bigint").alias("expected"),
-        F.when(F.col("observed") > 0, F.concat(F.lit("e.g. "), "example")).alias("detail"),
-    )
-
-
 def _label(table: str, cols: Sequence[str]) -> str:
     return f"{table}.{cols[0]}" if len(cols) == 1 else f"{table} ({', '.join(cols)})"
 
 
-def repeated_keys(df: DataFrame, cols: Sequence[str], scope: Sequence[str] = (), null_is_value: bool = False) -> DataFrame:
-    """(scope, cols, n) of keys held by more than one row. A key with a NULL part is skipped, unless
-    NULL is a value of the key. Counting combines before the shuffle, so a hot key is one row per task."""
-    keyed = df if null_is_value else df.dropna(subset=list(cols))
-    return keyed.groupBy(*scope, *cols).agg(F.count("*").alias("n")).filter("n > 1")
+@dataclass(frozen=True)
+class Rule:
+    """One rule over tables by name: ``columns`` of ``table`` are unique, or, where ``targets`` is given, refer to one:
+    (type, table, column) for each type, the type being None for a plain reference."""
+    name: str
+    kind: str
+    table: str
+    columns: tuple[str, ...]
+    scope: tuple[str, ...] = ()
+    nulls: bool = False
+    example: str | None = None
+    targets: tuple[tuple[str | None, str, str], ...] = ()
+    type_column: str | None = None
+
+
+def unique_rule(table: str, cols: Sequence[str], scope: Sequence[str] = ("dataset_id",), kind: str = "unique") -> Rule:
+    """A key with a NULL part is skipped."""
+    return Rule(_label(table, cols), kind, table, tuple(cols), tuple(s for s in scope if s not in cols))
+
+
+def nullsafe_rule(table: str, cols: Sequence[str], example: str, kind: str = "engine-unique") -> Rule:
+    """NULL is a value of the key."""
+    return Rule(_label(table, cols), kind, table, tuple(cols), nulls=True, example=example)
+
+
+def reference_rule(table: str, column: str, target: str, parent_column: str, scope: Sequence[str] = ("dataset_id",), kind: str = "reference") -> Rule:
+    return Rule(f"{table}.{column} -> {target}.{parent_column}", kind, table, (column,), tuple(scope), targets=((None, target, parent_column),))
+
+
+def typed_rule(table: str, type_column: str, id_column: str, targets: Mapping[str, tuple[str, str]], scope: Sequence[str] = ("dataset_id",)) -> Rule:
+    """A type without a target fails."""
+    return Rule(f"{table}.{type_column} ", "reference", table, (id_column,), tuple(scope), targets=tuple((k, t, c) for k, (t, c) in targets.items()), type_column=type_column)
+
+
+_CLAIM = "array<struct<r:int,t:string,key:string,example:string,role:int>>"
 
 
-def unique_key(df: DataFrame, table: str, cols: Sequence[str], scope: Sequence[str] = ("dataset_id",),
-               kind: str = "unique") -> DataFrame:
-    bad = repeated_keys(df, cols, [s for s in scope if s not in cols])
-    return _count_check(bad, F.col(cols[0]), _label(table, cols), kind)
+def _claims(table: str, rules: Sequence[Rule]) -> list[Column]:
+    """What a row of the table says under each rule: that it holds a key (role 0), refers to one (1) or offers one (2)."""
+    none = F.array().cast(_CLAIM)
+
+    def said(r: int, of: Column, key: Sequence[Column], example: Column, role: int) -> Column:
+        # JSON keeps parts apart, and NULL from the text.
+        text = F.to_json(F.array(*[k.cast("string") for k in key]))
+        return F.struct(F.lit(r).alias("r"), of.cast("string").alias("t"), text.alias("key"), example.cast("string").alias("example"), F.lit(role).alias("role"))
+
+    def values(column: str, scope: Sequence[Column], r: int, of: Column, role: int, nulls: bool = False) -> Column:
+        listed = F.col(column.removesuffix("[]")) if column.endswith("[]") else F.array(F.col(column))
+        kept = listed if nulls else F.filter(listed, lambda v: v.isNotNull())
+        return F.transform(kept, lambda v: said(r, of, [*scope, v], v, role))
+
+    out = []
+    for i, rule in enumerate(rules):
+        scope = [F.col(c) for c in rule.scope]
+        if rule.table == table:
+            if not rule.targets:
+                cols = [F.col(c) for c in rule.columns]
+                held = F.lit(True) if rule.nulls else reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
+                out.append(F.when(held, F.array(said(i, F.lit(None), [*scope, *cols], F.col(rule.example or rule.columns[0]), 0))).otherwise(none))
+            elif rule.type_column:
+                out.append(F.when(F.col(rule.type_column).isNotNull(), values(rule.columns[0], scope, i, F.col(rule.type_column), 1, True)).otherwise(none))
+            else:
+                out.append(F.coalesce(values(rule.columns[0], scope, i, F.lit(None), 1), none))
+        out += [F.coalesce(values(c, scope, i, F.lit(of), 2), none) for of, target, c in rule.targets if target == table]
+    return [c.cast(_CLAIM) for c in out]
+
+
+def checked(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """One check row for each rule, and for a typed reference one for each type that occurs.
+
+    Every table is read once, however many rules name it: a row says all it has to say under all rules, and one
+    aggregate, which combines in every task first, tells the keys held twice and the references without a parent.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    said = [df.select(F.explode(F.concat(*claims)).alias("c")).select("c.*") for name, df in tables.items() if (claims := _claims(name, rules))]
+    role = F.col("role")
+    keys = union_all(said).groupBy("r", "t", "key").agg(
+        F.count_if(role == 0).alias("held"), F.max(role == 1).alias("asked"), F.max(role == 2).alias("offered"), F.min(F.when(role < 2, F.col("example"))).alias("example"))
+    bad = (F.col("held") > 1) | (F.col("asked") & ~F.col("offered"))
+    found = keys.groupBy("r", "t").agg(F.count_if(bad).alias("observed"), F.min(F.when(bad, F.col("example"))).alias("example"), F.max("asked").alias("asked"))
+    # As short as the rules.
+    named = spark.createDataFrame([(i, x.name, x.kind, x.type_column is not None) for i, x in enumerate(rules)], "r int, name string, kind string, typed boolean")
+    targets = [(i, of, f"{x.table}.{x.columns[0]} -> {t}.{c}") for i, x in enumerate(rules) if x.type_column for of, t, c in x.targets]
+    full = spark.createDataFrame(targets, "r int, t string, target string")
+    one = named.join(found, "r", "left").join(full, ["r", "t"], "left").filter("NOT typed OR asked")
+    lost = F.col("typed") & F.col("target").isNull()
+    observed = F.coalesce("observed", F.lit(0).cast("bigint"))
+    return one.select(
+        F.when(lost, F.concat("name", "t")).otherwise(F.coalesce("target", "name")).alias("name"), "kind", (~lost & (observed == 0)).alias("ok"),
+        F.when(~lost, observed).alias("observed"), F.lit(0).cast("bigint").alias("expected"),
+        F.when(lost, F.lit("names no table")).when(observed > 0, F.concat(F.lit("e.g. "), "example")).alias("detail"),
+    )
+
+
+def unique_key(df: DataFrame, table: str, cols: Sequence[str], scope: Sequence[str] = ("dataset_id",), kind: str = "unique") -> DataFrame:
+    return checked({table: df}, [unique_rule(table, cols, scope, kind)])
 
 
 def unique_key_nullsafe(df: DataFrame, table: str, cols: Sequence[str], example: str, kind: str = "engine-unique") -> DataFrame:
-    bad = repeated_keys(df, cols, null_is_value=True)
-    return _count_check(bad, F.col(example), _label(table, cols), kind)
+    return checked({table: df}, [nullsafe_rule(table, cols, example, kind)])
 
 
 def _values(df: DataFrame, column: str, scope: Sequence[str], alias: str = "val") -> DataFrame:
@@ -69,37 +141,15 @@ def dangling_values(child: DataFrame, column: str, parent: DataFrame, parent_col
 
 def dangling_references(child: DataFrame, table: str, column: str, parent: DataFrame, target: str,
                         parent_column: str, scope: Sequence[str] = ("dataset_id",), kind: str = "reference") -> DataFrame:
-    bad = dangling_values(child, column, parent, parent_column, scope)
-    return _count_check(bad, F.col("val"), f"{table}.{column} -> {target}.{parent_column}", kind)
+    return checked({table: child, target: parent}, [reference_rule(table, column, target, parent_column, scope, kind)])
 
 
 def polymorphic_reference(child: DataFrame, table: str, type_column: str, id_column: str,
                           targets: Mapping[str, tuple[DataFrame, str]], scope: Sequence[str] = ("dataset_id",)) -> DataFrame:
-    """One check row per type that occurs. The parents of all types are one frame, so one anti join
-    answers for every type; a type without a target fails."""
-    pairs = child.select(*scope, F.col(type_column).alias("type"), F.col(id_column).alias("val")) \
-        .filter("type IS NOT NULL").distinct()
-    known = union_all([
-        _values(parent, column, scope).withColumn("type", F.lit(name)) for name, (parent, column) in targets.items()
-    ]).withColumn("known", F.lit(True))
-    counted = (
-        pairs.join(known, [*scope, "type", "val"], "left")
-        .groupBy("type")
-        .agg(F.count_if(F.col("known").isNull()).alias("observed"),
-             F.min(F.when(F.col("known").isNull(), F.col("val").cast("string"))).alias("example"))
-    )
-    has_target = F.col("type").isin(list(targets))
-    names = F.create_map(*[F.lit(x) for t in targets for x in (t, f"{t}.{targets[t][1]}")])
-    return counted.select(
-        F.when(has_target, F.concat(F.lit(f"{table}.{id_column} -> "), F.try_element_at(names, F.col("type"))))
-        .otherwise(F.concat(F.lit(f"{table}.{type_column} "), "type")).alias("name"),
-        F.lit("reference").alias("kind"),
-        (has_target & (F.col("observed") == 0)).alias("ok"),
-        F.when(has_target, F.col("observed")).alias("observed"),
-        F.lit(0).cast("bigint").alias("expected"),
-        F.when(~has_target, F.lit("names no table"))
-        .when(F.col("observed") > 0, F.concat(F.lit("e.g. "), "example")).alias("detail"),
-    )
+    """One check row per type that occurs; a type without a target fails."""
+    # The parents go by their types here: a target is a frame of its own.
+    rule = typed_rule(table, type_column, id_column, {k: (k, c) for k, (_, c) in targets.items()}, scope)
+    return checked({table: child, **{k: df for k, (df, _) in targets.items()}}, [rule])
 
 
 def collapse_exact_duplicates(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -205,7 +255,7 @@ def conflicting_values(metrics: DataFrame, keys: Sequence[str], value: str = "va
 def reserved_flag_conflicts(df: DataFrame, flag: str, value: str) -> DataFrame:
     """Rows whose delivered flag disagrees with the flag computed from the value."""
     computed = reserved_word(value)
-    text = F.lower(strip(F.col(flag).cast("string")))
+    text = F.lower(strip(F.coalesce(F.col(flag).cast("string"), F.lit(""))))
     delivered = F.when(text.isin("true", "1", "yes"), True).when(text.isin("false", "0", "no"), False)
     written = (strip(value) != "") & (text != "")
     # A delivered word that is neither true nor false cannot agree.

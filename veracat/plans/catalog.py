@@ -12,10 +12,11 @@ from veracat import schema as S
 from veracat.functions.rules import database_role
 from veracat.operators import derive, filters
 from veracat.operators.quality import (
-    dangling_references, enforce, polymorphic_reference, row_count_check, union_all, unique_key, unique_key_nullsafe, version_gate,
+    Rule, checked, enforce, nullsafe_rule, reference_rule, row_count_check, typed_rule, union_all, unique_rule, version_gate,
 )
 from veracat.operators.samples import sample_names
 from veracat.operators.search import table_list
+from veracat.operators.search_index import SearchIndex, write_search_index
 from veracat.operators.snapshots import path_exists, read_snapshots, snapshot_id, write_json_file
 from veracat.functions.cells import file_name
 from veracat.sources.files import discover_snapshots
@@ -38,6 +39,14 @@ OVERVIEW_COLUMNS = [
 ]
 
 
+# What keyword searches look into, by table: columns whose texts are stored by their grams.
+INDEXED = {
+    "dataset_overview": ["dataset_id", "title", "organisms"], "protein_index": ["protein_accession", "gene"], "peptide_index": ["base_sequence"],
+    "search_modifications_declared": ["name", "modification"], "samples": ["organism_part", "cell_type", "disease", "condition", "cell_line", "source_name", "organism"],
+    "runs": ["run_id", "file_name", "instrument_model"], "definitions": ["definition_id", "text"],
+}
+
+
 @dataclass
 class Catalog:
     """The tables of one catalog as DataFrames, by name."""
@@ -50,6 +59,12 @@ class Catalog:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    def rows(self, name: str, query: str) -> DataFrame:
+        """The rows of a table that may contain a text, from the stored index where the table is in it."""
+        if name in INDEXED and self.path:
+            return SearchIndex(self.tables[name].sparkSession, f"{self.path}/search").candidates(name, query)
+        return self.tables[name]
+
     def register(self) -> None:
         """Make every table a temporary view, so SQL can name it."""
         for name, df in self.tables.items():
@@ -95,31 +110,33 @@ def dataset_databases(manifests: DataFrame) -> DataFrame:
     )
 
 
-def integrity_checks(t: Mapping[str, DataFrame], studies: Sequence[str] = ()) -> DataFrame:
-    """Keys, references, the typed reference, study rules and engine keys, as one frame."""
-    out = [unique_key(t[table], table, cols) for table, cols in S.IDENTIFIERS.items()]
-    out += [dangling_references(t[c], c, col, t[p], p, pc) for c, col, p, pc in S.REFERENCES]
-    out.append(polymorphic_reference(t["quant_values"], "quant_values", "feature_type", "feature_id",
-                                     {k: (t[table], column) for k, (table, column) in S.FEATURE_TARGETS.items()}))
+def _typed(have: Mapping[str, DataFrame], scope: Sequence[str] = ("dataset_id",)) -> list[Rule]:
+    if "quant_values" not in have:
+        return []
+    return [typed_rule("quant_values", "feature_type", "feature_id", {k: (n, c) for k, (n, c) in S.FEATURE_TARGETS.items() if n in have}, scope)]
+
+
+def integrity_rules(t: Mapping[str, DataFrame], studies: bool = False) -> list[Rule]:
+    """Keys, references, the typed reference, study rules and engine keys."""
+    out = [unique_rule(table, cols) for table, cols in S.IDENTIFIERS.items()]
+    out += [reference_rule(c, col, p, pc) for c, col, p, pc in S.REFERENCES]
+    out += _typed(t)
     if studies:
-        out += [unique_key(t[table], table, cols, scope=[], kind="study-unique") for table, cols in S.STUDY_KEYS.items()]
-        out += [dangling_references(t[c], c, col, t[p], p, pc, scope=[], kind="study-reference") for c, col, p, pc in S.STUDY_REFERENCES]
-    out += [unique_key_nullsafe(t[table], table, cols, "accession") for table, cols in S.ENGINE_KEYS.items()]
-    return union_all(out)
+        out += [unique_rule(table, cols, [], "study-unique") for table, cols in S.STUDY_KEYS.items()]
+        out += [reference_rule(c, col, p, pc, [], "study-reference") for c, col, p, pc in S.STUDY_REFERENCES]
+    return out + [nullsafe_rule(table, cols, "accession") for table, cols in S.ENGINE_KEYS.items()]
+
+
+def integrity_checks(t: Mapping[str, DataFrame], studies: Sequence[str] = ()) -> DataFrame:
+    """All rules of a build, in one read of every table."""
+    return checked(t, integrity_rules(t, bool(studies)))
 
 
 def bundle_checks(t: Mapping[str, DataFrame]) -> DataFrame:
     """What a snapshot is checked for before it is written: keys with their composites, and references."""
-    have = {n: df for n, df in t.items()}
-    keys = {**S.IDENTIFIERS, **S.COMPOSITE_KEYS}
-    out = [unique_key(have[n], n, cols, scope=[]) for n, cols in keys.items() if n in have]
-    for child, column, parent, parent_column in S.REFERENCES:
-        if child in have and parent in have:
-            out.append(dangling_references(have[child], child, column, have[parent], parent, parent_column, scope=[]))
-    if "quant_values" in have:
-        targets = {k: (have[n], c) for k, (n, c) in S.FEATURE_TARGETS.items() if n in have}
-        out.append(polymorphic_reference(have["quant_values"], "quant_values", "feature_type", "feature_id", targets, scope=[]))
-    return union_all(out)
+    out = [unique_rule(n, cols, []) for n, cols in {**S.IDENTIFIERS, **S.COMPOSITE_KEYS}.items() if n in t]
+    out += [reference_rule(c, col, p, pc, []) for c, col, p, pc in S.REFERENCES if c in t and p in t]
+    return checked(t, out + _typed(t, []))
 
 
 def load_tables(spark: SparkSession, snapshots: Sequence[tuple[str, str, str, Mapping[str, int]]],
@@ -164,11 +181,12 @@ _MANIFEST = "tables map<string,bigint>, databases array<struct<path:string,sha25
 
 def build_catalog(spark: SparkSession, manifests: Sequence[str], out: str, meta: Mapping[str, str] = {},
                   studies: Sequence[tuple[str, str, str, Mapping[str, int]]] = (),
-                  artefacts: Sequence[tuple[str, str, str, Mapping[str, int]]] = ()) -> str:
+                  artefacts: Sequence[tuple[str, str, str, Mapping[str, int]]] = (), coverage: DataFrame | None = None) -> str:
     """Build and publish a catalog; returns its folder. The same snapshots give the same folder, and a
     folder that is there already is not built again. Any failed check refuses the build.
 
-    ``manifests`` are the chosen snapshots' manifest files, one per dataset.
+    ``manifests`` are the chosen snapshots' manifest files, one per dataset; ``coverage`` are checks of the choice that
+    are published beside those of the build. See ``choose``.
     """
     for what, given in (("study layer", studies), ("artefact engine", artefacts)):
         if len({name for name, *_ in given}) < len(given):
@@ -194,6 +212,8 @@ def build_catalog(spark: SparkSession, manifests: Sequence[str], out: str, meta:
     docs = spark.read.option("multiLine", True).schema(f"dataset_id string, bundle_id string, {_MANIFEST}").json(list(manifests))
     tables["dataset_databases"] = dataset_databases(docs)
     checks = count_checks(tables, spark, snapshots).unionByName(integrity_checks(tables, [s[0] for s in studies]))
+    if coverage is not None:
+        checks = checks.unionByName(coverage)
     checks.write.mode("overwrite").parquet(f"{folder}/catalog_checks")
     enforce(spark.read.parquet(f"{folder}/catalog_checks"))
 
@@ -206,6 +226,7 @@ def build_catalog(spark: SparkSession, manifests: Sequence[str], out: str, meta:
     for name, df in derived_tables(tables).items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         tables[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    write_search_index(spark, {n: (tables[n], columns) for n, columns in INDEXED.items()}, f"{folder}/search")
     kinds = {n: ("derived" if n in DERIVED else "view" if n in VIEWS else "study" if n in S.STUDY_COLUMNS else "engine" if n in S.ENGINE_TABLES else "bundle") for n in tables}
     table_list({n: (df, kinds[n]) for n, df in tables.items()}).write.mode("overwrite").parquet(f"{folder}/catalog_tables")
     found.select("dataset_id", "bundle_id", "path", "written_utc", "schema_version").write.mode("overwrite").parquet(f"{folder}/catalog_bundles")

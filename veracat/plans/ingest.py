@@ -397,9 +397,24 @@ def _sequences_of(spark: SparkSession, s: Search) -> DataFrame:
     return read_databases(spark, s.databases).select("accession", "sequence")
 
 
+def verify_databases(spark: SparkSession, s: Search) -> None:
+    """Stop where a database is not the one that the search recorded: its sites would be placed in sequences that the
+    engine never saw. A database that the record does not name, or names without a digest, passes."""
+    if not s.provenance or not s.databases:
+        return
+    inputs = files.read_json_documents(spark, s.provenance, P.PROVENANCE_SCHEMA).select(F.explode("inputs").alias("i")).select("i.*")
+    recorded = files.searched_databases(inputs, [], "path", "sha256")
+    known = _frame(spark, [(p, s.recorded_digests[p]) for p in s.databases if p in s.recorded_digests], "path string, sha256 string")
+    if unread := [p for p in s.databases if p not in s.recorded_digests]:
+        known = known.unionByName(files.file_digests(spark, unread, whole=True).select("path", "sha256"))
+    _, changed = samples.unchanged_lineage(recorded, "database", "sha256", known.withColumn("name", file_name("path")), "name", "sha256")
+    if rows := changed.orderBy("database").collect():  # a few databases a search
+        raise quality.GateRefused("; ".join(f"{r['database']} is not the database that was searched: recorded {r['sha256']}, found {r['actual']}" for r in rows))
+
+
 def ingest(spark: SparkSession, s: Search, store: str) -> str:
     """Write the search's snapshot under ``store`` and return its folder. Unchanged inputs give the
-    snapshot that is already there; a failed check writes nothing."""
+    snapshot that is already there; a failed check, or another database than the searched one, writes nothing."""
     paths = [("matches", s.matches), ("peptides", s.peptides), ("groups", s.groups), ("peptide_quant", s.peptide_quant), ("peaks", s.peaks), ("report", s.report), ("sheet", s.sheet),
              ("fetch", s.fetch), ("qc", s.qc), ("provenance", s.provenance), *(("database", p) for p in s.databases), *(("modifications", p) for p in s.modification_lists)]
     inputs = sorted({(role, p) for role, p in paths if p})
@@ -415,6 +430,7 @@ def ingest(spark: SparkSession, s: Search, store: str) -> str:
     folder = f"{store}/{s.dataset_id}"
     if path_exists(spark, f"{folder}/{identity}/bundle.json"):
         return f"{folder}/{identity}"
+    verify_databases(spark, s)
     tables, _ = ingest_tables(spark, s)
     manifest = {"dataset_id": s.dataset_id, "written_utc": spark.sql("SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\") AS t").first()["t"]}
     entries = read_databases(spark, s.databases).groupBy(F.col("database").alias("name")).agg(F.count("*").alias("entries")) if s.databases else _frame(spark, [], "name string, entries bigint")

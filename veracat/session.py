@@ -54,4 +54,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     costs a re-read instead of a re-computation."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these frames, after the last job that reads them."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

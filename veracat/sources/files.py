@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from veracat.functions.cells import cell_count, file_name, split_list, strip
 from veracat.functions.rules import database_role, is_database
+from veracat.sources.digests import file_digests
 
 ROW_ORDER = "row_order"
 
@@ -326,7 +327,7 @@ def discover_snapshots(spark: SparkSession, manifests: str | list[str]) -> DataF
 def role_digests(spark: SparkSession, inputs: Sequence[tuple[str, str]], recorded: Mapping[str, str] | None = None) -> DataFrame:
     """(role, path, sha256), one row for each (role, path), however the path spells its scheme and whether it is a
     file or a folder. A folder's digest is over the names and digests of its files. ``recorded`` digests, by
-    path, are taken as they are, so a file too large for one row has a way in."""
+    path, are taken as they are, and their files are not read."""
     recorded = recorded or {}
     given = [(role, path, recorded[path]) for role, path in inputs if path in recorded]
     out = spark.createDataFrame(given, "role string, path string, sha256 string")
@@ -341,13 +342,6 @@ def role_digests(spark: SparkSession, inputs: Sequence[tuple[str, str]], recorde
     return out
 
 
-def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, size_bytes, sha256). One file is one row, so files of 2 GB and more must bring a
-    recorded digest instead, see ``role_digests``."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
-
-
 def first_matching_input(inputs: DataFrame, keys: Sequence[str], path: str, sha: str, position: str) -> DataFrame:
     """The first recorded input that is a protein database: (keys, database, sha256)."""
     return (

@@ -1,5 +1,7 @@
 """Data-quality operators on the benchmark tables."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from veracat.operators import quality as q
@@ -201,7 +203,18 @@ _ALL_CHECKS = " UNION ALL ".join(f"SELECT * FROM ({s})" for s in (_UNIQUE, _COMP
 
 @query(f"SELECT * FROM ({_ALL_CHECKS}) WHERE NOT ok")
 def build_gate(t):
-    return q.build_gate(q.union_all([unique_key(t), unique_composite(t), unique_key_nullsafe(t), dangling_references(t), polymorphic_reference(t), study_references(t)]))
+    """All rules at once, as a build checks them: each table is read once."""
+    tables = {
+        "lineitem": t.lineitem.withColumn("l_linenumber", F.nullif("l_linenumber", F.lit(7))), "orders": t.orders, "kept": t.orders.filter("o_orderstatus <> 'P'"), "study": t.orders,
+        "customer": t.customer.filter("c_mktsegment <> 'BUILDING'"), "events": t.events, "click": t.customer.filter("c_acctbal > 0"), "view": t.supplier, "error": t.part,
+    }
+    rules = [
+        q.unique_rule("orders", ["o_orderkey"], ["o_custkey"]), q.unique_rule("lineitem", ["l_orderkey", "l_linenumber"], []), q.nullsafe_rule("lineitem", ["l_suppkey", "l_linenumber"], "l_suppkey"),
+        replace(q.reference_rule("lineitem", "l_orderkey", "orders", "o_orderkey", []), targets=((None, "kept", "o_orderkey"),)),
+        q.typed_rule("events", "event_type", "user_id", {"click": ("click", "c_custkey"), "view": ("view", "s_suppkey"), "error": ("error", "p_partkey")}, []),
+        q.reference_rule("study", "o_custkey", "customer", "c_custkey", [], "study-reference"),
+    ]
+    return q.build_gate(q.checked(tables, rules))
 
 
 @query("""SELECT 'lineitem' AS table_name, count(*) AS rows, 'bundle' AS kind FROM lineitem UNION ALL SELECT 'orders', count(*), 'bundle' FROM orders UNION ALL SELECT 'accepted', count(*), 'view' FROM lineitem WHERE l_discount <= 0.01 UNION ALL SELECT 'nobody', 0, 'study'""")

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from veracat.operators import search
 from veracat.workload.deriving import INDEX_SQL, PRESENCE_SQL, index
+from veracat.operators.search_index import SearchIndex, write_search_index
+from veracat.session import scratch_dir
 from veracat.workload.registry import joined, query
 
 
@@ -132,3 +134,14 @@ def bounded_answer(t):
     answer = search.bounded_answer(wanted)
     return t.spark.createDataFrame(answer.rows, "c_custkey bigint, c_name string, c_acctbal double")
 
+
+
+@query("""SELECT p_partkey, p_name, p_type FROM part WHERE contains(lower(p_name), 'blue r') OR contains(lower(p_type), 'blue r') UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier WHERE contains(lower(s_name), '#00000001')""")
+def stored_search(t):
+    """Rows found by the grams that a build stored, and then verified."""
+    folder = scratch_dir(t.spark, "search")
+    write_search_index(t.spark, {"part": (t.part, ["p_name", "p_type"]), "supplier": (t.supplier, ["s_name"])}, folder)
+    stored = SearchIndex(t.spark, folder)
+    parts = stored.candidates("part", "Blue R").filter(search.any_contains(["p_name", "p_type"], "Blue R")).select("p_partkey", "p_name", "p_type")
+    suppliers = stored.candidates("supplier", "#00000001").filter(search.any_contains(["s_name"], "#00000001"))
+    return parts.unionByName(suppliers.select(F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("p_name"), F.lit(None).cast("string").alias("p_type")))
