@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracat.llm.common import light, running_sum, whole
-from veracat.session import materialise
+from veracat.session import discard, materialise
 
-#: Lines of a run that counts as repeated, at least.
-LEAST = 2
+#: Lines of a run that counts as repeated, at least: a line that stands alone between others is a run too.
+LEAST = 1
 
 
 def line_table(rows: DataFrame) -> DataFrame:
-    """(doc, doc_id, size, place, line, h): the lines of every row that hold a word, numbered from 0 to ``size``.
+    """(doc, doc_id, size, place, line, h, h2): the lines of every row that hold a word, numbered from 0 to ``size``.
 
-    Blank lines are no part of the sequence. ``h`` is the line's id, a 64-bit hash of the whole line.
+    Blank lines are no part of the sequence. ``h`` and ``h2`` are the line's id, two hashes of the whole line with
+    128 bits together.
     """
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("h"), x.rlike(r"[^\x20\x09-\x0D]").alias("full")))
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("h"), F.xxhash64(F.lit("second"), x).alias("h2"), x.rlike(r"[^\x20\x09-\x0D]").alias("full")))
     full = rows.select("doc", "doc_id", F.filter(lines, lambda x: x["full"]).alias("lines"))
-    return materialise(full.select("doc", "doc_id", F.size("lines").alias("size"), F.posexplode("lines").alias("place", "x")).select("doc", "doc_id", "size", "place", "x.line", "x.h"), "lines")
+    return materialise(full.select("doc", "doc_id", F.size("lines").alias("size"), F.posexplode("lines").alias("place", "x")).select("doc", "doc_id", "size", "place", "x.line", "x.h", "x.h2"), "lines")
 
 
 def suffix_array(lines: DataFrame) -> DataFrame:
@@ -31,17 +32,25 @@ def suffix_array(lines: DataFrame) -> DataFrame:
     the length by which suffixes are told apart: a class is split by the class of the suffix that starts where its
     own length ends. Only classes of several suffixes take part, so a round shrinks to what is still alike. The pairs
     of classes are counted before they are ordered, so a line of a third of the rows is one row there.
+
+    A suffix is looked up from its own document alone, so once a document has no class of several left, its suffixes
+    leave the table that rounds look up. From the first round on ``h`` is the class of the first line.
     """
-    repeated = materialise(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").transform(light), "repeated")
-    slots = running_sum(repeated, ["h"], "n", "slot").select("h", "n", "slot")
-    now = materialise(lines.join(slots, "h").select("doc", "doc_id", "size", "place", "h", "slot", "n"), "suffixes")
-    done, length = None, 1
+    repeated = materialise(lines.groupBy("h", "h2").agg(F.count("*").alias("n")).where("n > 1").transform(light), "repeated")
+    slots = running_sum(repeated, ["h", "h2"], "n", "slot").select("h", "h2", "n", "slot")
+    now = materialise(lines.join(slots, ["h", "h2"]).select("doc", "doc_id", "size", "place", F.col("slot").alias("h"), "slot", "n"), "suffixes")
+    done, looked, length = None, None, 1
     while True:
         active, settled = now.where("n > 1"), now.where("n = 1").drop("n")
         done = settled if done is None else done.unionByName(settled)
         if active.isEmpty():
             return done.select("doc", "place", "doc_id", "h", "slot")
-        known = done.select("doc", "place", "slot").unionByName(active.select("doc", "place", "slot"))
+        still = settled.select("doc", "place", "slot")
+        still = (still if looked is None else still.unionByName(looked)).join(active.select("doc").distinct(), "doc", "left_semi")
+        before, looked = looked, materialise(light(still), "looked")
+        if before is not None:
+            discard(before)
+        known = looked.unionByName(active.select("doc", "place", "slot"))
         ahead = known.select(F.col("doc").alias("d"), (F.col("place") - length).alias("p"), F.col("slot").alias("next"))
         paired = active.drop("n").join(ahead, (F.col("doc") == F.col("d")) & (F.col("place") == F.col("p")), "left").drop("d", "p")
         kind = F.when(F.col("next").isNotNull(), 2).when(F.col("place") + length >= F.col("size"), 0).otherwise(1)
@@ -55,6 +64,7 @@ def suffix_array(lines: DataFrame) -> DataFrame:
         # Suffixes that have all ended are equal to their ends and stay one class.
         n = F.when(F.col("kind") == 2, F.col("n")).otherwise(F.lit(1).cast("bigint"))
         now = materialise(paired.join(moved, same).select("doc", "doc_id", "size", "place", "h", F.col("new").alias("slot"), n.alias("n")).transform(light), "suffixes")
+        discard(paired, classes)
         length *= 2
 
 
@@ -112,7 +122,8 @@ def repeated_runs(lines: DataFrame, least: int = LEAST) -> DataFrame:
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """One row per row of ``docs``: doc_id, text (less the later copies of repeated line runs), n_lines (lines with a
     word), n_removed. A NULL text becomes an empty one; blank lines stay. Rows repeated in id and text are copies
-    of each other, and all but one of them lose their runs.
+    of each other, and all but one of them lose their runs. A text of any length is taken whole. An empty table gives
+    no rows; other columns are ignored.
 
     The ids and texts are written once, with a number for each row, which later steps refer to.
     """
@@ -138,12 +149,10 @@ WITH l AS (
 ), s AS (
   SELECT *, row_number() OVER (PARTITION BY r ORDER BY line) AS place FROM l WHERE regexp_matches(x, '[^ 	-
 ]')
-), runs AS (
-  SELECT *, lead(x) OVER (PARTITION BY r ORDER BY place) AS y FROM s
-), starts AS (
-  SELECT r, place, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, r, place) AS nth FROM runs WHERE y IS NOT NULL
+), again AS (
+  SELECT r, line, row_number() OVER (PARTITION BY x ORDER BY doc_id NULLS FIRST, r, place) AS nth FROM s
 ), cut AS (
-  SELECT DISTINCT r, line FROM s JOIN (SELECT r, place + k AS place FROM starts, (VALUES (0), (1)) v(k) WHERE nth > 1) USING (r, place)
+  SELECT r, line FROM again WHERE nth > 1
 ), n AS (SELECT r, count(*) AS n_lines FROM s GROUP BY r), c AS (SELECT r, count(*) AS n_removed FROM cut GROUP BY r)
 SELECT doc_id, coalesce(any_value(n_lines), 0)::BIGINT AS n_lines, coalesce(any_value(n_removed), 0)::BIGINT AS n_removed,
        md5(coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (WHERE cut.r IS NULL), '')) AS text_md5
