@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from xxhash import xxh3_64_intdigest
 
 from veracat.llm.common import whole
 
@@ -21,28 +22,19 @@ K = 128
 #: apart but for one shingle in 10 ** 8.
 BITS = 48
 DIGITS = BITS // 4
-#: Words whose hashes a task keeps at hand, by their bytes in all.
-CACHE_BYTES = 16_000_000
 
 
 class Hasher:
     """Bottom-k sketches of texts. A word is what white space of ASCII sets apart; a text of fewer words than a
-    shingle, but not none, is one shingle. Word hashes are kept for as long as they fit a bound of bytes."""
+    shingle, but not none, is one shingle."""
 
     def __init__(self, k: int = K, shingle: int = SHINGLE):
-        self.k, self.shingle, self.known, self.room = k, shingle, {}, CACHE_BYTES
-
-    def word(self, word: bytes) -> int:
-        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(word) < 64:
-            if self.room < len(word):
-                self.known, self.room = {}, CACHE_BYTES
-            self.known[word], self.room = h, self.room - len(word) - 100
-        return h
+        self.k, self.shingle = k, shingle
 
     def words(self, text: bytes) -> np.ndarray:
-        known, word = self.known.get, self.word
-        return np.fromiter((known(w) or word(w) for w in text.split()), np.uint64)
+        """A 64-bit hash of each word, in order."""
+        words = text.split()
+        return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
     def sketch(self, hashes: np.ndarray) -> np.ndarray:
         """The k smallest different shingle hashes, in order, given the hashes of a text's words."""
