@@ -1,5 +1,6 @@
 """A small search of our own making, as producer files."""
 
+import hashlib
 import json
 import os
 
@@ -39,7 +40,7 @@ INTENSITY = "pos5[Carbamidomethyl on C,info:fraction=0.0000(0/4000)]"
 GROUPS = [
     ["AAA1|BBB2", "ONE|TWO", "3", "1", "0.5|0.4", "2", "1000", COUNT, INTENSITY, "0", "0", "", "", "T", "0"],
     ["AAA1|BBB2", "ONE|TWO", "3", "1", "0.5|0.4", "2", "1000", COUNT, INTENSITY, "0", "0", "", "", "T", "0"],
-    ["CON1", "", "1", "1", "0.9", "1", "500", "", "", "1", "0", "", "", "C", "0.002"],
+    ["CON1", "", "1", "1", "0.9", "1", "500", "Output too long for Excel", "", "1", "0", "", "", "C", "0.002"],
     ["DECOY_AAA1", "", "1", "1", "0.1", "1", "", "pos1[Carbamidomethyl on C,info:fraction=1(1/1)]", "", "0", "", "", "", "D", "0.02"],
 ]
 PEPTIDE_HEADER = ["Sequence", "Base Sequence", "Intensity_runA-calib", "Intensity_runB", "Detection Type_runA-calib", "Detection Type_runB"]
@@ -69,13 +70,20 @@ def write(folder):
     for name, text in (("report.txt", REPORT), ("sheet.tsv", SHEET), ("proteins.fasta", FASTA), ("contaminants.xml", CONTAMINANTS), ("mods.txt", MODS)):
         with open(p(name), "w") as f:
             f.write(text)
+    # What earlier stages recorded; of the second the search recorded another file.
+    stages = {name: json.dumps({"schema": "aging-provenance/3", "stage": stage, "started_utc": "2023-12-31T00:00:00+00:00"}) for name, stage in (("fetched.json", "fetch"), ("converted.json", "convert"))}
+    for name, text in stages.items():
+        with open(p(name), "w") as f:
+            f.write(text)
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
     docs = {
         "fetch.json": {"files": [{"name": "runA.raw", "sha256": "a", "pride_checksum": "x", "category": "RAW"}, {"name": "runB.raw", "sha256": "b", "category": "RAW"}, {"name": "notes.txt", "category": "OTHER"}]},
         "qc.json": {"runA.raw": {"pass": True, "ms2": 20, "run_minutes": 90.0, "ms2_analyzer_dissociation": {"Trap/HCD": 20}}, "runB.raw": {"pass": True, "ms2": 10, "run_minutes": 60.0},
                     "blank.raw": {"pass": False, "ms2": 1}},
         "provenance.json": {"schema": "aging-provenance/3", "stage": "search", "started_utc": "2024-01-01T00:00:00+00:00", "pipeline": {"repo": "r", "commit": "c"}, "id_rate": {"psms_1pct": 2, "ms2": 30, "rate": 0.1}, "tools": {"Engine": {"release": "9.9"}}, "params": {"tasks": ["a", "b"]},
                             "mbr": {"mbr_rows": 12, "mbr_fdr_threshold": 0.01}, "resources": {"wall_s": 7.5},
-                            "inputs": [{"path": "t/Search.toml", "sha256": "0"}, {"path": "db/proteins.fasta", "sha256": "1"}], "flags": ["low_id_rate: few", "odd thing: detail"],
+                            "inputs": [{"path": "t/Search.toml", "sha256": "0"}, {"path": "db/proteins.fasta", "sha256": sha(FASTA)},
+                                       {"path": p("fetched.json"), "sha256": sha(stages["fetched.json"])}, {"path": p("converted.json"), "sha256": "2"}], "flags": ["low_id_rate: few", "odd thing: detail"],
                             "excluded_files": {"files": ["blank.raw"], "reason": "too_few_ms2"}},
     }
     for name, doc in docs.items():
@@ -84,4 +92,5 @@ def write(folder):
     return {
         "matches": p("matches.tsv"), "groups": p("groups.tsv"), "peptide_quant": p("peptides_quant.tsv"), "peaks": p("peaks.tsv"), "report": p("report.txt"), "sheet": p("sheet.tsv"),
         "fetch": p("fetch.json"), "qc": p("qc.json"), "provenance": p("provenance.json"), "databases": [p("proteins.fasta"), p("contaminants.xml")], "modification_lists": [p("mods.txt")],
+        "upstream": [p(name) for name in stages],
     }

@@ -133,7 +133,7 @@ def test_from_search_to_genes(spark, tmp_path):
 
     # A database that is not the recorded one stops the ingest.
     for digest, fits in (("0" * 64, False), (sha, True)):
-        open(paths["provenance"], "w").write(json.dumps(record | {"inputs": [{"path": fasta, "sha256": digest}, {"path": "runA.raw", "sha256": "1"}]}))
+        open(paths["provenance"], "w").write(json.dumps(record | {"inputs": [{"path": "elsewhere/proteins.fasta", "sha256": digest}, {"path": "runA.raw", "sha256": "1"}]}))
         if fits:
             ingest(spark, s, store)
         else:
@@ -156,6 +156,10 @@ def test_from_search_to_genes(spark, tmp_path):
     assert {r["gene_id"] for r in catalog["protein_genes"].collect() if r["gene_id"]} == {"ENSG1"}
     assert pairs(catalog["catalog_checks"].filter("kind = 'engine-coverage'"), "observed", "expected") == [(1, 1)]
 
+    other = {"gene_resolutions": full.withColumn("outcome", F.lit("guessed"))}
+    write_snapshot(spark, other, f"{tmp_path}/odd/engine/{engine}", "g3", {"engine": engine, "search_database": sha})
+    with pytest.raises(GateRefused, match="unknown outcome: 1"):
+        choose_artefacts(spark, f"{tmp_path}/odd", manifests)
     write_snapshot(spark, {"gene_resolutions": full}, f"{store}/engine/{engine}", "g2", {"engine": engine, "search_database": sha})
     with pytest.raises(GateRefused, match="2 artefacts"):
         choose_artefacts(spark, store, manifests)

@@ -1,5 +1,6 @@
 """One search of our own making, from files to a catalog that answers."""
 
+import json
 import os
 
 import pytest
@@ -16,7 +17,7 @@ from veracat.plans.ingest import Search, ingest
 def snapshot(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("instance")
     paths = searchfiles.write(str(root / "files"))
-    s = Search("PX1", **paths, title="Small", organism="NCBITaxon:9606", expected_files=2, engine="Engine", engine_version="1",
+    s = Search("PX1", **paths, title="Small", organism="NCBITaxon:9606", expected_files=2, engine="Engine", engine_version="1", notes=["first of its kind"],
                declared_lists=[("fixed", "Common Fixed\tCarbamidomethyl on C"), ("variable", "A\tAcetylation on X\t\tB\tNever seen on S")])
     return ingest(spark, s, str(root / "store")), s, str(root)
 
@@ -74,7 +75,9 @@ def test_occupancy(spark, snapshot):
 def test_findings_and_reconciliation(spark, snapshot):
     got = {r["code"]: r for r in rows(spark, snapshot[0], "findings")}
     assert {"low_id_rate", "odd thing", "excluded_from_search", "unresolved_modifications", "sdrf_partial", "collapsed_duplicate_rows",
-            "occupancy_decoy_groups"} <= set(got)
+            "occupancy_decoy_groups", "occupancy_cells_truncated", "upstream_provenance_changed"} <= set(got)
+    assert got["occupancy_cells_truncated"]["severity"] == "error" and got["occupancy_cells_truncated"]["message"].startswith("1 ")
+    assert got["upstream_provenance_changed"]["finding_id"].endswith("convert") and "converted.json" in got["upstream_provenance_changed"]["message"]
     # Four accepted peptides are claimed; the match file holds fewer.
     assert "count_mismatch" in got
     assert not any(r["finding_id"].endswith("count_mismatch:psms") for r in rows(spark, snapshot[0], "findings"))
@@ -97,7 +100,9 @@ def test_declared_modifications(spark, snapshot):
 
 
 def test_provenance_and_metrics(spark, snapshot):
-    record = rows(spark, snapshot[0], "provenance_records")[0]
+    records = {r["stage"]: r for r in rows(spark, snapshot[0], "provenance_records")}
+    assert set(records) == {"search", "fetch"}  # the changed file is no record of its stage
+    record = records["search"]
     assert (record["stage"], record["pipeline_commit"], record["wall_seconds"]) == ("search", "c", 7.5)
     assert record["params_json"] == '{"tasks": ["a", "b"]}' and len(record["original_sha256"]) == 64
     metrics = {(r["scope"], r["name"], r["source"]): (r["value"], r["definition_id"]) for r in rows(spark, snapshot[0], "metrics")}
@@ -110,6 +115,13 @@ def test_provenance_and_metrics(spark, snapshot):
     assert rows(spark, snapshot[0], "datasets")[0]["search_database"] == "proteins.fasta"
 
 
+def test_the_manifest_says_what_it_was_made_of(snapshot):
+    manifest = json.loads(open(f"{snapshot[0]}/bundle.json").read())
+    assert manifest["notes"] == [{"note": "first of its kind"}]
+    assert {d["path"].rsplit("/", 1)[1]: d["entries"] for d in manifest["databases"]}["proteins.fasta"] > 0
+    assert {"matches", "database", "upstream", "declaration"} <= {x["role"] for x in manifest["sources"]}
+
+
 def test_second_ingest_is_a_no_op(spark, snapshot):
     folder, s, root = snapshot
     before = os.path.getmtime(f"{folder}/bundle.json")
@@ -141,7 +153,8 @@ def test_build_and_answer(spark, snapshot):
     assert files and all("/search/" in f for f in files)
     found = search_catalog(catalog, "aaa1")
     assert [h["protein_accession"] for h in found.hits["protein"]][:1] == ["AAA1"] and found.datasets == ["PX1"] and "protein_annotations" in found.empty_sources
-    assert set(search_catalog(catalog, "MDEFGH").hits) == {"peptide"} and search_catalog(catalog, "carbamido").hits["modification"]
+    peptide = catalog["peptide_index"].first()["base_sequence"]
+    assert search_catalog(catalog, peptide).hits["peptide"][0]["base_sequence"] == peptide and search_catalog(catalog, "carbamido").hits["modification"]
     many = search_catalog(catalog, "PX1", ["run"], limit=1)
     assert many.cut == ["run"] and len(many.hits["run"]) == 1 and [x["source"] for x in many.searched] == ["runs"]
     with pytest.raises(ValueError, match="kind"):

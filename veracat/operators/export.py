@@ -83,12 +83,15 @@ def scalar_name(kind: T.DataType) -> tuple[str, bool]:
 
 
 def column_catalog(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, column, type, repeated, size_bytes, sha256) from each file's own schema."""
+    """(path, column, type, repeated, size_bytes, sha256) for every file: ``paths`` are Parquet files, or folders of files
+    of one schema, of which each file is described."""
     rows = []
     for path in paths:
         for f in spark.read.parquet(path).schema:
             name, repeated = scalar_name(f.dataType)
             rows.append((path, f.name, name, repeated))
-    columns = spark.createDataFrame(rows, "path string, column string, type string, repeated boolean")
-    digests = file_digests(spark, [f"{p}/*.parquet" if not p.endswith(".parquet") else p for p in paths])
-    return columns.join(digests.withColumn("path", plain_path("path")), "path", "left")
+    columns = spark.createDataFrame(rows, "given string, column string, type string, repeated boolean").withColumn("given", plain_path("given"))
+    digests = file_digests(spark, [f"{p}/*.parquet" if not p.endswith(".parquet") else p for p in paths]).withColumn("path", plain_path("path"))
+    is_file = F.array_contains(F.array(*[plain_path(F.lit(p)) for p in paths]), F.col("path"))
+    held = digests.withColumn("given", F.when(is_file, F.col("path")).otherwise(F.regexp_replace("path", "/[^/]*$", "")))
+    return columns.join(held, "given").select("path", "column", "type", "repeated", "size_bytes", "sha256")

@@ -184,11 +184,6 @@ def assign_run_attribute(runs: DataFrame, run: str, declared: Sequence[str], mix
     return out, problems
 
 
-def runs_differ(runs: DataFrame) -> DataFrame:
-    """One row: do the runs hold more than one enrichment?"""
-    return runs.agg((F.count_distinct("enrichment") > 1).alias("enrichment_mixed"))
-
-
 def enrichment_split(runs: DataFrame, keys: Sequence[str], value: str = "enrichment") -> DataFrame:
     """(keys, value, n_runs); an unknown value is one row with NULL."""
     text = F.when(F.col(value).isNotNull(), F.concat_ws(", ", value))

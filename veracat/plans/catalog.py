@@ -230,13 +230,18 @@ def build_catalog(spark: SparkSession, manifests: Sequence[str], out: str, meta:
     kinds = {n: ("derived" if n in DERIVED else "view" if n in VIEWS else "study" if n in S.STUDY_COLUMNS else "engine" if n in S.ENGINE_TABLES else "bundle") for n in tables}
     table_list({n: (df, kinds[n]) for n, df in tables.items()}).write.mode("overwrite").parquet(f"{folder}/catalog_tables")
     found.select("dataset_id", "bundle_id", "path", "written_utc", "schema_version").write.mode("overwrite").parquet(f"{folder}/catalog_bundles")
+    # What else the catalog is made of, one row each.
+    loaded = spark.createDataFrame([(layer, b, S.STUDY_VERSIONS.get(layer), p) for layer, b, p, _ in studies], "layer string, bundle_id string, layer_version string, path string")
+    loaded.write.mode("overwrite").parquet(f"{folder}/catalog_study_bundles")
+    made = spark.createDataFrame([(e, b, p, dict(counts)) for e, b, p, counts in artefacts], "engine string, artefact_id string, path string, tables map<string,bigint>")
+    made.write.mode("overwrite").parquet(f"{folder}/catalog_engine_artefacts")
     body = {"catalog_id": identity, "catalog_version": CATALOG_FORMAT, "schema_version": S.SCHEMA_VERSION, **meta}
     write_json_file(spark.createDataFrame([tuple(body.values())], ", ".join(f"{k} string" for k in body)), f"{folder}/catalog.json")
     return folder
 
 
 def open_catalog(spark: SparkSession, folder: str) -> Catalog:
-    names = [*S.CORE_COLUMNS, *S.STUDY_COLUMNS, *DERIVED, "catalog_tables", "catalog_bundles", "catalog_checks"]
+    names = [*S.CORE_COLUMNS, *S.STUDY_COLUMNS, *DERIVED, "catalog_tables", "catalog_bundles", "catalog_checks", "catalog_study_bundles", "catalog_engine_artefacts"]
     tables = {n: spark.read.parquet(f"{folder}/{n}") for n in names}
     tables["catalog_meta"] = spark.read.json(f"{folder}/catalog.json")
     tables.update(acceptance_views(tables))

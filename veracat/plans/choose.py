@@ -12,7 +12,7 @@ from veracat import schema as S
 from veracat.functions.cells import file_name
 from veracat.functions.rules import database_role
 from veracat.operators.filters import available_only
-from veracat.operators.quality import GateRefused, engine_coverage
+from veracat.operators.quality import GateRefused, acceptance_checks, engine_coverage
 from veracat.operators.snapshots import latest_snapshot
 from veracat.sources.files import discover_snapshots
 
@@ -92,8 +92,9 @@ _ARTEFACT = "bundle_id string, engine string, schema_version string, search_data
 def choose_artefacts(spark: SparkSession, store: str, manifests: Sequence[str]) -> tuple[list[Part], DataFrame]:
     """(artefacts, coverage checks): what engines have made of the target databases that the snapshots searched.
 
-    Two of one engine for one database refuse the build. A database without one, and artefacts of another schema
-    version, are named by the check, which always passes.
+    Two of one engine for one database refuse the build, as does one whose rows are not what its record says: of
+    another database, of an outcome that nobody knows, with columns that have no place, or without rows. A database
+    without an artefact, and artefacts of another schema version, are named by the check, which always passes.
     """
     docs = spark.read.option("multiLine", True).schema("dataset_id string, databases array<struct<path:string,sha256:string,entries:bigint>>").json(list(manifests))
     searched = docs.select("dataset_id", F.explode("databases").alias("d")).select("dataset_id", F.col("d.sha256").alias("sha256"), database_role("d.path").alias("role"), file_name("d.path").alias("database"))
@@ -111,7 +112,12 @@ def choose_artefacts(spark: SparkSession, store: str, manifests: Sequence[str])
         coverage = engine_coverage(targets, known, S.SCHEMA_VERSION)
         several = coverage.filter("status = 'ambiguous'").select("sha256", F.format_string(f"{engine} has %d artefacts for this database; a catalog serves one", "n_artefacts").alias("reason"))
         _refuse(several, "sha256")
-        rows = coverage.filter("status = 'covered'").join(known, "artefact_id").select("artefact_id", "path", "tables").collect()  # one a database
+        rows = coverage.filter("status = 'covered'").join(known, "artefact_id").select("artefact_id", "path", "tables", "search_database").collect()  # one a database
+        for r in rows:
+            for table in (t for t, of in S.ENGINE_TABLES.items() if of == engine and (r["tables"] or {}).get(t)):
+                kind = S.struct_type(table)
+                told = acceptance_checks(spark.read.parquet(f"{r['path']}/{table}.parquet"), {"search_database_sha256": r["search_database"]}, "outcome", S.RESOLUTION_OUTCOMES, kind.fieldNames())
+                _refuse(told.filter("n > 0").select(F.lit(f"{engine} {r['artefact_id']} {table}").alias("name"), F.concat("rule", F.lit(": "), F.col("n").cast("string")).alias("reason")), "name")
         parts += [(engine, r["artefact_id"], r["path"], r["tables"] or {}) for r in rows]
         lacking = F.concat(F.lit("no artefact for "), F.array_join(F.array_sort(F.collect_list(F.when(F.col("status") == "uncovered", F.substr("sha256", F.lit(1), F.lit(12))))), ", "))
         stale = F.concat(F.lit("skipped, other schema: "), F.sum("n_stale").cast("string"))

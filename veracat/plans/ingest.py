@@ -57,6 +57,10 @@ class Search:
     policy: str | None = "RemoveContaminant"
     search_label: str = "standard"
     threshold: float = 0.01
+    # Provenance files of earlier stages, whose digests the search recorded among its inputs.
+    upstream: Sequence[str] = ()
+    # Remarks for the manifest.
+    notes: Sequence[str] = ()
     # sha256 by path, for inputs whose digest is known or that are too large for one row.
     recorded_digests: Mapping[str, str] = field(default_factory=dict)
 
@@ -272,7 +276,18 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
         sha = files.file_digests(spark, s.provenance).select(files.plain_path("path").alias("document_path"), "sha256")
         keyed = docs.withColumn("document_path", files.plain_path("document_path")).join(sha, "document_path")
         tables["provenance_records"] = samples.provenance_record(keyed, F.lit("search"), s.dataset_id)
-    tables["findings"] = _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status, found, unplaced, forms, raw, names, lost, quality.union_all(reports))
+    changed = None
+    if docs is not None and s.upstream:
+        # An earlier stage's record counts only while it is the file that the search recorded.
+        earlier = files.read_json_documents(spark, list(s.upstream), P.PROVENANCE_SCHEMA)
+        earlier = earlier.withColumn("document_path", files.plain_path("document_path"))
+        held = files.file_digests(spark, list(s.upstream)).select(files.plain_path("path").alias("document_path"), "sha256")
+        noted = inputs.select(files.plain_path("path").alias("path"), F.col("sha256").alias("recorded"))
+        kept, changed = samples.unchanged_lineage(noted, "path", "recorded", held, "document_path", "sha256")
+        staged = earlier.join(kept.select(F.col("path").alias("document_path")).distinct(), "document_path", "left_semi").join(held, "document_path")
+        tables["provenance_records"] = tables["provenance_records"].unionByName(samples.provenance_record(staged, F.coalesce("stage", F.lit("unknown")), s.dataset_id))
+        changed = changed.join(earlier.select(F.col("document_path").alias("path"), F.coalesce("stage", F.lit("unknown")).alias("stage")), "path")
+    tables["findings"] = _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status, found, unplaced, forms, raw, names, lost, quality.union_all(reports), changed)
     for name in ("datasets", "sample_characteristics", "psms", "ptm_stoichiometry", "search_modifications_declared", "definitions", "provenance_records", "findings"):
         if name in tables:
             violations = coercion_violations(tables[name], S.struct_type(name)).collect()
@@ -283,6 +298,9 @@ def ingest_tables(spark: SparkSession, s: Search) -> tuple[dict[str, DataFrame],
 
 
 UNPARSED = "unparsed text"
+# Fixed value: what a producer writes in place of a cell that is too long for a spreadsheet.
+CUT_CELL = "Output too long for Excel"
+CUT = "cell cut by the producer"
 
 
 def refuse_violations(df: DataFrame, table: str) -> None:
@@ -307,7 +325,8 @@ def _stoichiometry(spark: SparkSession, s: Search, wide: DataFrame, tables: Mapp
         return S.empty_like(spark, S.struct_type("ptm_stoichiometry")), _frame(spark, [], "reason string, n bigint")
     accs = split_list(P.GROUP_COLUMNS["accession"])
     long = wide.select(canonical_key(accs, d).alias("group"), accs.alias("accs"), "row_order", F.explode(F.array(*cells)).alias("c")).select("group", "accs", "row_order", "c.*")
-    entries, unparsed = sites.occupancy_cell(long, "cell", ["group", "accs", "row_order", "basis", "label"])
+    is_cut = F.contains(F.coalesce("cell", F.lit("")), F.lit(CUT_CELL))
+    entries, unparsed = sites.occupancy_cell(long.filter(~is_cut), "cell", ["group", "accs", "row_order", "basis", "label"])
     entries = materialise(entries.withColumn("o", F.struct("group", "label", "basis", "segment", "entry")), "occupancy")
     decoy = F.forall("accs", lambda a: F.startswith(a, F.lit("DECOY_")))
     named = ident.resolve_names(entries, "label", names, "name", "_run")
@@ -332,7 +351,7 @@ def _stoichiometry(spark: SparkSession, s: Search, wide: DataFrame, tables: Mapp
         F.col("modification").alias("mm_modification"), F.lit("QuantProject:DEF-OCC-CELL").alias("definition_id")).drop("group", "label", "position", "modification")
     count = lambda df, why: df.agg(F.count("*").alias("n")).select(F.lit(why).alias("reason"), "n")
     lost = quality.union_all([
-        unparsed.agg(F.coalesce(F.sum("n_unparsed"), F.lit(0)).alias("n")).select(F.lit(UNPARSED).alias("reason"), "n"),
+        unparsed.agg(F.coalesce(F.sum("n_unparsed"), F.lit(0)).alias("n")).select(F.lit(UNPARSED).alias("reason"), "n"), count(long.filter(is_cut), CUT),
         marked.filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n")), count(joined.filter("accession IS NULL"), "segment's accession not determinable"),
         count(no_assay, "run has no label-free assay"), count(no_site.unionByName(with_assay.filter("ptm_site_id IS NULL")), "site not in ptm_sites"),
         duplicates.select(F.concat(F.lit("duplicate entry ("), "what", F.lit("; "), "where", F.lit(")")).alias("reason"), "n"),
@@ -340,7 +359,7 @@ def _stoichiometry(spark: SparkSession, s: Search, wide: DataFrame, tables: Mapp
     return out, lost
 
 
-def _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status, found, unplaced, forms, raw, names, lost, collapsed) -> DataFrame:
+def _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status, found, unplaced, forms, raw, names, lost, collapsed, changed=None) -> DataFrame:
     """Everything the ingest noticed, as rows."""
     d = F.lit(s.dataset_id)
     tag = lambda df: df.withColumn("dataset_id", d)
@@ -348,6 +367,9 @@ def _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status
     text = lambda what: F.concat(F.col("n").cast("string"), F.lit(f" {what}, e.g. "), F.col("e"))
     n_text = lambda what: F.concat(F.col("n").cast("string"), F.lit(" "), F.lit(what))
     out = [quality.mismatch_findings(checks)]
+    if changed is not None:
+        told = F.format_string("the search recorded this stage's provenance (%s) with sha256 %s, and the file there now has %s", "path", "recorded", "actual")
+        out.append(quality.findings(tag(changed), "upstream_provenance_changed", "warning", told, "ingest", suffix=F.col("stage")))
     conflicts = quality.metric_conflicts(tables["metrics"], ["scope", "scope_id", "name", "definition_id"])
     out.append(quality.findings(tag(conflicts), "metric_conflict", "warning", F.concat(F.lit("sources differ, from "), F.col("lowest").cast("string"), F.lit(" to "), F.col("highest").cast("string")),
                                 "reconciliation", run=F.when(F.col("scope") == "run", F.col("scope_id")), suffix=F.concat_ws(":", "scope", "scope_id", "name")))
@@ -382,10 +404,12 @@ def _findings(spark, s, tables, checks, docs, excluded, unsearched, sheet_status
         out.append(quality.findings(tag(verified.agg(F.sum("n").alias("n")).filter("n > 0")), "ptm_site_residue_mismatch", "warning", n_text("site(s) name a residue that is not there"), "ingest"))
     total = collapsed.agg(F.sum("n").alias("n"), F.sum("dropped").alias("dropped")).filter("n > 0")
     out.append(quality.findings(tag(total), "collapsed_duplicate_rows", "info", F.concat(F.col("n").cast("string"), F.lit(" identifier(s) were written more than once, alike in every column")), "integrity"))
-    decoys, others = lost.filter("reason = 'decoy group'"), lost.filter(~F.col("reason").isin("decoy group", UNPARSED))
+    decoys, others = lost.filter("reason = 'decoy group'"), lost.filter(~F.col("reason").isin("decoy group", UNPARSED, CUT))
     out.append(quality.findings(tag(decoys), "occupancy_decoy_groups", "info", n_text("entries of decoy groups"), "ingest"))
     text_left = lost.filter((F.col("reason") == UNPARSED) & (F.col("n") > 0))
     out.append(quality.findings(tag(text_left), "occupancy_cells_unparsed", "warning", n_text("cell segment(s) hold text that is no entry"), "ingest"))
+    cut = lost.filter((F.col("reason") == CUT) & (F.col("n") > 0))
+    out.append(quality.findings(tag(cut), "occupancy_cells_truncated", "error", n_text("occupancy cell(s) were cut by the producer, and every site in them is missing"), "ingest"))
     why = others.agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list(F.concat(F.col("n").cast("string"), F.lit(" "), "reason"))), "; ").alias("e")).filter("n > 0")
     out.append(quality.findings(tag(why), "occupancy_not_stored", "warning", F.col("e"), "ingest"))
     if s.quant_method != "label-free" and s.groups:
@@ -416,13 +440,14 @@ def ingest(spark: SparkSession, s: Search, store: str) -> str:
     """Write the search's snapshot under ``store`` and return its folder. Unchanged inputs give the
     snapshot that is already there; a failed check, or another database than the searched one, writes nothing."""
     paths = [("matches", s.matches), ("peptides", s.peptides), ("groups", s.groups), ("peptide_quant", s.peptide_quant), ("peaks", s.peaks), ("report", s.report), ("sheet", s.sheet),
-             ("fetch", s.fetch), ("qc", s.qc), ("provenance", s.provenance), *(("database", p) for p in s.databases), *(("modifications", p) for p in s.modification_lists)]
+             ("fetch", s.fetch), ("qc", s.qc), ("provenance", s.provenance), *(("database", p) for p in s.databases), *(("modifications", p) for p in s.modification_lists),
+             *(("upstream", p) for p in s.upstream)]
     inputs = sorted({(role, p) for role, p in paths if p})
     digests = materialise(files.role_digests(spark, inputs, s.recorded_digests), "digests")
     found = {(r["role"], r["path"]) for r in digests.select("role", "path").collect()}  # one row an input
     if missing := [f"{role} {p}" for role, p in inputs if (role, p) not in found]:
         raise ValueError(f"no file to take a digest of: {', '.join(missing)}")
-    prose = ("title", "organism", "acquisition", "quant_method", "labelling", "enrichment", "mixed_enrichment", "run_enrichment", "expected_files", "engine", "engine_version", "regime", "policy", "search_label", "declared_lists")
+    prose = ("title", "organism", "acquisition", "quant_method", "labelling", "enrichment", "mixed_enrichment", "run_enrichment", "expected_files", "engine", "engine_version", "regime", "policy", "search_label", "declared_lists", "notes")
     stated = _frame(spark, [(s.dataset_id, *(json.dumps(getattr(s, k), sort_keys=True, default=list) for k in prose))], "dataset_id string, " + ", ".join(f"{k} string" for k in prose))
     content = declaration_digest(stated, ["dataset_id"], prose).select(F.lit("declaration").alias("role"), F.lit("").alias("path"), "sha256")
     sources = digests.unionByName(content).withColumn("dataset_id", F.lit(s.dataset_id))
@@ -435,6 +460,6 @@ def ingest(spark: SparkSession, s: Search, store: str) -> str:
     manifest = {"dataset_id": s.dataset_id, "written_utc": spark.sql("SELECT date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\") AS t").first()["t"]}
     entries = read_databases(spark, s.databases).groupBy(F.col("database").alias("name")).agg(F.count("*").alias("entries")) if s.databases else _frame(spark, [], "name string, entries bigint")
     databases = digests.where("role = 'database'").join(entries, files.file_name("path") == F.col("name"), "left").select("path", "sha256", F.coalesce("entries", F.lit(0).cast("bigint")).alias("entries"))
-    lists = {"sources": sources.select("role", "path", "sha256"), "databases": databases}
+    lists = {"sources": sources.select("role", "path", "sha256"), "databases": databases, "notes": _frame(spark, [(n,) for n in s.notes], "note string")}
     write_snapshot(spark, tables, folder, identity, manifest, bundle_checks(tables), {n: cols for n, cols in S.IDENTIFIERS.items()}, lists)
     return f"{folder}/{identity}"

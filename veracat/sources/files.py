@@ -34,10 +34,12 @@ def plain_path(c: str) -> Column:
 
 
 def read_wide_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A TSV without quoting, every column text. Short rows are padded with NULL."""
+    """A TSV without quoting, every column text. Short rows are padded with NULL. A header of any width is read: its
+    columns are counted first, from one line."""
+    first = spark.read.text(path).limit(1).select(F.length(F.regexp_replace("value", "[^\t]", "")) + 1).first()
     reader = spark.read.option("sep", "\t").option("quote", "").option("header", True)
     reader = reader.option("mode", "PERMISSIVE").option("enforceSchema", False)
-    return reader.csv(path)
+    return reader.option("maxColumns", max(20_480, first[0] if first else 0) + 1).csv(path)
 
 
 def read_match_table(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -82,7 +82,7 @@ def read_modification_list(t):
                      # Every fifth block has no closing slashes: the next ID ends it.
                      F.when(F.col("p_partkey") % 5 == 0, F.lit("CF   O1")).otherwise(F.lit("//")))
     path = scratch_dir(t.spark, "mods")
-    _lines(t.part.coalesce(1).select(block), path)
+    _lines(t.part.repartition(4, "p_partkey").select(block), path)
     return files.read_modification_list(t.spark, [path]).select("name", joined("targets").alias("targets"), "unimod", "mass")
 
 
@@ -96,6 +96,16 @@ def read_sample_sheet(t):
     return sheet.select(files.sheet_cell("source name").alias("source"), files.sheet_cell("comment[x]").alias("second"), files.sheet_cell("assay name").alias("only_one"), files.sheet_cell("nope").alias("absent"))
 
 
+@query("SELECT 'nation ' || n_nationkey AS stage, 2 AS n_inputs, n_name AS last FROM nation")
+def read_json_files(t):
+    """A file is one document here, over several lines."""
+    docs = t.nation.select("n_nationkey", F.format_string('{\n "stage": "nation %s",\n "inputs": [\n  {"path": "x"},\n  {"path": "%s"}\n ]\n}', F.col("n_nationkey").cast("string"), "n_name").alias("value"))
+    path = scratch_dir(t.spark, "files")
+    docs.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    read = files.read_json_documents(t.spark, f"{path}/*/*.txt", "stage string, inputs array<struct<path:string>>")
+    return read.select("stage", F.size("inputs").alias("n_inputs"), F.element_at("inputs", -1)["path"].alias("last"))
+
+
 @query("SELECT 'doc ' || p_partkey AS stage, 2 AS n_inputs, p_type AS last FROM part")
 def read_json_documents(t):
     docs = t.part.select(F.concat(F.lit("doc "), F.col("p_partkey").cast("string")).alias("stage"), F.array(*[F.struct(F.col(c).alias("path")) for c in ("p_name", "p_type")]).alias("inputs"))

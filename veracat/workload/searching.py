@@ -128,11 +128,21 @@ def searched_lines(t):
     return lines.withColumn("columns_all_null", joined("columns_all_null"))
 
 
-@query("""SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 5000 ORDER BY c_acctbal DESC, c_custkey LIMIT 1000""")
+@query("""SELECT c_custkey, c_name, c_acctbal, CASE WHEN (SELECT count(*) FROM customer WHERE c_acctbal > 5000) > 400 THEN 'rows' END AS cut_by FROM customer WHERE c_acctbal > 5000 ORDER BY c_acctbal DESC, c_custkey LIMIT 400""")
 def bounded_answer(t):
     wanted = t.customer.filter("c_acctbal > 5000").select("c_custkey", "c_name", "c_acctbal").orderBy(F.col("c_acctbal").desc(), "c_custkey")
-    answer = search.bounded_answer(wanted)
-    return t.spark.createDataFrame(answer.rows, "c_custkey bigint, c_name string, c_acctbal double")
+    answer = search.bounded_answer(wanted, rows=400)
+    return t.spark.createDataFrame(answer.rows, "c_custkey bigint, c_name string, c_acctbal double").withColumn("cut_by", F.lit(answer.truncated_by).cast("string"))
+
+
+@query("""SELECT 'documents' AS source, count(*) AS rows, 'nothing' AS columns_all_null, false AS empty, 'pep' AS run_relative, 'labels' AS related FROM documents UNION ALL SELECT 'empty', 0, '', true, 'pep', 'labels'""")
+def disclosed_answer(t):
+    """What an answer rests on, as it is told beside the answer."""
+    docs = t.documents.withColumns({"nothing": F.lit(None).cast("string"), "pep": F.lit(0.5)})
+    answer = search.bounded_answer(docs.select("doc_id", "pep").orderBy("doc_id"), rows=3)
+    told = search.disclose_sources(answer, {"documents": (docs, ["text", "nothing", "pep"]), "empty": (t.labels.filter("quality > 5"), ["quality"])}, {"labels": t.labels, "gone": t.labels.filter("quality > 5")})
+    rows = [(s["source"], s["rows"], ",".join(s["columns_all_null"]), s["source"] in told.empty_sources, ",".join(told.run_relative_columns), ",".join(told.related_tables)) for s in told.searched]
+    return t.spark.createDataFrame(rows, "source string, rows bigint, columns_all_null string, empty boolean, run_relative string, related string")
 
 
 

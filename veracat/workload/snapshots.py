@@ -95,12 +95,18 @@ def symbol_index(t):
     return t.spark.read.schema("letter string, symbol string, p_partkey bigint").json(folder)
 
 
-@query("""SELECT 'orders' AS "table", unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderpriority', 'tags']) AS "column", unnest(['sc:Integer', 'sc:Integer', 'sc:Text', 'sc:Float', 'sc:Text', 'sc:Text']) AS type, unnest([false, false, false, false, false, true]) AS repeated, true AS digested""")
+# A folder for each status; every file describes itself, with its own rows and digest.
+@query("""SELECT p.o_orderstatus AS part, c.column_name AS "column", CASE WHEN c.data_type IN ('BIGINT', 'INTEGER') THEN 'sc:Integer' WHEN c.data_type = 'DOUBLE' THEN 'sc:Float' ELSE 'sc:Text' END AS type, false AS repeated, p.n AS rows_of_part
+FROM information_schema.columns c, (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) p WHERE c.table_name = 'orders' AND c.column_name NOT IN ('o_orderdate', 'o_orderstatus')
+UNION ALL SELECT o_orderstatus, 'tags', 'sc:Text', true, count(*) FROM orders GROUP BY 1""")
 def column_catalog(t):
-    path = scratch_dir(t.spark, "files") + "/orders.parquet"
-    t.orders.drop("o_orderdate").withColumn("tags", F.array("o_orderstatus")).coalesce(1).write.parquet(path)
-    files = [r["path"] for r in t.spark.read.format("binaryFile").load(f"{path}/*.parquet").select("path").collect()]
-    out = export.column_catalog(t.spark, [f.replace("file:", "") for f in files])
-    return out.select(F.lit("orders").alias("table"), "column", "type", "repeated", (F.length("sha256") == 64).alias("digested"))
-
-
+    folder = scratch_dir(t.spark, "files")
+    rows = t.orders.drop("o_orderdate").withColumn("tags", F.array("o_orderpriority"))
+    rows.repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(folder)
+    # One path a status, of which there are three.
+    names = [r[0] for r in t.orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
+    found = export.column_catalog(t.spark, [f"{folder}/o_orderstatus={n}" for n in names])
+    part = F.regexp_extract("path", "o_orderstatus=([^/]*)", 1)
+    counted = t.spark.read.parquet(folder).groupBy(F.col("o_orderstatus").alias("part")).agg(F.count("*").alias("rows_of_part"))
+    told = found.filter("length(sha256) = 64 AND size_bytes > 0").select(part.alias("part"), "column", "type", "repeated").distinct()
+    return told.join(counted, "part").select("part", "column", "type", "repeated", "rows_of_part")
