@@ -64,9 +64,9 @@ def test_mixing_stops_at_three_times_and_reshares(documents):
 
 
 def test_ledger_of_odd_rows_policies_and_ablations(odd, none):
-    entries = quality.apply_policy(quality.ledger(clashing(odd)), "v1")
+    entries = quality.apply_policy(quality.stored_ledger(clashing(odd)), "v1")
     base = F.col("failures").bitwiseAND(F.lit(quality.mask("base")).cast("bigint")) != 0
-    got = entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+    got = entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "n_lines", "policy", "failures")
     assert by_spark(got) == by_sql(quality.SQL, odd)
     assert quality.ledger(none).count() == 0
     failed = {r["rule"]: (r["failed"], r["only_this"]) for r in quality.ablations(entries, "v1").collect()}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracat.llm.common import grams, let, whole, without, words
+from veracat.session import materialise
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -88,9 +89,14 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return measured.withColumn("failures", failures)
 
 
+def stored_ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The ledger, written once to the shared folder: policies and ablations read its bits and never the texts."""
+    return materialise(ledger(docs, doc_id, text), "ledger")
+
+
 def apply_policy(entries: DataFrame, policy: str) -> DataFrame:
-    """The ledger with ``kept``: no bit of the policy is set. The texts are not read again."""
-    return without(entries, "kept").withColumn("kept", F.col("failures").bitwiseAND(F.lit(mask(policy)).cast("bigint")) == 0)
+    """The ledger with ``policy`` and ``kept``: no bit of the policy is set. The texts are not read again."""
+    return without(entries, "kept", "policy").withColumn("policy", F.lit(policy)).withColumn("kept", F.col("failures").bitwiseAND(F.lit(mask(policy)).cast("bigint")) == 0)
 
 
 def ablations(entries: DataFrame, policy: str) -> DataFrame:
@@ -124,6 +130,9 @@ WITH w AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
-            OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
+            OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept,
+       n_lines::BIGINT AS n_lines, 'v1' AS policy,
+       ((n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 4 * (10 * n_symbols > n_words)::BIGINT
+        + 8 * (100 * n_dup_lines > 30 * n_lines)::BIGINT + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 25 * n_words)::BIGINT)::BIGINT AS failures
 FROM m
 """

@@ -32,9 +32,9 @@ def op3_mix_sources(table):
 
 @query(quality.SQL)
 def op4_quality_ledger(table):
-    entries = quality.apply_policy(quality.ledger(table("documents")), "v1")
+    entries = quality.apply_policy(quality.stored_ledger(table("documents")), "v1")
     base_failed = F.col("failures").bitwiseAND(F.lit(quality.mask("base")).cast("bigint")) != 0
-    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), (F.col("kept") & ~base_failed).alias("kept"))
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), (F.col("kept") & ~base_failed).alias("kept"), "n_lines", "policy", "failures")
 
 
 @query(decontaminate.SQL)
