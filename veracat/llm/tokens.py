@@ -192,7 +192,10 @@ def write_flat(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "doc_
             for part in _slices(batch, "text"):
                 out = out or open_shared(name, "w")
                 for t in part.column("text").to_pylist():
-                    out.write(np.frombuffer(enc.encode(t), "<u4").astype("<u2").tobytes() + last)
+                    ids = np.frombuffer(enc.encode(t), "<u4")
+                    if len(ids) and ids.max() > 0xFFFF:
+                        raise ValueError(f"a flat file holds ids of 16 bits, and this vocabulary gives {ids.max()}")
+                    out.write(ids.astype("<u2").tobytes() + last)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(np.arange(ordinal, ordinal + n), pa.int64()), part.column("doc_id")], ["file", "ordinal", "doc_id"])
                 ordinal += n
