@@ -104,33 +104,32 @@ def read_records(name: str) -> Iterator[tuple[dict[str, str], bytes]]:
         else:
             raw.seek(0)
         with zstandard.ZstdDecompressor(dict_data=dictionary).stream_reader(raw, read_across_frames=True, closefd=False) as plain:
-            kept = b""
+            # What was read and not yet given out starts at ``at``; it is moved only when more is read.
+            kept, at = b"", 0
 
             def more() -> bool:
-                nonlocal kept
+                nonlocal kept, at
                 got = plain.read(1 << 20)
-                kept += got
+                kept, at = kept[at:] + got, 0
                 return bool(got)
 
-            while kept or more():
-                while (end := kept.find(b"\r\n\r\n")) < 0:
+            while at < len(kept) or more():
+                while (end := kept.find(b"\r\n\r\n", at)) < 0:
                     if not more():
                         raise ValueError(f"{name} ends inside a record's headers")
-                lines = kept[:end].decode().split(LINE)
+                lines = kept[at:end].decode().split(LINE)
                 headers = dict(line.split(": ", 1) for line in lines[1:])
-                length, start = int(headers["Content-Length"]), end + 4
-                parts, have = [kept[start:start + length + 4]], len(kept) - start
-                rest = kept[start + length + 4:]
-                while have < length + 4:
-                    got = plain.read(1 << 20)
-                    if not got:
+                at = end + 4
+                left, parts = int(headers["Content-Length"]) + 4, []
+                while left > len(kept) - at:
+                    parts.append(kept[at:])
+                    left -= len(kept) - at
+                    at = len(kept)
+                    if not more():
                         raise ValueError(f"{name} ends inside a record")
-                    need = length + 4 - have
-                    parts.append(got[:need])
-                    rest = got[need:]
-                    have += len(got)
-                yield headers, b"".join(parts)[:length]
-                kept = rest
+                parts.append(kept[at:at + left])
+                at += left
+                yield headers, b"".join(parts)[:-4]
 
 
 def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
