@@ -17,7 +17,7 @@ from veracat.session import materialise
 SAMPLE = 8192
 FANOUT = 8
 #: A node with fewer sampled rows is a leaf.
-LEAF_SAMPLE = 64
+LEAF_SAMPLE = 512
 #: Rows and anchors of a leaf that meet in one task, about.
 BLOCK, ANCHORS = 16_384, 2_048
 #: Rows that a task scores at once.
