@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 from functools import cache
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,13 @@ def test_repair_against_all_edits(spark, talks):
     assert told(repair.repair(talk(spark, talks))) == all_by_hand(talks)
 
 
+def test_repair_sql_of_odd_rows(talks):
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", talks)
+    assert Counter(con.sql(repair.SQL).fetchall()) == all_by_hand(talks)
+
+
 def test_a_conversation_of_many_chunks(spark):
     draw = random.Random(4)
     rows = [(1, t, draw.choice(["user", "assistant"]), draw.choice(["Yes.", "No", f"T{t}!", "."])) for t in range(150)] + [(2, None, "user", "x")] * 90

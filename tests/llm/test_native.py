@@ -37,7 +37,7 @@ def by_spark(df):
 def test_query_matches_its_sql(spark, sf, name):
     run, sql = QUERIES[name]
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     want = con.sql(sql)
     assert by_spark(run(spark, sf)) == bag(want.columns, want.fetchall())

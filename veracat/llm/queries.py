@@ -92,7 +92,7 @@ def op13_document_fingerprints(table):
     return fingerprints.edited(table("documents"))
 
 
-@query()
+@query(repair.SQL)
 def op12_repair_conversations(table):
     return repair.repair(table("conversations"))
 

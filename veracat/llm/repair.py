@@ -288,3 +288,59 @@ def repair(conversations: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
     counts = ", ".join(f"{c} bigint" for c in names)
     return sorted_.mapInArrow(write, f"conv_id {kind}, {counts}, audit string, repaired_sha256 string")
+
+
+def _least(p: str) -> str:
+    """SQL of the best of a row's edits in state p, given the best of the rows behind it in every state."""
+    def then(q: str, cost: str, letter: str, line: str) -> str:
+        return f"{{'cost': {cost} + f{q}.cost, 'audit': '{letter}' || f{q}.audit, 'out': {line}f{q}.out}}"
+
+    given = "a" if p == "u" else "u"
+    edits = [then(p, "3", "D", ""), f"CASE WHEN ok THEN {then(given, '2 + late', 'R', f"'{GIVEN[given]}:' || text || chr(10) || ")} END"]
+    edits += [f"CASE WHEN ok AND x = '{x}' THEN {then(q, 'late', 'K', "role || ':' || text || chr(10) || ")} END" for (of, x), q in MOVES.items() if of == p]
+    return f"list_sort([{', '.join(edits)}], 'ASC', 'NULLS LAST')[1] AS g{p}"
+
+
+def _filled(p: str) -> str:
+    """SQL of the best in state p with no, one or two insertions in front."""
+    a = "a" if p == "u" else "u"
+    b = "a" if a == "u" else "u"
+    one, two = f"'{GIVEN[a]}:' || chr(10) || ", f"'{GIVEN[b]}:' || chr(10) || "
+    return (f"list_sort([g{p}, {{'cost': 2 + g{a}.cost, 'audit': 'I' || g{a}.audit, 'out': {one}g{a}.out}}, "
+            f"{{'cost': 4 + g{b}.cost, 'audit': 'II' || g{b}.audit, 'out': {one}{two}g{b}.out}}])[1] AS f{p}")
+
+
+# The rows of a conversation from the last to the first; crc32 is made bit by bit.
+SQL = rf"""
+WITH RECURSIVE src AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), fates AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(k, ''), lambda c: list_concat([ascii(c)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+    lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT) % 20 AS fate FROM src
+), damaged AS (
+  SELECT r, conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fates
+), placed AS (
+  SELECT conv_id, turn, role, text, role[1:1] AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), r, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, r, copy) AS nth FROM damaged
+), judged AS (
+  SELECT *, lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM judged GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, n + 1 AS i, {{'cost': 0, 'audit': '', 'out': ''}} AS f0, {{'cost': 4, 'audit': 'II', 'out': 'user:' || chr(10) || 'assistant:' || chr(10)}} AS fs,
+         {{'cost': 2, 'audit': 'I', 'out': 'assistant:' || chr(10)}} AS fu, {{'cost': 0, 'audit': '', 'out': ''}} AS fa FROM counts
+  UNION ALL
+  SELECT conv_id, i, {", ".join(map(_filled, STATES))} FROM (
+    SELECT conv_id, i, {", ".join(map(_least, STATES))} FROM (
+      SELECT w.* EXCLUDE (i), j.i, j.role, j.text, j.x, j.fault NOT IN ('blank', 'duplicate') AS ok, (j.fault = 'truncated')::INTEGER AS late
+      FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i - 1))
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(f0.cost, 0)::BIGINT AS cost, coalesce(f0.audit, '') AS audit, sha256(coalesce(left(f0.out, greatest(length(f0.out) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.i = 1
+"""
