@@ -10,6 +10,7 @@ from tests import searchfiles
 from veracat.operators import search
 from veracat.plans.answer import search_catalog
 from veracat.plans.catalog import build_catalog, open_catalog
+from veracat.plans.publish import publish
 from veracat.plans.ingest import Search, ingest
 
 
@@ -159,6 +160,14 @@ def test_build_and_answer(spark, snapshot):
     assert many.cut == ["run"] and len(many.hits["run"]) == 1 and [x["source"] for x in many.searched] == ["runs"]
     with pytest.raises(ValueError, match="kind"):
         search_catalog(catalog, "x", ["gene"])
+    shards = publish(catalog, f"{root}/site", cap=2_000)
+    assert shards["datasets"] == 1 and shards["proteins"] >= 1
+    told = [json.loads(line) for line in open(f"{root}/site/figures.json")]
+    assert {t["figure"] for t in told} >= {"spread", "findings", "totals"} and json.loads(next(t["rows"][0] for t in told if t["figure"] == "totals"))["datasets"] == 1
+    text = [r["value"] for r in spark.read.text(f"{root}/site/datasets/entries").select("value").collect()]
+    assert json.loads(text[0])["PX1"]["title"] == "Small" and json.loads(text[0])["PX1"]["findings"]
+    assert "AAA1" in json.loads(spark.read.text(f"{root}/site/proteins/entries").filter("value LIKE '%AAA1%'").first()["value"])
+    assert {r["column"] for r in spark.read.json(f"{root}/site/files").filter("path LIKE '%/psms/%'").collect()} >= {"psm_id", "run_id"}
     # The same snapshots give the same folder, and it is not built again.
     assert build_catalog(spark, [f"{folder}/bundle.json"], f"{root}/catalogs") == catalog.path
     assert catalog["samples"].filter(F.col("organism_part_name").isNotNull()).count() == 0

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veracat.session import materialise
+
 #: Letters of a seed.
 SEED = 3
 #: Pieces of one text that a task looks for; a text with more is cut into seeds by several tasks.
@@ -67,17 +69,18 @@ def find_pieces(pairs: DataFrame, piece: str, accession: str, sequences: DataFra
     pair without a place is one row without starts; ``known`` tells whether the accession has a sequence at all.
     Sequences are dealt by accession; one that very many pieces name goes to several tasks, each with a part of them.
     """
-    distinct = pairs.select(F.col(piece).alias("piece"), F.col(accession).alias("accession")).distinct()
+    # Written once: read for the count of each accession's pieces, and again to deal them out.
+    distinct = materialise(pairs.select(F.col(piece).alias("piece"), F.col(accession).alias("accession")).distinct(), "pieces")
     many = distinct.groupBy("accession").agg(F.count("*").alias("n")).filter(F.col("n") > PIECES)
-    parts = many.select(F.col("accession").alias("_a"), F.ceil(F.col("n") / PIECES).cast("int").alias("parts"))
-    n = F.coalesce("parts", F.lit(1))
-
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.join(parts, F.col("accession") == F.col("_a"), "left")
-
-    asked = dealt(distinct).select("accession", F.pmod(F.xxhash64("piece"), n).cast("int").alias("part"), F.lit(1).alias("kind"), F.col("piece").alias("text"))
+    parts = materialise(many.select(F.col("accession").alias("_a"), F.ceil(F.col("n") / PIECES).cast("int").alias("parts")), "parts")
     texts = sequences.select("accession", "sequence").where("accession IS NOT NULL AND sequence IS NOT NULL").distinct()
-    held = dealt(texts).select("accession", F.explode(F.sequence(F.lit(0), n - 1)).alias("part"), F.lit(0).alias("kind"), F.col("sequence").alias("text"))
+    part, all_parts = F.lit(0), F.array(F.lit(0))
+    if not parts.isEmpty():
+        distinct, texts = (df.join(parts, F.col("accession") == F.col("_a"), "left") for df in (distinct, texts))
+        n = F.coalesce("parts", F.lit(1))
+        part, all_parts = F.pmod(F.xxhash64("piece"), n).cast("int"), F.sequence(F.lit(0), n - 1)
+    asked = distinct.select("accession", part.alias("part"), F.lit(1).alias("kind"), F.col("piece").alias("text"))
+    held = texts.select("accession", F.explode(all_parts).alias("part"), F.lit(0).alias("kind"), F.col("sequence").alias("text"))
     both = held.unionByName(asked).repartition("accession", "part").sortWithinPartitions("accession", "part", "kind")
     arrow = pa.schema([("piece", pa.string()), ("accession", pa.string()), ("known", pa.bool_()), ("length", pa.int64()), ("starts", pa.list_(pa.int32())), ("before", pa.string())])
 
