@@ -65,8 +65,8 @@ def _claims(table: str, rules: Sequence[Rule]) -> list[Column]:
     none = F.array().cast(_CLAIM)
 
     def said(r: int, of: Column, key: Sequence[Column], example: Column, role: int) -> Column:
-        # JSON keeps parts apart, and NULL from the text.
-        text = F.to_json(F.array(*[k.cast("string") for k in key]))
+        # JSON keeps parts apart, and NULL from the text; one part alone needs neither.
+        text = F.to_json(F.array(*[k.cast("string") for k in key])) if len(key) > 1 else key[0].cast("string")
         return F.struct(F.lit(r).alias("r"), of.cast("string").alias("t"), text.alias("key"), example.cast("string").alias("example"), F.lit(role).alias("role"))
 
     def values(column: str, scope: Sequence[Column], r: int, of: Column, role: int, nulls: bool = False) -> Column:
