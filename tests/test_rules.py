@@ -2,8 +2,11 @@
 
 import itertools
 import random
+import time
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -78,6 +81,34 @@ def test_occurrences_match_brute_force(spark):
     assert got == want
 
 
+def test_pieces_of_one_text_are_looked_up_together(spark):
+    """Lengths around a seed, long pieces, astral letters, repeated pairs and groups that cross Arrow batches."""
+    rng = random.Random(8)
+    texts = {f"T{i}": "".join(rng.choice("abé𝄞 ") for _ in range(rng.choice([0, 2, 3, 60, 400]))) for i in range(30)} | {"long": "ab" * 150 + "c" + "ab" * 80, "x": "none"}
+    asked = [(t[i:i + n], a) for a, t in texts.items() for n in (1, 2, 3, 4, 7, 95, 96, 97, 98, 99, 100, 130, 161) for i in range(0, max(0, len(t) - n + 1), 9)]
+    asked += [("ab" * 60 + "b", "long"), ("b" + "ab" * 79, "long"), ("zz", "x"), ("", "x"), (None, "x"), ("a", None)] * 2
+    rows = frame(spark, asked, "p string, a string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 13)
+    try:
+        found = pieces.find_pieces(rows, "p", "a", frame(spark, list(texts.items()), "accession string, sequence string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {(r["piece"], r["accession"]): (r["known"], r["length"], r["starts"], r["before"]) for r in found}
+    want = {}
+    for p, a in asked:
+        t = texts.get(a)
+        at = [i for i in range(len(t)) if t.startswith(p, i)] if t and p else []
+        want[p, a] = (True, len(t), [i + 1 for i in at], "".join(t[max(i - 1, 0)] for i in at)) if at else (t is not None, None, None, None)
+    assert got == want and len(found) == len(want)
+    # Work for each text is arrays, not a call for each piece.
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(30_000))
+    words = pa.array(text.split(" "))
+    size = np.full(len(words), 9)
+    begin = time.perf_counter()
+    n = sum(b.num_rows for b in pieces._places([pieces.Seeds(text)], words, pieces._points("".join(words.to_pylist())), np.cumsum(size) - size, size, "A"))
+    assert n == len(words) and time.perf_counter() - begin < 0.9
+
+
 def test_a_text_of_many_pieces_goes_to_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(pieces, "PIECES", 7)
     rows = [(f"{i:02d}", "A") for i in range(100)] + [("01", "B")]
