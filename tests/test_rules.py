@@ -5,7 +5,6 @@ import random
 import time
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import Window
@@ -79,6 +78,11 @@ def test_occurrences_match_brute_force(spark):
         places = {(i + 1, s[i - 1] if i else "", len(s)) for s in own for i in range(len(s)) if p and s.startswith(p, i)}
         want.update([(a, p, *x, None) for x in places] or [(a, p, None, None, None, "peptide_not_in_sequence" if own else "no_sequence")])
     assert got == want
+    told = {(r["accession"], r["piece"]): (r["n_places"], r["reason"]) for r in sites.count_places(frame(spark, named, "p string, s string, a string"), "p", "a", frame(spark, known, "accession string, sequence string")).collect()}
+    rows = Counter()
+    for a, p, start, *_, reason in got.elements():
+        rows[a, p, reason] += start is not None
+    assert told == {(a, p): (n, reason) for (a, p, reason), n in rows.items()}
 
 
 def test_pieces_of_one_text_are_looked_up_together(spark):
@@ -100,13 +104,16 @@ def test_pieces_of_one_text_are_looked_up_together(spark):
         at = [i for i in range(len(t)) if t.startswith(p, i)] if t and p else []
         want[p, a] = (True, len(t), [i + 1 for i in at], "".join(t[max(i - 1, 0)] for i in at)) if at else (t is not None, None, None, None)
     assert got == want and len(found) == len(want)
+    lists = rows.groupBy("a").agg(F.collect_list("p").alias("ps")).filter("a IS NOT NULL")
+    as_lists = pieces.find_pieces(lists.unionAll(lists), "ps", "a", frame(spark, list(texts.items()), "accession string, sequence string")).collect()
+    assert {(r["piece"], r["accession"]): (r["known"], r["length"], r["starts"], r["before"]) for r in as_lists} == {k: v for k, v in want.items() if None not in k}
+    assert len(as_lists) == sum(None not in k for k in want)
     # Work for each text is arrays, not a call for each piece.
     text = " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(30_000))
     words = pa.array(text.split(" "))
-    size = np.full(len(words), 9)
     begin = time.perf_counter()
-    n = sum(b.num_rows for b in pieces._places([pieces.Seeds(text)], words, pieces._points("".join(words.to_pylist())), np.cumsum(size) - size, size, "A"))
-    assert n == len(words) and time.perf_counter() - begin < 0.9
+    n = sum(len(held) for held, *_ in pieces.places([pieces.Seeds(text)], words.unique()))
+    assert n == len(set(text.split(" "))) and time.perf_counter() - begin < 0.9
 
 
 def test_a_text_of_many_pieces_goes_to_several_tasks(spark, monkeypatch):
