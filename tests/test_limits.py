@@ -62,3 +62,13 @@ def test_digests_name_every_input(spark, tmp_path):
     after = digests()
     assert set(before) == {"matches", "groups", "peaks"} and after["matches"] != before["matches"] and after["groups"] == before["groups"] and after["peaks"] == "x"
     assert spark.range(1).select(F.sha2(F.lit("2"), 256)).first()[0] == before["groups"]
+
+
+def test_documents_hold_every_finding(spark):
+    one = spark.createDataFrame([("D1",)], "dataset_id string")
+    findings = spark.createDataFrame([("D1", f"c{i % 3}", ["error", "info"][i % 2], f"m{i:04d}", "open") for i in range(1_500)] * 2, "dataset_id string, code string, severity string, message string, status string")
+    mods = spark.createDataFrame([("D1", f"n{i}", "U", 5) for i in range(1_200)], "dataset_id string, modification_name string, modification string, n_sites int")
+    values = spark.createDataFrame([("D1", f"v{i}", 1.0, "d") for i in range(1_100)], "dataset_id string, name string, value double, definition_id string")
+    got = figures.dataset_documents(one, one, one, findings, mods, values).collect()[0]
+    assert (len(got["findings"]), len(got["modifications"]), len(got["metrics"])) == (1_500, 1_200, 1_100)
+    assert [f["severity"] for f in got["findings"]] == ["error"] * 750 + ["info"] * 750 and {f["n"] for f in got["findings"]} == {2}

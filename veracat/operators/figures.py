@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracat.functions.rules import is_decoy
-from veracat.operators.ordering import first_rows, running_sum
+from veracat.operators.ordering import running_sum
 from veracat.operators.quality import union_all
 
 SHARED_TARGET = 10_000
@@ -119,33 +119,26 @@ def presence_join(presence: DataFrame, index: DataFrame, entity: str = "protein_
     return nested.join(index.select(entity, *attributes), entity).select(entity, *attributes, "datasets")
 
 
-def nested(rows: DataFrame, key: str, order: Sequence[str | Column], fields: Sequence[str], alias: str, n: int) -> DataFrame:
-    """(key, the first n rows as a list of structs, ``<alias>_more``: how many rows it leaves out)."""
-    first = first_rows(rows, [key], order, n, "_nth")
-    shown = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_nth", *fields))).alias(alias))
-    total = rows.groupBy(key).agg(F.count("*").alias("_total"))
-    listed = F.transform(alias, lambda x: x.dropFields("_nth")).alias(alias)
-    return shown.join(total, key).select(key, listed, (F.col("_total") - F.size(alias)).alias(f"{alias}_more"))
-
-
-#: Entries of a list inside a document.
-LISTED = 1_000
+def nested(rows: DataFrame, key: str, order: Sequence[Column], fields: Sequence[str], alias: str) -> DataFrame:
+    """(key, all its rows as a list of structs, in order)."""
+    listed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("_order"), *fields))).alias(alias))
+    return listed.select(key, F.transform(alias, lambda x: x.dropFields("_order")).alias(alias))
 
 
 def dataset_documents(overview: DataFrame, facts: DataFrame, snapshots: DataFrame, findings: DataFrame, modifications: DataFrame,
-                      metrics: DataFrame, dataset: str = "dataset_id", n: int = LISTED) -> DataFrame:
+                      metrics: DataFrame, dataset: str = "dataset_id") -> DataFrame:
     """One document per dataset: its counts, facts, snapshot, and nested open findings, modifications and metrics.
 
-    A list holds its first ``n`` distinct summary rows and, under ``<name>_more``, how many it leaves out; the rows
-    themselves stay in their tables.
+    A list holds every distinct summary row with how often it occurs, never evidence, so it is as long as a dataset has
+    different things to say.
     """
     open_findings = findings.filter("status = 'open'")
     distinct = open_findings.groupBy(dataset, "code", "severity", "message").agg(F.count("*").alias("n"))
-    told = nested(distinct, dataset, [severity_rank("severity"), "code", "message"], ["code", "severity", "message", "n"], "findings", n)
+    told = nested(distinct, dataset, [severity_rank("severity"), F.col("code"), F.col("message")], ["code", "severity", "message", "n"], "findings")
     names = ["modification_name", "modification", "n_sites"]
-    mods = nested(modifications.groupBy(dataset, *names).agg(F.count("*").alias("_n")), dataset, [F.col("n_sites").desc(), "modification_name", "modification"], names, "modifications", n)
+    mods = nested(modifications.select(dataset, *names).distinct(), dataset, [-F.col("n_sites"), F.col("modification_name"), F.col("modification")], names, "modifications")
     fields = ["name", "value", "definition_id"]
-    values = nested(metrics.select(dataset, *fields).distinct(), dataset, fields, fields, "metrics", n)
+    values = nested(metrics.select(dataset, *fields).distinct(), dataset, [F.col(f) for f in fields], fields, "metrics")
     out = overview
     for frame in (facts, snapshots, told, mods, values, findings_by_severity(open_findings, dataset)):
         out = out.join(frame, dataset, "left")
