@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from veracat.operators import export, figures, quant
+from veracat.operators import export, figures, quant, search
 from veracat.operators.notation import translate_notation
 from veracat.sources import files
 
@@ -72,3 +72,9 @@ def test_documents_hold_every_finding(spark):
     got = figures.dataset_documents(one, one, one, findings, mods, values).collect()[0]
     assert (len(got["findings"]), len(got["modifications"]), len(got["metrics"])) == (1_500, 1_200, 1_100)
     assert [f["severity"] for f in got["findings"]] == ["error"] * 750 + ["info"] * 750 and {f["n"] for f in got["findings"]} == {2}
+
+
+def test_a_sample_search_lists_every_value(spark):
+    samples = spark.createDataFrame([("D1", f"tissue {i % 90:02d}") for i in range(200)] + [("D1", None), ("D2", "tissue")], "dataset_id string, tissue string")
+    got = {r["dataset_id"]: r for r in search.search_sample(samples, samples.selectExpr("tissue AS name", "tissue AS value"), "Tissue", ["tissue"])[0].collect()}
+    assert got["D1"]["tissues"] == [f"tissue {i:02d}" for i in range(90)] and got["D1"]["n_samples"] == 200 and got["D2"]["tissues"] == ["tissue"]

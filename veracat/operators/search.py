@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracat.functions.rules import is_decoy
-from veracat.operators.ordering import first_rows
 from veracat.operators.quality import union_all
 
 ROW_CAP = 1_000
@@ -78,24 +77,12 @@ def search_modification(sites: DataFrame, declared: DataFrame, query: str, datas
             ranked_hits(told, [F.col("name"), F.col(dataset), F.col("usage")], limit))
 
 
-#: Values of a column that an answer shows.
-SHOWN = 50
-
-
 def search_sample(samples: DataFrame, characteristics: DataFrame, query: str, listed: Sequence[str], also: Sequence[str] = (),
-                  dataset: str = "dataset_id", limit: int | None = None, shown: int = SHOWN) -> tuple[DataFrame, DataFrame]:
-    """(datasets with the first ``shown`` distinct values of each listed column and, under ``<column>s_more``, how
-    many others they have; matching characteristics counted)."""
-    found = samples.filter(any_contains([*listed, *also], query))
-    out = found.groupBy(dataset).agg(F.count("*").alias("n_samples"))
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in listed]))
-    values = found.select(dataset, cells.alias("c")).select(dataset, "c.*").filter("value IS NOT NULL").distinct()
-    first = first_rows(values, [dataset, "column"], ["value"], shown)
-    per = first.groupBy(dataset).agg(*[F.array_sort(F.collect_list(F.when(F.col("column") == c, F.col("value")))).alias(f"{c}s") for c in listed])
-    counts = values.groupBy(dataset).agg(*[F.count_if(F.col("column") == c).alias(f"_{c}") for c in listed])
-    none = F.array().cast("array<string>")
-    lists = [F.coalesce(f"{c}s", none).alias(f"{c}s") for c in listed] + [F.greatest(F.coalesce(f"_{c}", F.lit(0)) - shown, F.lit(0)).alias(f"{c}s_more") for c in listed]
-    hits = out.join(per, dataset, "left").join(counts, dataset, "left").select(dataset, "n_samples", *lists)
+                  dataset: str = "dataset_id", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(datasets with the distinct values of each listed column, matching characteristics counted)."""
+    hits = samples.filter(any_contains([*listed, *also], query)).groupBy(dataset).agg(
+        F.count("*").alias("n_samples"), *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"{c}s") for c in listed]
+    )
     named = characteristics.filter(any_contains(["value", "name"], query)).groupBy("name", "value").agg(F.count("*").alias("n_samples"))
     return ranked_hits(hits, [F.col(dataset)], limit), ranked_hits(named, [F.col("n_samples").desc(), F.col("name"), F.col("value")], limit)
 
