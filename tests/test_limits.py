@@ -41,7 +41,7 @@ def test_a_shard_costs_no_process(spark, tmp_path):
     assert time.perf_counter() - begin < 20
     got = spark.read.option("basePath", f"{tmp_path}/many").schema("value string, shard string").text([f"{tmp_path}/many/{n}" for n in sorted(os.listdir(tmp_path / "many"))[-40:]])
     assert {tuple(r) for r in got.filter("value <> 'x'").select("shard", "value").collect()} == {("a/b=c %:[]^", "y"), ("é", "z")}
-    assert len(glob.glob(f"{tmp_path}/many/*/part.txt")) == 4_002 and not glob.glob(f"{tmp_path}/many/*/.*")
+    assert len(glob.glob(f"{tmp_path}/many/*/part-*.txt")) == 4_002 and not glob.glob(f"{tmp_path}/many/*/.*")
 
 
 def test_modification_lists_of_a_folder_keep_every_entry(spark, tmp_path):

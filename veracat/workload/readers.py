@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from veracat.functions.cells import map_key_suffixes
+from veracat.operators.export import write_texts
 from veracat.operators.identification import occurrence_rank
 from veracat.operators.snapshots import newest_row
 from veracat.schema import parse_columns
@@ -126,6 +127,12 @@ def read_json_map(t):
     return read.select(F.col("key").alias("file"), F.col("value.ms2").alias("ms2"), joined(map_key_suffixes("value.analyzer")).alias("modes"))
 
 
+def _one_file_each(rows, path):
+    """A file a supplier. Its work is files, not bytes, so the number of tasks is named."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    write_texts(rows.select(F.col("s_suppkey").cast("string"), "value").repartition(tasks, "s_suppkey"), "s_suppkey", path)
+
+
 def _annotation(t):
     """One annotation file per supplier: two header lines, the column line and the supplier."""
     n = F.col("s_nationkey").cast("string")
@@ -133,7 +140,7 @@ def _annotation(t):
     bad = F.when(F.col("s_nationkey") == 7, F.concat(line, F.lit("\textra"))).otherwise(line)
     docs = t.supplier.select("s_suppkey", F.concat(F.lit("#!fmt 1\n#!release r"), n, F.lit("\nname\tnation\tbalance\n"), bad).alias("value"))
     path = scratch_dir(t.spark, "annotation")
-    docs.write.partitionBy("s_suppkey").text(path)
+    _one_file_each(docs, path)
     return files.read_headered_annotation(t.spark, f"{path}/*", ["name", "nation", "balance"], "fmt", "1")
 
 
@@ -170,6 +177,6 @@ def discover_snapshots(t):
 @query("SELECT s_suppkey, sha256(s_name || ' ' || s_acctbal || chr(10)) AS sha256, CAST(strlen(s_name || ' ' || s_acctbal) + 1 AS BIGINT) AS size_bytes FROM supplier")
 def file_digests(t):
     path = scratch_dir(t.spark, "digests")
-    t.supplier.select("s_suppkey", F.concat_ws(" ", "s_name", F.col("s_acctbal").cast("string")).alias("value")).write.partitionBy("s_suppkey").text(path)
+    _one_file_each(t.supplier.select("s_suppkey", F.concat_ws(" ", "s_name", F.col("s_acctbal").cast("string")).alias("value")), path)
     key = F.regexp_extract("path", "s_suppkey=([0-9]+)", 1).cast("bigint")
     return files.file_digests(t.spark, f"{path}/*/*.txt").select(key.alias("s_suppkey"), "sha256", "size_bytes")
