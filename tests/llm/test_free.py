@@ -272,6 +272,44 @@ def test_fifty_common_words_hold_a_common_paragraph():
             assert held[0] & held[1]
 
 
+@pytest.mark.parametrize("n", [20, 27, 34])
+def test_passages_of_under_fifty_words(documents, n):
+    rows = [(1400 + 2 * k + i, f"{bare(1500 + 4 * k + i, 17 + 3 * k)} {bare(1600 + k, n)} {bare(1700 + 4 * k + i, 40 - k)}") for k in range(8) for i in (0, 1)]
+    got = {r["doc_id"]: r for r in paragraphs.per_document(paragraphs.repeats(documents(rows))).collect()}
+    assert set(got) == {d for d, _ in rows}
+    assert all(n <= r["n_repeated"] <= n + 2 and r["n_removed"] == d % 2 * r["n_repeated"] and r["first_docs"] == [d - 1] * (d % 2) for d, r in got.items())
+
+
+def test_windows_at_every_place_against_brute_force(documents, odd):
+    """Every 19 words in a row, of texts of few kinds of words and many borders too."""
+    import random
+
+    draw = random.Random(21)
+    passages = [bare(1800 + k, 60).split() for k in range(3)] + [["a", "b", "a"] * 20]
+    part = lambda: (lambda w, a: w[a:a + draw.randint(18, 40)])(draw.choice(passages), draw.randint(0, 25))
+    rows = [(2000 + i, " ".join([*bare(1900 + i, draw.randint(1, 9)).split(), *part(), *bare(1950 + i, draw.randint(0, 2)).split(), *part()])) for i in range(60)]
+    docs = clashing(odd.unionByName(documents(rows)))
+    kinds, texts = {}, {(r["doc_id"], r["text"] or "") for r in docs.collect()}
+    below = lambda d: (d[0] is not None, d[0] or 0)
+    for d in texts:
+        w = d[1].split()
+        for i in range(len(w) - 18):
+            kinds.setdefault(tuple(w[i:i + 19]), {}).setdefault(d, []).append(i)
+    want = {}
+    for held in kinds.values():
+        if len(held) > 1:
+            first = min(held, key=below)
+            for d, places in held.items():
+                want.setdefault(d[0], set()).update((j, first[0], d == first) for i in places for j in range(i, i + 19))
+    shared = paragraphs.shared_marks(docs, "doc_id", "text", 3, 19)
+    held = paragraphs.paragraphs(docs, "doc_id", "text", 3, 19, shared).where("seed IS NOT NULL")
+    found = paragraphs.equal_windows(docs, "doc_id", "text", held, 19, shared)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["doc_id"], set()).update((j, r["first_doc_id"], r["first"]) for j in range(r["start"], r["stop"]))
+    assert got == want and len(want) > 50
+
+
 def test_pipeline_against_brute_force(spark, sf):
     import corpus_pipeline
 
