@@ -90,3 +90,12 @@ def test_a_sample_search_lists_every_value(spark):
     samples = spark.createDataFrame([("D1", f"tissue {i % 90:02d}") for i in range(200)] + [("D1", None), ("D2", "tissue")], "dataset_id string, tissue string")
     got = {r["dataset_id"]: r for r in search.search_sample(samples, samples.selectExpr("tissue AS name", "tissue AS value"), "Tissue", ["tissue"])[0].collect()}
     assert got["D1"]["tissues"] == [f"tissue {i:02d}" for i in range(90)] and got["D1"]["n_samples"] == 200 and got["D2"]["tissues"] == ["tissue"]
+
+
+def test_shuffles_start_from_many_small_partitions(spark):
+    """What a task holds is bounded by a size that is named, not by the input over Spark's default of partitions."""
+    from veracat.session import configure
+
+    configure(spark)
+    conf = {k: spark.conf.get(f"spark.sql.adaptive.{k}", None) for k in ("coalescePartitions.initialPartitionNum", "advisoryPartitionSizeInBytes")}
+    assert conf == {"coalescePartitions.initialPartitionNum": "2000", "advisoryPartitionSizeInBytes": "16m"}

@@ -14,7 +14,7 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def settings(spark: SparkSession) -> SparkSession:
     """The library's settings, with Arrow batches small enough for rows that hold whole texts."""
-    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    configure(spark, {}).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark
 
 
