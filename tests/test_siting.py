@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from veracat.operators import sites
 from veracat.workload import REGISTRY
 
 LETTERS = "a a a b b n an ana nan tion station \\E . (x banana".split(" ")
@@ -71,3 +72,18 @@ def test_every_line_states_a_segment(spark, sf):
     got = REGISTRY["assign_segments"][0](spark, sf).select("g", "part", "segment", "accession")
     assert Counter(map(tuple, got.collect())) == want
     assert several[True, True] and several[True, False]
+
+
+def test_segments_are_assigned_without_a_row_for_each_member_and_question(spark, tmp_path):
+    """A group of 400 members and 400 questions: entries and members are dealt by group, nothing by what is asked of whom."""
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    seqs = spark.createDataFrame([(f"P{i}", "".join(letters[(i * 7 + k * (i % 19 + 1)) % 20] for k in range(400))) for i in range(400)], "accession string, sequence string")
+    members = spark.createDataFrame([("g", i, f"P{i}") for i in range(400)], "g string, member int, accession string")
+    own = seqs.selectExpr("'g' AS g", "0 AS c", "int(substr(accession, 2)) AS segment", "sequence")
+    entries = own.selectExpr("g", "c", "segment", "explode(sequence(bigint(1), 400, 7)) AS position", "sequence").selectExpr("g", "c", "segment", "position", "concat('Mark on ', substr(sequence, int(position), 1)) AS modification")
+    # Beyond any sequence, before it, nowhere, and at its end.
+    odd = spark.createDataFrame([("g", 1 + i, 0, p, "Mark on A") for i, p in enumerate((10**17, -3, None, 401))], "g string, c int, segment int, position bigint, modification string")
+    got = sites.assign_segments(entries.unionByName(odd), ["c"], "g", members, seqs)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 4
+    rows = {(r["c"], r["segment"]): r["accession"] for r in got.collect()}
+    assert len(rows) == 404 and all(rows[0, i] == f"P{i}" for i in range(400)) and all(rows[c, 0] is None for c in range(1, 5))
