@@ -212,6 +212,19 @@ def test_ranks_and_running_sums_over_ranges(spark):
     assert ident.occurrence_rank(df.limit(0), ["k"], "o").count() == 0
 
 
+def test_ranks_of_large_and_small_keys(spark):
+    """Keys above the size go by ranges without a window over their rows, the others by one window; NULL is a key of either kind."""
+    o = ((F.col("id") * 7919) % 5000).alias("o")
+    for k in (F.when(F.col("id") % 3 > 0, F.col("id") % 40), F.when(F.col("id") % 3 == 0, F.lit(7))):
+        df = spark.range(5000).select(F.when(k.isNull() | (k > 30), k).otherwise(F.col("id")).alias("k"), F.lit("a").alias("j"), o)
+        want = df.withColumn("r", F.row_number().over(Window.partitionBy("k", "j").orderBy("o")).cast("bigint"))
+        for many in (0, 60, 5000):
+            got = ordering.ranked(df, ["k", "j"], ["o"], "r", many)
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plan = ordering.ranked(df, [], ["o"], "r")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "Window [sum(_value" not in plan
+
+
 def test_one_key_of_a_million_rows_is_ranked_by_all_tasks(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

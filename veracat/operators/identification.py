@@ -21,7 +21,7 @@ from veracat.operators.quality import union_all
 
 def occurrence_rank(df: DataFrame, keys: Sequence[str], order: str | Column, name: str = "rank") -> DataFrame:
     """The nth row of a key in order. A key that holds a third of the table, or all of it, is ranked by as many tasks
-    as it has ranges; see ``ordering.running_sum``."""
+    as it has ranges; see ``ordering.ranked``."""
     return ranked(df, keys, [order], name)
 
 

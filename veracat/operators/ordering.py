@@ -35,9 +35,44 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return summed.select(*df.columns, (F.coalesce("_inside", F.lit(0)) + F.coalesce("_lift", F.lit(0))).alias(name))
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rank") -> DataFrame:
-    """The place of each row among the rows of its key, from 1. Rows that tie get different places."""
-    return running_sum(df, keys, [col(o) if isinstance(o, str) else o for o in order], F.lit(1).cast("bigint"), name)
+#: A key of more rows than this is ranked by ranges; the rows of any other key are one group of a window.
+MANY = 100_000
+
+
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rank", many: int = MANY) -> DataFrame:
+    """The place of each row among the rows of its key, from 1; NULL keys are one key. Rows that tie get different places.
+
+    The rows of a key are counted first. Keys of up to ``many`` rows are ranked by a window, in one shuffle. The others,
+    few by their size, are dealt by ranges, see ``_ranked_by_ranges``. ``df`` is read for the count and for each of the
+    two kinds that it holds.
+    """
+    order = [col(o) if isinstance(o, str) else o for o in order]
+    if not keys:
+        return _ranked_by_ranges(df, keys, order, name)
+    counted = df.groupBy(F.struct(F.lit(0), *keys).alias("_key")).agg(F.count("*").alias("_n"))
+    # A row for each large key, and one without a key for all others.
+    sizes = materialise(counted.groupBy(F.when(F.col("_n") > many, F.col("_key")).alias("_key")).agg(F.sum("_n").alias("_n")), "sizes")
+    large, small = sizes.agg(F.bool_or(F.col("_key").isNotNull()), F.bool_or(F.col("_key").isNull())).first()
+    by_key = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    if not large:
+        return df.select("*", by_key.alias(name))
+    keyed, theirs = df.withColumn("_key", F.struct(F.lit(0), *keys)), F.broadcast(sizes.filter("_key IS NOT NULL").select("_key"))
+    out = _ranked_by_ranges(keyed.join(theirs, "_key", "left_semi").select(*df.columns) if small else df, keys, order, name)
+    if not small:
+        return out
+    return out.unionByName(keyed.join(theirs, "_key", "left_anti").select(*df.columns, by_key.alias(name)))
+
+
+def _ranked_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Rows are dealt by ranges of the key and the order and written in order, with their number in the task. A row's
+    place is how far it lies behind its key's first row in its range, and the rows of the key in the ranges before. Keys
+    and ranges have one small row each where they meet, which every task is sent; no window holds the rows themselves."""
+    dealt = df.withColumn("_key", F.struct(F.lit(0), *keys)).repartitionByRange("_key", *order).sortWithinPartitions("_key", *order)
+    placed = materialise(dealt.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranges")
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = placed.groupBy("_key", "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    lifted = firsts.select("_key", "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_lift"))
+    return placed.join(F.broadcast(lifted), ["_key", "_range"]).select(*df.columns, (F.col("_at") + F.col("_lift")).alias(name))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, name: str = "_nth") -> DataFrame:
