@@ -240,6 +240,25 @@ def test_one_key_of_a_million_rows_is_ranked_by_all_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_entries_of_a_name_are_reduced_before_they_meet_names(spark):
+    draw = random.Random(4)
+    entries = [(draw.choice("hHk"), draw.sample(["A", "C", None, "Z"], draw.randint(0, 3)), draw.choice([None, i]), float(i), i) for i in range(300)]
+    names = [(n, r) for n in ("h", "K on A", "h on c", "k on Q", "none on A") for r in ("A", "c", "Z", None)]
+    reg = frame(spark, entries, "name string, targets array<string>, unimod int, mass double, entry_order int")
+    want = {}
+    for n, r in names:
+        stem, _, tail = n.partition(" on ")
+        for tier, key, target in ((0, n.lower(), r), (1, stem.lower() if tail else None, r or n.split(" on ")[-1][:1].upper())):
+            for name, targets, unimod, mass, o in entries:
+                if key is not None and name.lower() == key:
+                    rank = 0 if target is not None and target.upper() in targets else 1 if unimod is not None else 2
+                    want[n, r] = min(want.get((n, r), ((9,), None, None)), ((tier, rank, o), unimod, mass), key=lambda x: x[0])
+    found = lookup_with_preference(frame(spark, names, "name string, residue string"), reg)
+    assert {(r["name"], r["residue"]): (r["unimod"], r["mass"]) for r in found.collect()} == {k: v[1:] for k, v in want.items()} and len(want) == 16
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" in plan[plan.index("Join"):]
+
+
 def test_acceptance_is_three_valued(spark):
     rows = frame(spark, [("target", 0.01, None, None), ("target", 0.01, 0.02, None), ("target", 0.0, 0.0, True), (None, 0.0, None, False), ("decoy", 0.0, None, False), ("contaminant", 0.01, None, False)],
                  "label string, q double, q2 double, amb boolean")

@@ -67,14 +67,17 @@ def lookup_with_preference(names: DataFrame, registry: DataFrame) -> DataFrame:
         ),
     )
     candidates = names.select("name", "residue").distinct().select("name", "residue", F.explode(tries).alias("t"))
-    entries = registry.select(F.lower("name").alias("key"), "targets", "unimod", "mass", "entry_order")
-    rank = (
-        F.when(F.array_contains("targets", F.upper("t.target")), 0).when(F.col("unimod").isNotNull(), 1).otherwise(2)
-    )
+    # What a name can find of a key is reduced first: its best entry for each residue, and its best entry for any other.
+    # The entries are dealt by their order, so that a key with many of them is reduced by many tasks.
+    entries = registry.select(F.lower("name").alias("key"), "targets", F.struct("unimod", "mass").alias("e"), "entry_order").repartition("entry_order")
+    any_order = F.struct(F.when(F.col("e.unimod").isNotNull(), 1).otherwise(2).alias("rank"), "entry_order")
+    for_any = entries.select("key", F.lit(None).cast("string").alias("for"), "e", any_order.alias("at"))
+    for_one = entries.select("key", F.explode("targets").alias("for"), "e", F.struct(F.lit(0).alias("rank"), "entry_order").alias("at")).filter("`for` IS NOT NULL")
+    reduced = for_any.unionByName(for_one).groupBy("key", "for").agg(F.min_by("e", "at").alias("e"), F.min("at").alias("at"))
     best = (
-        candidates.join(entries, F.col("t.key") == F.col("key"))
+        candidates.join(reduced, (F.col("t.key") == F.col("key")) & (F.col("for").isNull() | (F.col("for") == F.upper("t.target"))))
         .groupBy("name", "residue")
-        .agg(F.min_by(F.struct("unimod", "mass"), F.struct(F.col("t.tier"), rank.alias("rank"), "entry_order")).alias("e"))
+        .agg(F.min_by("e", F.struct(F.col("t.tier"), F.col("at"))).alias("e"))
         .select("name", "residue", F.col("e.unimod").alias("unimod"), F.col("e.mass").alias("mass"), F.lit(True).alias("found"))
     )
     return best
