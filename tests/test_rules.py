@@ -259,6 +259,18 @@ def test_entries_of_a_name_are_reduced_before_they_meet_names(spark):
     assert "min_by" in plan[plan.index("Join"):]
 
 
+def test_lines_are_reduced_to_notations_before_they_meet_forms(spark):
+    columns = {r: [r] for r in ("full_sequence", "accession", "q_value", "q_value_notch", "pep", "label")}
+    lines = frame(spark, [(3, "A", "P3", "0.3", "D"), (2, "A", "P2", "0.4", "C"), (1, "B", "P1", "0.5", "D"), (4, "B", "P4", "0.1", "D"), (5, "X", "P5", "0.2", "D"), (6, "C", "P6", "0.6", "T"), (7, "C", "P7", "0.7", "D")],
+                  "row_order int, full_sequence string, accession string, q_value string, label string")
+    forms = frame(spark, [("A", "ab", "s"), ("B", "ab", "s"), ("C", "c", "t"), ("X", "", "u")], "notation string, proforma string, base_sequence string")
+    out = ident.form_rows(lines, columns, "D", forms, frame(spark, [("ab", 4)], "peptidoform string, n_psms bigint"), frame(spark, [("D:P1",)], "protein_group_id string"))
+    got = {r["peptidoform"]: (r["best_q_value"], r["target_decoy"], r["n_psms"], r["protein_group_id"], r["protein_accessions"], r["engine_full_sequences"]) for r in out.collect()}
+    assert got == {"ab": (0.1, "decoy", 4, "D:P1", ["P1"], ["A", "B"]), "c": (0.6, "target", 0, None, ["P6"], ["C"])}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min_by(protein_accessions") > 1
+
+
 def test_acceptance_is_three_valued(spark):
     rows = frame(spark, [("target", 0.01, None, None), ("target", 0.01, 0.02, None), ("target", 0.0, 0.0, True), (None, 0.0, None, False), ("decoy", 0.0, None, False), ("contaminant", 0.01, None, False)],
                  "label string, q double, q2 double, amb boolean")

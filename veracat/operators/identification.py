@@ -291,9 +291,13 @@ def form_rows(peptides: DataFrame, columns: Mapping[str, Sequence[str]], dataset
         split_list(get("accession")).alias("protein_accessions"), lenient_float(get("q_value")).alias("_q"),
         lenient_float(get("q_value_notch")).alias("_qn"), lenient_float(get("pep")).alias("_pep"),
         worst_label(get("label")).alias("target_decoy"),
-    ).join(forms.select("notation", "proforma", "base_sequence"), "notation").filter("proforma <> ''")
+    )
+    # Lines are reduced to their notations before the join: one that much of the file holds is a row of each task.
+    minimums = {c: c for c in ("_o", "_q", "_qn", "_pep")}
+    per_notation = best_per_key(typed, ["notation"], "_o", minimums, label="target_decoy", first=["protein_accessions"])
+    known = per_notation.join(forms.select("notation", "proforma", "base_sequence"), "notation").filter("proforma <> ''")
     best = best_per_key(
-        typed, ["proforma"], "_o", {"best_q_value": "_q", "best_q_value_notch": "_qn", "best_pep": "_pep"},
+        known, ["proforma"], "_o", {"best_q_value": "_q", "best_q_value_notch": "_qn", "best_pep": "_pep"},
         {"engine_full_sequences": "notation"}, "target_decoy", ["base_sequence", "protein_accessions"],
     ).withColumnRenamed("proforma", "peptidoform")
     linked = link_to_existing_group(best, "protein_accessions", groups, "protein_group_id", dataset)

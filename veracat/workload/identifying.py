@@ -270,7 +270,8 @@ arg_min('P' || l_partkey || ',P' || (l_partkey % 97), (l_orderkey, l_linenumber,
 def form_rows(t):
     rows = match_lines(t)
     forms = translate_notation(rows, "full_sequence", registry(t))
-    counts = rows.join(forms, rows["full_sequence"] == forms["notation"]).groupBy(F.col("proforma").alias("peptidoform")).agg(F.count("*").alias("n_psms"))
+    held = rows.groupBy(F.col("full_sequence").alias("notation")).agg(F.count("*").alias("n"))
+    counts = held.join(forms, "notation").groupBy(F.col("proforma").alias("peptidoform")).agg(F.sum("n").alias("n_psms"))
     groups = t.part.select(text("X:P", "p_partkey").alias("protein_group_id"))
     out = ident.form_rows(rows, MATCH_COLUMNS, "X", forms, counts, groups)
     return out.select("peptidoform_id", "best_q_value", "best_q_value_notch", "target_decoy", "n_psms", joined("protein_accessions").alias("protein_accessions"))
