@@ -50,6 +50,26 @@ def test_modification_lists_of_a_folder_keep_every_entry(spark, tmp_path):
     assert {r["name"] for r in files.read_modification_list(spark, [str(tmp_path)]).collect()} == {"A0", "A1", "B0", "B1"}
 
 
+def test_protein_xml_is_read_by_many_tasks(spark, tmp_path):
+    head = '<?xml version="1.0"?>\n<!-- <entry><accession>no</accession> -->\n<uniprot xmlns="http://uniprot.org/uniprot"><entry/><entry a="b"/>\n'
+    entry = '<entry dataset="x"\n a=">"><accession> P{0} </accession><accession>Q</accession><comment><sequence>NO</sequence></comment><!-- c --><sequence length="3">ac\n d&amp;{1}</sequence></entry>\n'
+    rows = [(f"P{i}", "ACD&" + "K" * (i % 90)) for i in range(3_000)]
+    body = "".join(entry.format(k[1:], v[4:].lower()) for k, v in rows)
+    tail = '<entry><accession>none</accession></entry><entry><accession>é</accession><sequence><![CDATA[é<e]]></sequence></entry><entryset/></uniprot>'
+    (tmp_path / "a.xml").write_text(head + body + tail, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = files.read_protein_xml(spark, f"{tmp_path}/a.xml")
+        assert got.rdd.getNumPartitions() > 20
+        assert sorted(map(tuple, got.collect())) == sorted([*rows, ("é", "É<E")])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32m")
+    # An end of an entry that is none.
+    (tmp_path / "b.xml").write_text("<u><entry><accession>A</accession><!-- </entry> --><sequence>K</sequence></entry></u>")
+    want = spark.read.format("xml").option("rowTag", "entry").schema("accession array<string>, sequence string").load(f"{tmp_path}/b.xml").selectExpr("accession[0]", "sequence").filter("accession[0] IS NOT NULL AND sequence IS NOT NULL").collect()
+    assert list(map(tuple, files.read_protein_xml(spark, f"{tmp_path}/b.xml").collect())) == list(map(tuple, want))
+
+
 def test_counts_are_added_as_whole_numbers(spark):
     big = spark.createDataFrame([("a", 2**53), ("b", 1)], "dataset_id string, n bigint")
     row = figures.headline_sums(big, {"total": "n"}, big, "n").first()

@@ -118,8 +118,19 @@ _ENTRY = T.StructType([
 
 
 def read_protein_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(accession, sequence) per ``<entry>``: its first accession and its direct sequence child."""
-    entries = spark.read.format("xml").option("rowTag", "entry").schema(_ENTRY).load(path)
+    """(accession, sequence) per ``<entry>``: its first accession and its direct sequence child.
+
+    Spark reads an XML file in one task. Here it is text that ends a record at ``</entry>``, which any number of tasks
+    read, and an entry is parsed by itself. Where a comment or a quoted section holds an end of an entry, Spark's reader
+    is taken.
+    """
+    pieces = read_lines(spark, path, line_sep="</entry>").select(F.regexp_replace("value", r"(?s)<!--.*?-->", "").alias("value"))
+    unquoted = F.regexp_replace("value", r"(?s)<!\[CDATA\[.*?\]\]>", "")
+    if pieces.filter(F.contains(unquoted, F.lit("<!--")) | F.contains(unquoted, F.lit("<![CDATA["))).isEmpty():
+        entry = F.nullif(F.regexp_extract("value", r"(?s)<entry(?:\s(?:[^>]*[^>/])?)?>.*", 0), F.lit(""))
+        entries = pieces.select(F.from_xml(F.concat(entry, F.lit("</entry>")), _ENTRY.simpleString(), {"rowTag": "entry"}).alias("e")).select("e.*")
+    else:
+        entries = spark.read.format("xml").option("rowTag", "entry").schema(_ENTRY).load(path)
     return entries.select(
         strip(F.get("accession", F.lit(0))).alias("accession"),
         F.upper(F.regexp_replace("sequence", r"\s+", "")).alias("sequence"),
