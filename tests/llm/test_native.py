@@ -106,6 +106,23 @@ def test_line_dedup_of_odd_rows_and_runs(documents, odd, none):
     assert lines.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_leaves_texts_where_they_lie(documents, monkeypatch):
+    """Rows of several tasks and blocks; only what is told about a block goes to its texts."""
+    monkeypatch.setattr(lines, "BLOCK", 2)
+    docs = documents([(i, "\n".join(prose(k % 11, 6) for k in range(i, i + i % 4))) for i in range(50)]).repartition(3)
+    conf, name = docs.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    first = conf.get(name, None)
+    conf.unset(name)
+    try:
+        got = lines.dedup_lines(docs)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+    finally:
+        if first is not None:
+            conf.set(name, first)
+    assert by_spark(got.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))) == by_sql(lines.SQL, docs)
+
+
 def test_suffix_order_and_shared_prefixes(documents):
     import random
 

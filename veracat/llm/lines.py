@@ -6,12 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracat.llm.common import light, running_sum, whole
-from veracat.session import discard, materialise
+from veracat.session import discard, materialise, materialise_in_buckets
 
 #: Lines of a run that counts as repeated, at least: a line that stands alone between others is a run too.
 LEAST = 1
 
 
+#: Rows of a task that follow one another and are one block, as a power of two.
+BLOCK = 13
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows, written once, with ``doc``, a number for each that counts on inside a task, and ``block``, that number
+    less its last ``BLOCK`` bits. The rows of a block lie in one bucket."""
+    # As many as a shuffle's partitions: fewer would have Spark move the rows after all.
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = rows.withColumn("doc", F.monotonically_increasing_id())
+    return materialise_in_buckets(known.withColumn("block", F.shiftright("doc", BLOCK)), "rows", "block", buckets)
+
+
 def line_table(rows: DataFrame) -> DataFrame:
     """(doc, doc_id, size, place, line, h, h2): the lines of every row that hold a word, numbered from 0 to ``size``.
 
@@ -125,9 +138,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     of each other, and all but one of them lose their runs. A text of any length is taken whole. An empty table gives
     no rows; other columns are ignored.
 
-    The ids and texts are written once, with a number for each row, which later steps refer to.
+    The ids and texts are written once, with a number for each row, which later steps refer to. The texts stay where
+    they are written: what is told about the rows of a block is one row, which goes to them.
     """
-    rows = materialise(docs.select(F.monotonically_increasing_id().alias("doc"), F.col(doc_id).alias("doc_id"), whole(text).alias("text")), "rows")
+    rows = numbered(docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text")))
     lines = line_table(rows)
     marked = repeated_runs(lines, least)
     n_lines = lines.groupBy("doc").agg(F.max("size").cast("bigint").alias("n_lines"))
@@ -135,10 +149,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     # A flag for every line up to the last one that goes: the gaps between those, each followed by one.
     gap = lambda c, i: c - F.coalesce(F.get("cut", i - 1), F.lit(-1)) - 1
     flags = F.flatten(F.transform("cut", lambda c, i: F.concat(F.array_repeat(F.lit(False), gap(c, i)), F.array(F.lit(True)))))
-    told = materialise(n_lines.join(cut.select("doc", F.size("cut").cast("bigint").alias("n_removed"), flags.alias("flags")), "doc", "left").withColumnRenamed("doc", "d"), "told")
+    told = n_lines.join(cut.select("doc", F.size("cut").cast("bigint").alias("n_removed"), flags.alias("flags")), "doc", "left")
+    # Rows of a block are numbered from 0 without a gap, so a row finds its own by its number.
+    every = rows.select("doc").join(told, "doc", "left").select(F.shiftright("doc", BLOCK).alias("of"), F.struct("doc", "n_lines", "n_removed", "flags").alias("x"))
+    per_block = materialise(every.groupBy("of").agg(F.array_sort(F.collect_list("x")).alias("told")), "told").hint("shuffle_hash")
+    own = F.get("told", F.col("doc").bitwiseAND((1 << BLOCK) - 1).cast("int"))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.get("flags", i), F.lit(False))), "\n")
     zero = F.lit(0).cast("bigint")
-    out = rows.join(told, F.col("doc") == F.col("d"), "left")
+    out = rows.join(per_block, F.col("block") == F.col("of"), "left").select("doc_id", "text", own["n_lines"].alias("n_lines"), own["n_removed"].alias("n_removed"), own["flags"].alias("flags"))
     return out.select("doc_id", F.when(F.col("flags").isNotNull(), left).otherwise(F.col("text")).alias("text"), F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"))
 
 
