@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import time
 from collections import Counter
 
@@ -449,3 +450,19 @@ def test_delivery_extension_is_not_sniffed(spark, tmp_path):
     assert values(files.read_delivery(spark, str(tmp_path / "d.csv"), schema), "a", "l") == [("1", ["x", "y"])]
     with pytest.raises(ValueError):
         files.read_delivery(spark, str(tmp_path / "d.txt"), schema)
+
+
+def test_keys_are_hashed_and_examples_read_off_the_bad_ones(spark):
+    rows = spark.createDataFrame([("d", 1, None, "b", ["x", "y"]), ("d", 1, None, "a", ["z", None]), ("d", 2, "k", "c", None)], "s string, n int, m string, other string, refs array<string>")
+    targets = spark.createDataFrame([("d", "x"), ("e", "y")], "s string, id string")
+    rules = [
+        quality.unique_rule("rows", ["n"], ["s"]), quality.nullsafe_rule("rows", ["m", "n"], "n"), quality.nullsafe_rule("rows", ["n", "s"], "other"),
+        quality.reference_rule("rows", "refs[]", "targets", "id", ["s"]), quality.typed_rule("rows", "other", "m", {"c": ("targets", "id"), "a": ("targets", "id")}, []),
+    ]
+    got = [tuple(r) for r in quality.checked({"rows": rows, "targets": targets}, rules).select("name", "ok", "observed", "detail").collect()]
+    assert Counter(got) == Counter([
+        ("rows.n", False, 1, "e.g. 1"), ("rows (m, n)", False, 1, "e.g. 1"), ("rows (n, s)", False, 1, "e.g. a"), ("rows.refs[] -> targets.id", False, 2, "e.g. y"),
+        ("rows.m -> targets.id", False, 1, "e.g. k"), ("rows.m -> targets.id", False, 1, None), ("rows.other b", False, None, "names no table"),
+    ])
+    plan = quality.checked({"rows": rows, "targets": targets}, rules[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[r#" in plan and not re.search(r"SortAggregate\(key=\[r#\d+, t#\d+, key#", plan)

@@ -57,52 +57,74 @@ def typed_rule(table: str, type_column: str, id_column: str, targets: Mapping[st
     return Rule(f"{table}.{type_column} ", "reference", table, (id_column,), tuple(scope), targets=tuple((k, t, c) for k, (t, c) in targets.items()), type_column=type_column)
 
 
-_CLAIM = "array<struct<r:int,t:string,key:string,example:string,role:int>>"
+_CLAIM = "struct<r:int,t:string,key:array<string>,example:string,role:int>"
 
 
-def _claims(table: str, rules: Sequence[Rule]) -> list[Column]:
-    """What a row of the table says under each rule: that it holds a key (role 0), refers to one (1) or offers one (2)."""
-    none = F.array().cast(_CLAIM)
+def _claims(table: str, rules: Sequence[Rule]) -> Column | None:
+    """What a row of the table says under all rules, as a list: that it holds a key (role 0), refers to one (1) or offers
+    one (2). NULL entries say nothing. An example that is a part of its key is not named again."""
 
-    def said(r: int, of: Column, key: Sequence[Column], example: Column, role: int) -> Column:
-        # JSON keeps parts apart, and NULL from the text; one part alone needs neither.
-        text = F.to_json(F.array(*[k.cast("string") for k in key])) if len(key) > 1 else key[0].cast("string")
-        return F.struct(F.lit(r).alias("r"), of.cast("string").alias("t"), text.alias("key"), example.cast("string").alias("example"), F.lit(role).alias("role"))
+    def said(r: int, of: Column, key: Sequence[Column], role: int, example: Column = F.lit(None)) -> Column:
+        return F.struct(F.lit(r).alias("r"), of.cast("string").alias("t"), F.array(*[k.cast("string") for k in key]).alias("key"), example.cast("string").alias("example"), F.lit(role).alias("role")).cast(_CLAIM)
 
-    def values(column: str, scope: Sequence[Column], r: int, of: Column, role: int, nulls: bool = False) -> Column:
-        listed = F.col(column.removesuffix("[]")) if column.endswith("[]") else F.array(F.col(column))
-        kept = listed if nulls else F.filter(listed, lambda v: v.isNotNull())
-        return F.transform(kept, lambda v: said(r, of, [*scope, v], v, role))
+    one, several = [], []
+
+    def add(column: str, scope: Sequence[Column], r: int, of: Column, role: int, nulls: Column = F.lit(False)) -> None:
+        if column.endswith("[]"):
+            listed = F.filter(F.col(column.removesuffix("[]")), lambda v: nulls | v.isNotNull())
+            several.append(F.coalesce(F.transform(listed, lambda v: said(r, of, [*scope, v], role)), F.array().cast(f"array<{_CLAIM}>")))
+        else:
+            one.append(F.when(nulls | F.col(column).isNotNull(), said(r, of, [*scope, F.col(column)], role)))
 
-    out = []
     for i, rule in enumerate(rules):
         scope = [F.col(c) for c in rule.scope]
         if rule.table == table:
             if not rule.targets:
                 cols = [F.col(c) for c in rule.columns]
                 held = F.lit(True) if rule.nulls else reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
-                out.append(F.when(held, F.array(said(i, F.lit(None), [*scope, *cols], F.col(rule.example or rule.columns[0]), 0))).otherwise(none))
+                one.append(F.when(held, said(i, F.lit(None), [*scope, *cols], 0, F.lit(None) if _part(rule) is not None else F.col(rule.example))))
             elif rule.type_column:
-                out.append(F.when(F.col(rule.type_column).isNotNull(), values(rule.columns[0], scope, i, F.col(rule.type_column), 1, True)).otherwise(none))
+                typed = F.col(rule.type_column)
+                if rule.columns[0].endswith("[]"):
+                    add(rule.columns[0], scope, i, F.when(typed.isNotNull(), typed), 1, F.lit(True))
+                    several[-1] = F.when(typed.isNotNull(), several[-1]).otherwise(F.array().cast(f"array<{_CLAIM}>"))
+                else:
+                    one.append(F.when(typed.isNotNull(), said(i, typed, [*scope, F.col(rule.columns[0])], 1)))
             else:
-                out.append(F.coalesce(values(rule.columns[0], scope, i, F.lit(None), 1), none))
-        out += [F.coalesce(values(c, scope, i, F.lit(of), 2), none) for of, target, c in rule.targets if target == table]
-    return [c.cast(_CLAIM) for c in out]
+                add(rule.columns[0], scope, i, F.lit(None), 1)
+        for of, target, c in rule.targets:
+            if target == table:
+                add(c, scope, i, F.lit(of), 2)
+    if not one and not several:
+        return None
+    return F.concat(F.array(*one), *several) if one and several else F.array(*one) if one else F.concat(*several)
+
+
+def _part(rule: Rule) -> int | None:
+    """The part of the rule's key that is its example; None where the example is no part of the key."""
+    name = rule.example or rule.columns[0]
+    return len(rule.scope) + rule.columns.index(name) if name in rule.columns else None
 
 
 def checked(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One check row for each rule, and for a typed reference one for each type that occurs.
 
     Every table is read once, however many rules name it: a row says all it has to say under all rules, and one
-    aggregate, which combines in every task first, tells the keys held twice and the references without a parent.
+    aggregate, which combines in every task first, tells the keys held twice and the references without a parent. It
+    adds up numbers alone, so Spark hashes keys and sorts none; examples are read off the bad keys.
     """
     spark = next(iter(tables.values())).sparkSession
-    said = [df.select(F.explode(F.concat(*claims)).alias("c")).select("c.*") for name, df in tables.items() if (claims := _claims(name, rules))]
+    said = [df.select(F.explode(claims).alias("c")).filter("c IS NOT NULL").select("c.*") for name, df in tables.items() if (claims := _claims(name, rules)) is not None]
     role = F.col("role")
+    elsewhere = [F.min("example").alias("example")] if any(not x.targets and _part(x) is None for x in rules) else []
     keys = union_all(said).groupBy("r", "t", "key").agg(
-        F.count_if(role == 0).alias("held"), F.max(role == 1).alias("asked"), F.max(role == 2).alias("offered"), F.min(F.when(role < 2, F.col("example"))).alias("example"))
+        F.count_if(role == 0).alias("held"), F.max(role == 1).alias("asked"), F.max(role == 2).alias("offered"), *elsewhere)
     bad = (F.col("held") > 1) | (F.col("asked") & ~F.col("offered"))
-    found = keys.groupBy("r", "t").agg(F.count_if(bad).alias("observed"), F.min(F.when(bad, F.col("example"))).alias("example"), F.max("asked").alias("asked"))
+    example = F.get("key", F.get(F.array(*[F.lit(_part(x)).cast("int") for x in rules]), F.col("r")))
+    example = F.when(bad, F.coalesce(example, "example") if elsewhere else example)
+    # Keys that are not bad are one row of a rule and type here, so only examples are compared as texts.
+    told = keys.groupBy("r", "t", example.alias("example")).agg(F.count_if(bad).alias("observed"), F.max("asked").alias("asked"))
+    found = told.groupBy("r", "t").agg(F.sum("observed").alias("observed"), F.min("example").alias("example"), F.max("asked").alias("asked"))
     # As short as the rules.
     named = spark.createDataFrame([(i, x.name, x.kind, x.type_column is not None) for i, x in enumerate(rules)], "r int, name string, kind string, typed boolean")
     targets = [(i, of, f"{x.table}.{x.columns[0]} -> {t}.{c}") for i, x in enumerate(rules) if x.type_column for of, t, c in x.targets]
