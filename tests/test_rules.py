@@ -466,3 +466,23 @@ def test_keys_are_hashed_and_examples_read_off_the_bad_ones(spark):
     ])
     plan = quality.checked({"rows": rows, "targets": targets}, rules[:2])._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[r#" in plan and not re.search(r"SortAggregate\(key=\[r#\d+, t#\d+, key#", plan)
+
+
+def test_rows_are_not_shuffled_to_meet_a_few_names(spark):
+    rows = spark.range(3_000_000).select(F.concat(F.lit("run"), (F.col("id") % 3).cast("string"), F.lit("-calib")).alias("file"), F.lit("x" * 50).alias("more"))
+    known = spark.createDataFrame([("run0",), ("run1",)], "name string")
+    got = ident.resolve_names(rows, "file", known, "name")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(file" not in plan
+    assert {tuple(r) for r in got.select("file", "resolved").distinct().collect()} == {("run0-calib", "run0"), ("run1-calib", "run1"), ("run2-calib", None)}
+
+
+def test_keys_are_not_counted_where_no_group_of_keys_is_large(spark, monkeypatch):
+    rows = spark.range(20_000).select((F.col("id") % 7_000).alias("k"), F.when(F.col("id") % 2 == 0, F.lit("a")).alias("j"), F.col("id").alias("o"))
+
+    def never(*a):
+        raise AssertionError("keys were counted")
+
+    monkeypatch.setattr(ordering, "materialise", never)
+    got = ordering.ranked(rows, ["k", "j"], ["o"], "r", 50)
+    assert got.count() == 20_000 and [tuple(r) for r in got.filter("k = 6").orderBy("o").select("o", "r").collect()] == [(6, 1), (7_006, 2), (14_006, 3)]

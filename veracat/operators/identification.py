@@ -17,6 +17,7 @@ from veracat.functions.rules import (
 )
 from veracat.operators.ordering import ranked
 from veracat.operators.quality import union_all
+from veracat.session import materialise
 
 
 def occurrence_rank(df: DataFrame, keys: Sequence[str], order: str | Column, name: str = "rank") -> DataFrame:
@@ -115,7 +116,9 @@ def name_map(reported: DataFrame, column: str, known: DataFrame, known_column: s
 
 
 def resolve_names(rows: DataFrame, column: str, known: DataFrame, known_column: str, alias: str = "resolved") -> DataFrame:
-    mapping = name_map(rows, column, known, known_column).withColumnRenamed("resolved", alias)
+    """The rows with what the name in ``column`` resolves to. The names are written before, so that their size is known
+    when the join is planned, and the rows are not shuffled to meet a few."""
+    mapping = materialise(name_map(rows, column, known, known_column).withColumnRenamed("resolved", alias), "names")
     return rows.join(mapping, rows[column] == mapping["reported"], "left").drop("reported")
 
 

@@ -37,23 +37,29 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 #: A key of more rows than this is ranked by ranges; the rows of any other key are one group of a window.
 MANY = 100_000
+#: Groups of keys that are counted before keys are: few enough to be added up in every task, whatever the keys.
+GROUPS = 1 << 16
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "rank", many: int = MANY) -> DataFrame:
     """The place of each row among the rows of its key, from 1; NULL keys are one key. Rows that tie get different places.
 
-    The rows of a key are counted first. Keys of up to ``many`` rows are ranked by a window, in one shuffle. The others,
-    few by their size, are dealt by ranges, see ``_ranked_by_ranges``. ``df`` is read for the count and for each of the
+    The rows of a key are counted first, and before that the rows of ``GROUPS`` groups of keys: where no group has more than
+    ``many``, no key has, and keys are not counted. Keys of up to ``many`` rows are ranked by a window, in one shuffle. The others,
+    few by their size, are dealt by ranges, see ``_ranked_by_ranges``. ``df`` is read for each count and for each of the
     two kinds that it holds.
     """
     order = [col(o) if isinstance(o, str) else o for o in order]
     if not keys:
         return _ranked_by_ranges(df, keys, order, name)
+    by_key = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    groups = df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).alias("_group")).agg(F.count("*").alias("_n"))
+    if groups.filter(F.col("_n") > many).isEmpty():
+        return df.select("*", by_key.alias(name))
     counted = df.groupBy(F.struct(F.lit(0), *keys).alias("_key")).agg(F.count("*").alias("_n"))
     # A row for each large key, and one without a key for all others.
     sizes = materialise(counted.groupBy(F.when(F.col("_n") > many, F.col("_key")).alias("_key")).agg(F.sum("_n").alias("_n")), "sizes")
     large, small = sizes.agg(F.bool_or(F.col("_key").isNotNull()), F.bool_or(F.col("_key").isNull())).first()
-    by_key = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
     if not large:
         return df.select("*", by_key.alias(name))
     keyed, theirs = df.withColumn("_key", F.struct(F.lit(0), *keys)), F.broadcast(sizes.filter("_key IS NOT NULL").select("_key"))
