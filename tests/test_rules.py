@@ -486,3 +486,10 @@ def test_keys_are_not_counted_where_no_group_of_keys_is_large(spark, monkeypatch
     monkeypatch.setattr(ordering, "materialise", never)
     got = ordering.ranked(rows, ["k", "j"], ["o"], "r", 50)
     assert got.count() == 20_000 and [tuple(r) for r in got.filter("k = 6").orderBy("o").select("o", "r").collect()] == [(6, 1), (7_006, 2), (14_006, 3)]
+
+
+def test_numbers_are_read_as_if_stripped_first(spark):
+    odd = [" 1.5 |x", "\x0b2\x0c", "\t\n3|4", "NaN", " nan ", "", " ", None, "|3", "1e3|", "abc", "Infinity", "-inf", "\u00a05", "\x016", "7d", "1 2", "8|", "0x1p3"]
+    plain = F.btrim(F.split_part("c", F.lit("|"), F.lit(1)), F.lit(" \t\n\r\x0b\x0c")).try_cast("double")
+    rows = frame(spark, [(x,) for x in odd], "c string").select("c", cells.lenient_float("c").alias("got"), F.when(~F.isnan(plain), plain).alias("want"))
+    assert all(r["got"] == r["want"] for r in rows.collect())

@@ -39,13 +39,19 @@ def null_if_empty(arr: Column) -> Column:
 
 
 def first_alternative(c: str | Column, sep: str = "|") -> Column:
-    return strip(F.split_part(col(c), F.lit(sep), F.lit(1)))
+    return strip(_first_part(col(c), sep))
+
+
+def _first_part(c: Column, sep: str) -> Column:
+    """Most cells hold one alternative, and to look for a separator is cheaper than to split."""
+    return F.when(F.contains(c, F.lit(sep)), F.split_part(c, F.lit(sep), F.lit(1))).otherwise(c)
 
 
 def lenient_float(c: str | Column) -> Column:
-    """The first alternative as a number; unparsable text and NaN are absent."""
-    number = first_alternative(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """The first alternative as a number; unparsable text and NaN are absent. A cast passes over blanks itself, so only
+    what it cannot read is stripped."""
+    first = _first_part(col(c), "|")
+    return F.nanvl(F.coalesce(first.try_cast("double"), strip(first).try_cast("double")), F.lit(None).cast("double"))
 
 
 def lenient_int(c: str | Column) -> Column:
