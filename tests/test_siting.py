@@ -51,6 +51,27 @@ def test_all_words_of_every_text_are_placed(spark, texts):
     assert Counter(map(tuple, got.collect())) == want and len(want) > 250
 
 
+def test_the_query_returns_every_place_with_its_letter_and_length(spark, texts):
+    folder, rows = texts
+    want = Counter()
+    for doc_id, body, lang in rows:
+        for piece in pieces((body or "").lower()) if body is not None and lang != "fr" else ():
+            want.update((f"D{doc_id}", piece, i, body.lower()[i - 2:i - 1] if i > 1 else "", len(body)) for i in starts(piece, body.lower()))
+    got = REGISTRY["place_peptides"][0](spark, folder).selectExpr("accession", "piece", "inline(places)")
+    assert Counter(map(tuple, got.collect())) == want and len(want) > 1000
+
+
+def test_places_of_several_sequences_are_one_list(spark):
+    """Astral letters in front, a place that two sequences have alike, one that differs by the letter in front or the length."""
+    seqs = spark.createDataFrame([("A", "𝄞ab"), ("A", "éab"), ("A", "xab"), ("A", "abab"), ("A", "ab" + "éa"), ("B", "zz")], "accession string, sequence string")
+    pairs = spark.createDataFrame([("ab", "A"), ("ab", "A"), ("b", "A"), ("q", "A"), ("ab", "B"), ("ab", "C")], "p string, a string")
+    got = {(r["accession"], r["piece"]): (r["n_places"], r["reason"], r["places"] and sorted(map(tuple, r["places"]))) for r in sites.placed_lists(pairs, "p", "a", seqs).collect()}
+    ab = sorted([(2, "𝄞", 3), (2, "é", 3), (2, "x", 3), (1, "", 4), (3, "b", 4)])
+    b = sorted([(3, "a", 3), (2, "a", 4), (4, "a", 4)])
+    none = (0, "peptide_not_in_sequence", None)
+    assert got == {("A", "ab"): (5, None, ab), ("A", "b"): (3, None, b), ("A", "q"): none, ("B", "ab"): none, ("C", "ab"): (0, "no_sequence", None)}
+
+
 def test_every_line_states_a_segment(spark, sf):
     names = {r["p_partkey"]: r["p_name"] for r in spark.read.parquet(f"{sf}/part.parquet").collect()}
     orders = defaultdict(list)
