@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from veracat import session
 from veracat.operators import export, figures, quant, search
 from veracat.operators.notation import translate_notation
 from veracat.sources import files
@@ -44,6 +45,24 @@ def test_a_shard_costs_no_process(spark, tmp_path):
     assert len(glob.glob(f"{tmp_path}/many/*/part-*.txt")) == 4_002 and not glob.glob(f"{tmp_path}/many/*/.*")
 
 
+def test_many_annotation_files_are_read_once_by_few_tasks(spark, tmp_path):
+    """A file of a few lines costs no task, and none is opened again by what looks at its lines."""
+    def text(i):
+        head = "#!fmt 2" if i == 3 else "#!other x\n#!fmt 1" if i == 4 else "#!fmt 1\n#!fmt 1" if i == 5 else "#!fmt 1"
+        return f"{head}\n{'a b' if i == 6 else 'a\tb'}\nx{i}\ty" + ("\tz\n\nonly" if i == 7 else "")
+
+    rows = spark.createDataFrame([(f"{i:03d}", text(i)) for i in range(300)], "part string, value string").repartition(4)
+    export.write_texts(rows, "part", f"{tmp_path}/files")
+    before = {k: spark.conf.get(k, None) for k in session.MANY_FILES}
+    header, cells, problems = files.read_headered_annotation(spark, f"{tmp_path}/files/*", ["a", "b"], "fmt", "1")
+    assert before == {k: spark.conf.get(k, None) for k in session.MANY_FILES}
+    for df in (header, cells, problems):
+        assert df.inputFiles() and len(df.inputFiles()) < 100 and not any(f"{tmp_path}/files" in f for f in df.inputFiles())
+    told = sorted((r["file"].split("part=")[1][:3], r["problem"]) for r in problems.collect())
+    assert told == [("003", "unknown format version"), ("004", "wrong first key"), ("005", "header key twice: fmt"), ("006", "wrong columns"), ("007", "wrong cell count"), ("007", "wrong cell count")]
+    assert sorted((r["a"], r["b"]) for r in cells.select("a", "b").collect() if r["a"] != "only") == sorted((f"x{i}", "y") for i in range(300))
+
+
 def test_modification_lists_of_a_folder_keep_every_entry(spark, tmp_path):
     for i in range(2):
         (tmp_path / f"{i}.txt").write_text(f"ID   A{i}\nTG   K\nMM   1.5\n//\nID   B{i}\nTG   N\n//\n")

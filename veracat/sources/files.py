@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from veracat.functions.cells import cell_count, file_name, split_list, strip
 from veracat.functions.rules import database_role, is_database
+from veracat.session import MANY_FILES, materialise, settings
 from veracat.sources.digests import file_digests
 
 ROW_ORDER = "row_order"
@@ -271,9 +272,12 @@ def read_headered_annotation(
     """(header, rows, problems) of files with ``#!`` lines and an exact column list.
 
     Problems: a header key seen twice, a wrong first key or version, a wrong column line, and every
-    line whose cell count is not the column count.
+    line whose cell count is not the column count. The files are read here, once: there may be very many, and every result
+    looks at their lines again.
     """
-    header, body = headered_lines(read_lines(spark, path))
+    with settings(spark, MANY_FILES):
+        lines = materialise(read_lines(spark, path), "lines")
+    header, body = headered_lines(lines)
     first = header.groupBy("file").agg(F.min_by("key", "first_seen").alias("first_key"))
     version = header.filter(F.col("key") == format_key).select("file", F.col("value").alias("version"))
     column_line = body.groupBy("file").agg(F.min(ROW_ORDER).alias("_first"), F.min_by("line", ROW_ORDER).alias("_names"))
