@@ -235,6 +235,44 @@ def test_passages_without_lines_or_sentences_of_their_own(documents):
     assert {r["doc_id"]: r["first_docs"] for r in paragraphs.per_document(found).collect()} == {800: [], 801: [800], 802: [], 803: [802], 804: [], 805: [804], 807: [], 808: [807]}
 
 
+def test_a_mark_is_counted_by_more_than_its_bit(spark):
+    """What shares a bit of the table with another mark is not held by several documents for that."""
+    codes = [5 << 36, (5 << 36) + (1 << 30), 9 << 36, 9 << 36, (1 << 62) + (7 << 36), 11 << 36, (11 << 36) + (3 << 24)]
+    marks = np.asarray([(c << 1) * int(paragraphs.INVERSE) % (1 << 64) for c in codes], np.uint64).view(np.int64).tolist()
+    assert paragraphs._codes(0, np.asarray(marks)).tolist() == codes
+    rows = spark.createDataFrame([(m,) for m in marks], "mark bigint").repartition(3)
+    table = paragraphs._opened(paragraphs.several(paragraphs.marked(rows, lambda batch: iter([paragraphs._codes(0, np.asarray(batch.column("mark")))]))))
+    assert np.flatnonzero(np.unpackbits(table, bitorder="little")).tolist() == [9]
+    assert paragraphs._read(table, paragraphs._bits(0, np.asarray(marks))).tolist() == [False, False, True, True, False, False, False]
+
+
+def test_texts_behind_one_another_are_cut_as_by_themselves():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, kinds, n).astype(np.uint64) for n in (0, 1, 4, 5, 18, 19, 20, 21, 49, 50, 51, 80, 300) for kinds in (1, 2, 5, 1 << 40)] * 2
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    h, ends = np.concatenate(texts), np.cumsum([len(t) for t in texts])
+    (a, b), (first, last, seeds) = paragraphs.anchored(h, ends), paragraphs.contexts(h, ends, 19)
+    together = sorted(zip(a, b, paragraphs._contents(h, (a, b))[0])), list(zip(first, last, seeds))
+    alone = [], []
+    for t, end in zip(texts, ends):
+        if len(t):
+            x, y = paragraphs.anchored(t, np.asarray([len(t)]))
+            alone[0].extend(zip(x + end - len(t), y + end - len(t), paragraphs._contents(t, (x, y))[0]))
+            alone[1].extend(zip(*(z + end - len(t) for z in paragraphs.contexts(t, np.asarray([len(t)]), 19))))
+            assert len(x) >= (len(t) >= 5) and (len(t) < 20 or all(0 <= i <= len(t) - 20 for i in x))
+    assert together == (sorted(alone[0]), alone[1]) and len(together[0]) > 50
+
+
+def test_what_is_written_between_goes_again(documents, spark):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    found = paragraphs.repeats(documents([(1, bare(1400, 60)), (2, bare(1401, 9) + " " + bare(1400, 60)), (3, bare(1402, 30))]))
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"paragraphs", "clusters", "stretches", "edges"}
+    assert {r["doc_id"] for r in paragraphs.per_document(found).collect()} == {1, 2}
+
+
 def test_short_texts_are_one_paragraph(documents):
     rows = [(820, bare(1000, 19)), (821, bare(1000, 19)), (822, bare(1001, 5)), (823, bare(1001, 5)), (824, bare(1002, 4)), (825, bare(1002, 4)), (826, bare(1003, 12))]
     assert {r["doc_id"] for r in paragraphs.per_document(paragraphs.repeats(documents(rows))).collect()} == {820, 821, 822, 823}
